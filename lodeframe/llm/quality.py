@@ -5,9 +5,10 @@ length, and a linear hinge-loss model is fitted to them by dual coordinate desce
 character 3- and 4-grams of the UTF-8 bytes and 3-grams over the row of "this word repeats the one
 before / before that" marks. All are hashed to TABLE buckets, so every model has the same size.
 
-The ratios are counted over all labelled training rows, by one aggregation with map-side sums. The
-hinge-loss model is fitted on the driver to a sample of at most about SAMPLE_DOCS labelled rows, whatever the
-size of the table; a fifth of the sample is held back to turn margins into probabilities.
+The classifier is fitted on a bounded sample of the labelled rows, drawn by a hash of the identifier:
+the ratios on about COUNT_DOCS rows at most, by one aggregation with map-side sums, and the hinge-loss
+model, on the driver, on about SAMPLE_DOCS of those; a fifth of them is held back to turn margins into
+probabilities. As the sample's labels have a size bound they are broadcast, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod5, written
 
 TABLE = 1 << 17
-SAMPLE_DOCS = 6000
+COUNT_DOCS, SAMPLE_DOCS = 16_000, 6000
 C, ROUNDS = 1.0, 20
 THRESHOLD = 0.3
 _MIX = np.uint32(2654435761)  # Knuth's multiplicative hash
@@ -112,22 +113,23 @@ def calibrate(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple
     return float(ab[0]), float(ab[1])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """__id, __text, __y of the training rows; labels that are null, or neither 0 nor 1, teach nothing."""
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
+    """__id, __text, __y, __draw of about `most` training rows; labels that are null, or neither 0 nor 1, teach nothing.
+
+    The limit of twice the expected size only guards the broadcast; a draw does not come near it.
+    """
     marks = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")) \
         .where(F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & (crc_mod5(F.col("__id")) != 0))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")) \
-        .where(F.col("__id").isNotNull() & (crc_mod5(F.col("__id")) != 0))
-    return texts.join(marks, "__id")
+    share = min(1.0, most / max(1, marks.count()))
+    marks = marks.withColumn("__draw", F.pmod(F.xxhash64(F.lit(71), "__id"), F.lit(1 << 30)) / float(1 << 30)) \
+        .where(F.col("__draw") < share).limit(2 * most)
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    return texts.join(F.broadcast(marks), "__id").withColumn("__draw", F.col("__draw") / share)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        sample_docs: int = SAMPLE_DOCS) -> Model:
+        sample_docs: int = SAMPLE_DOCS, count_docs: int = COUNT_DOCS) -> Model:
     """Learn from the labelled rows whose crc32(id) mod 5 is not 0. Without such rows every score is 0.5."""
-    total = labels.count()
-    share = min(1.0, sample_docs / max(1, total * 0.8))
-    drawn = (F.pmod(F.xxhash64(F.lit(71), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, counts, totals, kept = Featurizer(), np.zeros((2, TABLE), np.int64), [0, 0], []
         for batch in batches:
@@ -149,8 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                           pa.array(np.append(counts[1, used], totals[1])), pa.nulls(len(bucket), pa.binary())],
                                          ["bucket", "down", "up", "x"])
 
-    rows = labelled(docs, labels, id_col, text_col, label_col) \
-        .select("__text", "__y", drawn.alias("own"), F.xxhash64(F.lit(72), "__id").alias("__at"))
+    rows = labelled(docs, labels, id_col, text_col, label_col, count_docs) \
+        .select("__text", "__y", (F.col("__draw") < sample_docs / count_docs).alias("own"), F.xxhash64(F.lit(72), "__id").alias("__at"))
     found = written(rows.mapInArrow(counted, "bucket int, down long, up long, x binary"), "ngrams")
     sums = found.where("bucket >= 0").groupBy("bucket").agg(F.sum("down").alias("down"), F.sum("up").alias("up")).toPandas()
     counts = np.zeros((2, TABLE + 1))
