@@ -113,18 +113,19 @@ def calibrate(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple
     return float(ab[0]), float(ab[1])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> tuple[DataFrame, int]:
     """__id, __text, __y, __draw of about `most` training rows; labels that are null, or neither 0 nor 1, teach nothing.
 
     The limit of twice the expected size only guards the broadcast; a draw does not come near it.
     """
     marks = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")) \
         .where(F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & (crc_mod5(F.col("__id")) != 0))
-    share = min(1.0, most / max(1, marks.count()))
+    total = marks.count()
+    share = min(1.0, most / max(1, total))
     marks = marks.withColumn("__draw", F.pmod(F.xxhash64(F.lit(71), "__id"), F.lit(1 << 30)) / float(1 << 30)) \
         .where(F.col("__draw") < share).limit(2 * most)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return texts.join(F.broadcast(marks), "__id").withColumn("__draw", F.col("__draw") / share)
+    return texts.join(F.broadcast(marks), "__id").withColumn("__draw", F.col("__draw") / share), min(most, total)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -151,8 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                           pa.array(np.append(counts[1, used], totals[1])), pa.nulls(len(bucket), pa.binary())],
                                          ["bucket", "down", "up", "x"])
 
-    rows = labelled(docs, labels, id_col, text_col, label_col, count_docs) \
-        .select("__text", "__y", (F.col("__draw") < sample_docs / count_docs).alias("own"), F.xxhash64(F.lit(72), "__id").alias("__at"))
+    rows, n = labelled(docs, labels, id_col, text_col, label_col, count_docs)
+    rows = rows.select("__text", "__y", (F.col("__draw") < sample_docs / max(1, n)).alias("own"), F.xxhash64(F.lit(72), "__id").alias("__at"))
     found = written(rows.mapInArrow(counted, "bucket int, down long, up long, x binary"), "ngrams")
     sums = found.where("bucket >= 0").groupBy("bucket").agg(F.sum("down").alias("down"), F.sum("up").alias("up")).toPandas()
     counts = np.zeros((2, TABLE + 1))

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality, url_filter, warc
+from . import exact_dedup, mixing, quality, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op6_url_filters, op7_warc, op9_exact_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op5_mixing, op6_url_filters, op7_warc, op9_exact_dedup, op10_quality)}
 
 ORACLES = {
     "op5_mixing": r"""
