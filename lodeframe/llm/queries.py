@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality, simhash, url_filter, warc
+from . import exact_dedup, line_dedup, mixing, quality, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, kept_sha256 (of the text that is left)."""
+    left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), count_cols=("n_lines", "n_removed"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -35,7 +42,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_mixing, op6_url_filters, op7_warc, op9_exact_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup, op9_exact_dedup, op10_quality)}
 
 ORACLES = {
     "op5_mixing": r"""
