@@ -30,7 +30,11 @@ LAST = (1 << 63) - 1
 
 
 def _norm(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, SPACES, " "))
+    """White space runs as one space, none at the ends; the regular expression only runs where there is work for it."""
+    odd = line.contains("  ")
+    for control in "\t\x0b\x0c\r":
+        odd = odd | line.contains(control)
+    return F.trim(F.when(odd, F.regexp_replace(line, SPACES, " ")).otherwise(line))
 
 
 def _position() -> Column:
@@ -45,11 +49,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.select("__id", "__line", _norm(F.col("raw")).alias("norm")).where("norm != ''")
     return rows.select("__id", "__line", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
                        _position().alias("pos"),
-                       (F.length("norm") - F.length(F.translate("norm", " ", "")) + 1).alias("n"))
+                       (F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit(""))) + 1).alias("n"))
 
 
 def _halves() -> Column:
-    """Keys of the first and last m words, for the m of this word count and that of one word less."""
+    """(key, side, m) of the first and last m words, for the m of this word count and that of one word less."""
     def m(n: Column) -> Column:
         return F.pow(F.lit(2.0), F.floor(F.log2(n / 2.0))).cast("int")
 
@@ -57,38 +61,48 @@ def _halves() -> Column:
     for size in (m(F.col("n")), m(F.col("n") - 1)):
         for side in (1, -1):
             part = F.call_function("substring_index", F.col("norm"), F.lit(" "), size * side)
-            out.append(F.xxhash64(F.lit(side), size, part))
-    return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*out))).otherwise(F.array().cast("array<bigint>"))
+            out.append(F.struct(F.xxhash64(F.lit(side), size, part).alias("h"), F.lit(side).alias("side"), size.alias("m")))
+    return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*out)))
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
-    """pos, kind (d: a deletion, g: a gap), a, b, left: the hashed keys of each candidate's neighbourhood."""
+    """cid, kind (0: a deletion, 1: a gap), key: the hashed keys of each candidate's neighbourhood.
+
+    Only holes from `lo` to `hi` count: a partner that shares the first m words differs behind them, one
+    that shares the last m words differs before them.
+    """
     def word_hash(w: Column, tag: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(w, tag), 64 - _KEEP_BITS)
 
     pieces = F.transform(F.sequence(F.lit(0), F.expr(f"(n - 1) div {PIECE}").cast("int")),
                          lambda s: F.struct(s.alias("s"), F.slice("words", s * PIECE + 1, PIECE).alias("w")))
-    rows = candidates.select("pos", "n", F.explode(pieces).alias("p")).select("pos", "n", "p.s", "p.w")
+    rows = candidates.select("cid", "n", "lo", "hi", F.explode(pieces).alias("p")).select("cid", "n", "lo", "hi", "p.s", "p.w")
     rows = rows.withColumn("ahead", F.transform("w", lambda w, i: word_hash(w, F.col("s") * PIECE + i))) \
         .withColumn("back", F.transform("w", lambda w, i: word_hash(w, F.col("n") - (F.col("s") * PIECE + i) + (1 << 30))))
     zero = F.lit(0).cast("long")
     rows = rows.withColumn("sum_a", F.aggregate("ahead", zero, lambda x, y: x + y)) \
         .withColumn("sum_b", F.aggregate("back", zero, lambda x, y: x + y))
-    line = Window.partitionBy("pos").orderBy("s")
+    line = Window.partitionBy("cid").orderBy("s")
     rows = rows.withColumn("before", F.coalesce(F.sum("sum_a").over(line.rowsBetween(Window.unboundedPreceding, -1)), zero)) \
         .withColumn("after", F.coalesce(F.sum("sum_b").over(line.rowsBetween(1, Window.unboundedFollowing)), zero))
     running = lambda values: F.aggregate(  # noqa: E731  the sums of 0, 1, 2, ... values
         values, F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
     rows = rows.withColumn("ra", running(F.col("ahead"))).withColumn("rb", running(F.col("back")))
     # Word i of the piece has ra[i] before it in the piece, and sum_b - rb[i + 1] after it.
-    holes = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(
-        F.lit("d").alias("kind"), (F.col("before") + F.get("ra", i)).alias("a"),
-        (F.col("after") + F.col("sum_b") - F.get("rb", i + 1)).alias("b"), (F.col("n") - 1).alias("left")))
+    base = F.col("s") * PIECE
     last = (F.col("s") == F.expr(f"(n - 1) div {PIECE}")).cast("int")
-    gaps = F.transform(F.sequence(F.lit(0), F.size("w") - 1 + last), lambda i: F.struct(
-        F.lit("g").alias("kind"), (F.col("before") + F.get("ra", i)).alias("a"),
-        (F.col("after") + F.col("sum_b") - F.get("rb", i)).alias("b"), F.col("n").alias("left")))
-    return rows.select("pos", F.explode(F.concat(holes, gaps)).alias("v")).select("pos", "v.*")
+    first_hole = F.greatest(F.col("lo") - 1 - base, F.lit(0)).cast("int")
+    last_hole = F.least(F.col("hi") - 1 - base, F.size("w") - 1).cast("int")
+    last_gap = F.least(F.col("hi") - base, F.size("w") - 1 + last).cast("int")
+
+    def keys(kind: int, upto: Column, after: int, left: Column) -> Column:
+        return F.when(upto >= first_hole, F.transform(F.sequence(first_hole, upto), lambda i: F.struct(
+            F.lit(kind).alias("kind"), F.xxhash64(F.col("before") + F.get("ra", i),
+                                                  F.col("after") + F.col("sum_b") - F.get("rb", i + after), left).alias("key")))) \
+            .otherwise(F.array().cast("array<struct<kind:int,key:bigint>>"))
+
+    both = F.concat(keys(0, last_hole, 1, F.col("n") - 1), keys(1, last_gap, 0, F.col("n")))
+    return rows.select("cid", F.explode(both).alias("v")).select("cid", "v.kind", "v.key")
 
 
 def _one_word_apart(x: Column, y: Column) -> Column:
@@ -103,40 +117,54 @@ def _one_word_apart(x: Column, y: Column) -> Column:
         .when(ny == nx + 1, tail(x, at) == tail(y, at + 1)).otherwise(False)
 
 
-def near_lines(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """pos of the distinct lines' first positions that an earlier line is one word apart from."""
-    keyed = firsts.where(F.size("halves") > 0).select("pos", F.explode("halves").alias("h"))
+def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """cid (in the order of pos), pos, words, n, lo, hi of the distinct lines that share a half with another."""
+    keyed = firsts.where(F.col("halves").isNotNull()).select("pos", "__id", "__line", "k1", F.explode("halves").alias("x")) \
+        .select("pos", "__id", "__line", "k1", "x.*")
     shared = written(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "halves")
-    wanted = written(keyed.join(shared, "h", "left_semi").select(F.col("pos").alias("want")).distinct(), "wanted")
-    texts = lines.where(F.col("n") >= MIN_WORDS).join(wanted, F.col("pos") == F.col("want"), "left_semi") \
-        .groupBy("pos", "k1").agg(F.first("norm").alias("norm"))
-    candidates = written(texts.select("pos", F.split("norm", " ").alias("words")).withColumn("n", F.size("words")), "candidates")
+    wanted = keyed.join(shared, "h", "left_semi").groupBy("pos", "__id", "__line", "k1").agg(
+        F.min(F.when(F.col("side") == 1, F.col("m"))).alias("head"), F.min(F.when(F.col("side") == -1, F.col("m"))).alias("foot"))
+    by_doc = written(wanted.groupBy("__id").agg(F.collect_list(F.struct("pos", "__line", "k1", "head", "foot")).alias("want")), "wanted")
+    # What is wanted grows with the corpus: never a broadcast.
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")) \
+        .join(by_doc.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")))
+    lines = F.split("__text", "\n")
+    rows = texts.select(F.explode(F.transform("want", lambda x: F.struct(x.alias("at"), F.get(lines, x["__line"]).alias("raw")))).alias("y"))
+    rows = rows.select("y.at.*", _norm(F.col("y.raw")).alias("norm")).where(F.xxhash64("norm") == F.col("k1")) \
+        .select("pos", "head", "foot", F.split("norm", " ").alias("words")).withColumn("n", F.size("words"))
+    rows = rows.select("pos", "words", "n", F.when(F.col("foot").isNotNull(), 1).otherwise(F.col("head") + 1).alias("lo"),
+                       F.when(F.col("head").isNotNull(), F.col("n")).otherwise(F.col("n") - F.col("foot")).alias("hi"))
+    return written(rows.orderBy("pos").withColumn("cid", F.monotonically_increasing_id()), "candidates")
+
+
+def near_lines(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """pos of the distinct lines' first positions that an earlier line is one word apart from."""
+    candidates = _candidates(docs, firsts, id_col, text_col)
     index = _variants(candidates)
-    where_d, where_g = F.when(F.col("kind") == "d", F.col("pos")), F.when(F.col("kind") == "g", F.col("pos"))
-    groups = index.groupBy("a", "b", "left").agg(
-        F.min(where_d).alias("d0"), F.max(where_d).alias("d1"), F.min(where_g).alias("g0"), F.max(where_g).alias("g1"),
-        F.count(F.lit(1)).alias("c"))
+    where_d, where_g = F.when(F.col("kind") == 0, F.col("cid")), F.when(F.col("kind") == 1, F.col("cid"))
+    groups = index.groupBy("key").agg(F.min(where_d).alias("d0"), F.max(where_d).alias("d1"), F.min(where_g).alias("g0"),
+                                      F.max(where_g).alias("g1"), F.count(F.lit(1)).alias("c"))
     # A key with gaps alone, or with one line's, says nothing.
     groups = written(groups.where("c > 1 and d0 is not null and (d1 > d0 or g1 is not null)"), "neighbours")
     two = groups.where("c = 2").select(F.when(F.col("g0").isNull(), F.col("d1")).otherwise(F.greatest("d0", "g0")).alias("late"),
                                        F.when(F.col("g0").isNull(), F.col("d0")).otherwise(F.least("d0", "g0")).alias("early"))
-    more = index.join(groups.where("c > 2").select("a", "b", "left", "d0", "g0"), ["a", "b", "left"]) \
-        .withColumn("early", F.when(F.col("kind") == "d", F.least("d0", "g0")).otherwise(F.col("d0"))) \
-        .select(F.col("pos").alias("late"), "early")
+    more = index.join(groups.where("c > 2").select("key", "d0", "g0"), "key") \
+        .withColumn("early", F.when(F.col("kind") == 0, F.least("d0", "g0")).otherwise(F.col("d0"))) \
+        .select(F.col("cid").alias("late"), "early")
     found = written(two.union(more).where("early < late").distinct(), "found")
-    own = candidates.select(F.col("pos").alias("p"), "words")
-    checked = found.join(own.withColumnRenamed("words", "x"), F.col("late") == F.col("p")).drop("p") \
-        .join(own.withColumnRenamed("words", "y"), F.col("early") == F.col("p")).drop("p")
-    return checked.where(_one_word_apart(F.col("x"), F.col("y"))).select(F.col("late").alias("pos")).distinct()
+    checked = found.join(candidates.select(F.col("cid").alias("late"), "pos", F.col("words").alias("x")), "late") \
+        .join(candidates.select(F.col("cid").alias("early"), F.col("words").alias("y")), "early")
+    return checked.where(_one_word_apart(F.col("x"), F.col("y"))).select("pos").distinct()
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """__id, drop: array of (line number, line key) of each document that loses lines."""
     lines = lines_of(docs, id_col, text_col)
     occurrences = written(lines.withColumn("halves", _halves()).select("__id", "__line", "k1", "k2", "pos", "halves"), "lines")
-    firsts = written(occurrences.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("c"),
-                                                         F.first("halves").alias("halves")), "firsts")
-    near = written(near_lines(lines, firsts), "near")
+    firsts = written(occurrences.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("c")), "firsts")
+    own = occurrences.where(F.col("halves").isNotNull()).join(firsts.select("k1", "k2", "pos"), ["k1", "k2", "pos"], "left_semi") \
+        .dropDuplicates(["k1", "k2"])
+    near = written(near_lines(docs, own, id_col, text_col), "near")
     marked = firsts.join(near.select(F.col("pos").alias("late")), F.col("pos") == F.col("late"), "left") \
         .where(F.col("late").isNotNull() | (F.col("c") > 1)) \
         .select("k1", "k2", F.when(F.col("late").isNull(), F.col("pos")).alias("first"))
@@ -156,7 +184,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whose identifier is null) don't duplicate each other. An empty table gives no rows.
     """
     gone = written(dropped_lines(docs, id_col, text_col), "gone").select(F.col("__id").alias("__lost"), F.col("drop").alias("__drop"))
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__lost")), "left")
+    # What is lost grows with the corpus: never a broadcast.
+    joined = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("__lost")), "left")
     all_lines = F.split(F.col(text_col), "\n")
     marked = F.transform(all_lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
     kept = F.filter(marked, lambda s: ~F.array_contains(F.col("__drop"), F.struct(s["i"].alias("__line"), F.xxhash64(_norm(s["x"])).alias("k1"))))
