@@ -1,15 +1,53 @@
-"""The corpus pipeline: documents in, a weighted mix of clean documents out."""
+"""The corpus pipeline: documents in, a weighted mix of clean documents out.
+
+Each stage is one operator, works on all rows that the stage before kept, and is written as Parquet
+before the next one reads it. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodeframe.llm import common, decontam, line_dedup, mixing, quality, simhash
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
+def fewer_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated lines; n_chars follows the text."""
+    left = line_dedup.dedup_lines(docs)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest identifier of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return decontam.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The weighted mix: a row for each time that a document is taken, numbered by copy_no."""
+    return mixing.mix(docs)
+
 
-STAGES = []
+STAGES = [("quality", good), ("line_dedup", fewer_lines), ("simhash", one_of_each), ("decontamination", clean), ("mixing", mixed)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
