@@ -53,18 +53,35 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _halves() -> Column:
-    """(key, side, m) of the first and last m words, for the m of this word count and that of one word less."""
-    def m(n: Column) -> Column:
-        return F.pow(F.lit(2.0), F.floor(F.log2(n / 2.0))).cast("int")
-
+    """Keys of the first and last m words, for the m of this word count and that of one word less."""
     out = []
-    for size in (m(F.col("n")), m(F.col("n") - 1)):
+    for size in (_half(F.col("n")), _half(F.col("n") - 1)):
         for side in (1, -1):
-            part = F.call_function("substring_index", F.col("norm"), F.lit(" "), size * side)
-            out.append(F.struct(F.xxhash64(F.lit(side), size, part).alias("h"), F.lit(side).alias("side"), size.alias("m")))
+            out.append(F.xxhash64(F.lit(side), size, F.call_function("substring_index", F.col("norm"), F.lit(" "), size * side)))
     return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*out)))
 
 
+def _half(n: Column) -> Column:
+    """The largest power of two up to n / 2."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(n / 2.0))).cast("int")
+
+
+def _quarters() -> Column:
+    """(h, lo, hi): keys of what stays where the words lo to hi hold the one that differs.
+
+    With m words the same at one end, of the next m / 2 words and the last m / 2 one part stays too.
+    """
+    out, words, n = [], F.col("words"), F.col("n")
+    for m in (_half(n), _half(n - 1)):
+        q = F.greatest((m / 2).cast("int"), F.lit(1))
+        head, foot = lambda k: F.slice(words, 1, k), lambda k: F.slice(words, n - k + 1, k)
+        none = F.array().cast("array<string>")
+        for tag, x, y, lo, hi in ((1, head(m + q), none, m + q + 1, n), (2, head(m), foot(q), m + 1, n - q),
+                                  (3, none, foot(m + q), F.lit(1), n - m - q), (4, head(q), foot(m), q + 1, n - m)):
+            out.append(F.struct(F.xxhash64(F.lit(tag), m, x, y).alias("h"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi")))
+    return F.array_distinct(F.array(*out))
+
+
 def _variants(candidates: DataFrame) -> DataFrame:
     """cid, kind (0: a deletion, 1: a gap), key: the hashed keys of each candidate's neighbourhood.
 
@@ -118,23 +135,28 @@ def _one_word_apart(x: Column, y: Column) -> Column:
 
 
 def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """cid (in the order of pos), pos, words, n, lo, hi of the distinct lines that share a half with another."""
-    keyed = firsts.where(F.col("halves").isNotNull()).select("pos", "__id", "__line", "k1", F.explode("halves").alias("x")) \
-        .select("pos", "__id", "__line", "k1", "x.*")
+    """cid (in the order of pos), pos, words, n, lo, hi of the distinct lines that share three quarters with another.
+
+    Halves are compared first, as hashes, over all lines; only lines that share one are fetched.
+    """
+    keyed = firsts.where(F.col("halves").isNotNull()).select("pos", "__id", "__line", "k1", F.explode("halves").alias("h"))
     shared = written(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "halves")
-    wanted = keyed.join(shared, "h", "left_semi").groupBy("pos", "__id", "__line", "k1").agg(
-        F.min(F.when(F.col("side") == 1, F.col("m"))).alias("head"), F.min(F.when(F.col("side") == -1, F.col("m"))).alias("foot"))
-    by_doc = written(wanted.groupBy("__id").agg(F.collect_list(F.struct("pos", "__line", "k1", "head", "foot")).alias("want")), "wanted")
+    wanted = keyed.join(shared, "h", "left_semi").select("pos", "__id", "__line", "k1").distinct()
+    by_doc = written(wanted.groupBy("__id").agg(F.collect_list(F.struct("pos", "__line", "k1")).alias("want")), "wanted")
     # What is wanted grows with the corpus: never a broadcast.
     texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")) \
         .join(by_doc.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")))
-    lines = F.split("__text", "\n")
-    rows = texts.select(F.explode(F.transform("want", lambda x: F.struct(x.alias("at"), F.get(lines, x["__line"]).alias("raw")))).alias("y"))
-    rows = rows.select("y.at.*", _norm(F.col("y.raw")).alias("norm")).where(F.xxhash64("norm") == F.col("k1")) \
-        .select("pos", "head", "foot", F.split("norm", " ").alias("words")).withColumn("n", F.size("words"))
-    rows = rows.select("pos", "words", "n", F.when(F.col("foot").isNotNull(), 1).otherwise(F.col("head") + 1).alias("lo"),
-                       F.when(F.col("head").isNotNull(), F.col("n")).otherwise(F.col("n") - F.col("foot")).alias("hi"))
-    return written(rows.orderBy("pos").withColumn("cid", F.monotonically_increasing_id()), "candidates")
+    numbered = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("raw")))
+    own = F.filter(numbered, lambda s: F.array_contains(F.col("want.__line"), s["i"]))
+    rows = texts.select("want", F.explode(own).alias("y"))
+    rows = rows.select(F.explode(F.filter("want", lambda w: w["__line"] == F.col("y.i"))).alias("at"), _norm(F.col("y.raw")).alias("norm"))
+    rows = rows.where(F.xxhash64("norm") == F.col("at.k1")).select("at.pos", F.split("norm", " ").alias("words"))
+    rough = written(rows.withColumn("n", F.size("words")), "rough")
+    finer = rough.select("pos", F.explode(_quarters()).alias("x")).select("pos", "x.*")
+    shared = finer.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    kept = finer.join(shared, "h", "left_semi").groupBy("pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = rough.join(kept, "pos").orderBy("pos").withColumn("cid", F.monotonically_increasing_id())
+    return written(rows, "candidates")
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -186,13 +208,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = written(dropped_lines(docs, id_col, text_col), "gone").select(F.col("__id").alias("__lost"), F.col("drop").alias("__drop"))
     # What is lost grows with the corpus: never a broadcast.
     joined = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("__lost")), "left")
-    all_lines = F.split(F.col(text_col), "\n")
-    marked = F.transform(all_lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    kept = F.filter(marked, lambda s: ~F.array_contains(F.col("__drop"), F.struct(s["i"].alias("__line"), F.xxhash64(_norm(s["x"])).alias("k1"))))
-    text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
+    # A line's key is only computed where its number is one of the lost ones.
+    numbered = F.transform(F.split(F.col(text_col), "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    kept = F.filter(numbered, lambda s: ~F.exists("__drop", lambda d: (d["__line"] == s["i"]) & (d["k1"] == F.xxhash64(_norm(s["x"])))))
+    kept = F.when(F.col("__drop").isNotNull(), F.transform(kept, lambda s: s["x"]))
+    named = joined.select(*docs.columns, kept.alias("__kept"))
+    text = F.when(F.col("__kept").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n"))
     out = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if count_cols:
-        lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_lines)).cast("long")
-        left = F.when(F.col("__drop").isNull(), lines).otherwise(F.size(kept).cast("long"))
+        body = F.col(text_col)
+        lines = F.coalesce(F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+        left = F.when(F.col("__kept").isNull(), lines).otherwise(F.size("__kept").cast("long"))
         out += [lines.alias(count_cols[0]), (lines - left).alias(count_cols[1])]
-    return joined.select(*out)
+    return named.select(*out)
