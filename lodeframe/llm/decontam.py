@@ -28,22 +28,26 @@ from pyspark.sql import functions as F
 RATIO, GRAM = 0.2, 3
 WALKS, SAMPLES, WIDTH, STEPS_PER_WORD = 4, 12, 3, 3
 BLOCK_BYTES = 16 << 20
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_ids(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
-    """A 64-bit number a word; words of punctuation only are left out. `known` caches what it has seen."""
-    out = []
-    for w in (text or b"").lower().split():
-        v = known.get(w)
-        if v is None:
-            core = w.strip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-            v = xxhash.xxh64_intdigest(core.decode("utf-8", "replace").lower(), 3) if core else -1
-            if len(known) < 200_000:
-                known[w] = v
-        if v >= 0:
-            out.append(v)
-    return np.array(out, np.uint64)
+class Words(dict):
+    """word -> a 63-bit number, or -1 for punctuation only; forgets all when it has grown large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        core = word.strip(PUNCTUATION)
+        self[word] = value = xxhash.xxh64_intdigest(core.decode("utf-8", "replace").lower(), 3) >> 1 if core else -1
+        return value
+
+
+def word_ids(text: bytes | None, known: Words) -> np.ndarray:
+    """A number a word; words of punctuation only are left out."""
+    words = (text or b"").lower().split()
+    out = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    return out[out >= 0].astype(np.uint64)
 
 
 def grams(ids: np.ndarray, q: int) -> np.ndarray:
@@ -67,17 +71,17 @@ def run_length(n: int, k: int) -> int:
     return max(1, min(GRAM, -(-(n - k) // (k + 1))))
 
 
-def embed(text: np.ndarray, starts: np.ndarray, n: int, walk: int) -> np.ndarray:
-    """The walk's output for the windows of n words from `starts`: steps x windows; past a window's end: 0."""
+def embed(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, walk: int) -> np.ndarray:
+    """The walk's output for windows of n words from `starts`, cut at `ends`: steps x windows; past the end: 0."""
     steps = STEPS_PER_WORD * n
     padded = np.append(text, np.zeros(1, np.uint64))
-    at, out = starts.astype(np.int64).copy(), np.empty((steps, len(starts)), np.uint64)
-    end = starts + n
+    at, out = starts.astype(np.int64), np.empty((steps, len(starts)), np.uint64)
+    end = np.minimum(starts + n, ends)
     for j in range(steps):
-        symbol = padded[np.where(at < np.minimum(end, len(text)), at, len(text))]
+        symbol = padded[np.where(at < end, at, len(text))]
         out[j] = symbol
         coin = (symbol + np.uint64((walk << 32) + j + 1)) * _FACTOR
-        at += ((coin >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+        at = at + ((coin >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
     return out
 
 
@@ -102,57 +106,72 @@ class Index:
     """A block of benchmark items, ready to be looked for."""
 
     def __init__(self, items: list[tuple[int, bytes]], ratio: float) -> None:
-        self.items, keys = [], {}
+        self.items, keys, self.known = [], {}, Words()
         for item_id, text in items:
-            ids = word_ids(text, {})
+            ids = word_ids(text, self.known)
             n = len(ids)
             if not n:
                 continue
             k = allowed(n, ratio)
             q, number = run_length(n, k), len(self.items)
-            samples = [(walk, where, embed(ids, np.zeros(1, np.int64), n, walk)[:, 0][where]) for walk, where in sampled_positions(n)]
+            samples = [(walk, where, embed(ids, np.zeros(1, np.int64), np.array([n]), n, walk)[:, 0][where])
+                       for walk, where in sampled_positions(n)]
             self.items.append((item_id, ids, k, samples))
             for at, g in enumerate(grams(ids, q).tolist()):
                 keys.setdefault(q, []).append((g, number, at))
         self.tables = {}
         for q, rows in keys.items():
             rows.sort()
-            self.tables[q] = tuple(np.array(c, t) for c, t in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
-        self.known: dict[bytes, int] = {}
-
-    def find(self, text: bytes | None) -> list[tuple[int, int, int]]:
-        """(item, edits, word number of the window) of every item that leaks into the text."""
-        ids, near = word_ids(text, self.known), {}
-        for q, (keys, item, place) in self.tables.items():
+            gram, number, at = (np.array(c, t) for c, t in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
+            seen = np.zeros(1 << 22, bool)
+            seen[gram >> np.uint64(42)] = True
+            self.tables[q] = (gram, number, at, seen)
+
+    def _windows(self, ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item number, start) of the windows to embed; first, last: the bounds of each word's document."""
+        numbers, starts = [], []
+        for q, (keys, number, place, seen) in self.tables.items():
             g = grams(ids, q)
-            if not len(g):
+            at = np.flatnonzero(seen[g >> np.uint64(42)])
+            at = at[at + q <= last[at]]
+            low, high = np.searchsorted(keys, g[at]), np.searchsorted(keys, g[at], "right")
+            many = high - low
+            at, slot = np.repeat(at, many), np.repeat(low, many)
+            slot = slot + np.arange(len(slot)) - np.repeat(np.cumsum(many) - many, many)
+            numbers.append(number[slot])
+            starts.append(np.maximum(at - place[slot], first[at]))
+        both = np.unique(np.stack([np.concatenate(numbers), np.concatenate(starts)]), axis=1) if numbers else np.zeros((2, 0), np.int64)
+        return both[0], both[1]
+
+    def find(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int]]:
+        """(text number, item, edits, word number of the window) of every item that leaks into a text."""
+        parts = [word_ids(t, self.known) for t in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        ids = np.concatenate([*parts, np.zeros(0, np.uint64)])
+        ends = np.cumsum(sizes)
+        first, last = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
+        numbers, starts = self._windows(ids, first, last)
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        cut = np.flatnonzero(np.diff(numbers)) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(starts)]):
+            if a == b:
                 continue
-            slot = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-            hit = np.flatnonzero(keys[slot] == g)
-            for p, s in zip(hit.tolist(), slot[hit].tolist()):
-                while s < len(keys) and keys[s] == g[p]:
-                    near.setdefault(int(item[s]), set()).add(p - int(place[s]))
-                    s += 1
-        found = []
-        for number, starts in near.items():
-            item_id, words, k, samples = self.items[number]
-            n = len(words)
-            at = np.array(sorted({max(0, s) for s in starts}), np.int64)
+            item_id, words, k, samples = self.items[int(numbers[a])]
+            n, at = len(words), starts[a:b]
             passed = np.zeros(len(at), bool)
             for walk, where, want in samples:
                 left = np.flatnonzero(~passed)
                 if not len(left):
                     break
-                out = embed(ids, at[left], n, walk)
+                out = embed(ids, at[left], last[at[left]], n, walk)
                 passed[left] = (out[where] == want[:, :, None]).all(axis=1).any(axis=0)
-            best = None
             for s in at[passed].tolist():
-                d = edit_distance(words, ids[max(0, s - k):s + n + k])
-                if d <= k and (best is None or d < best[0]):
-                    best = (d, s)
-            if best:
-                found.append((item_id, *best))
-        return found
+                low, high = int(first[s]), int(last[s])
+                d = edit_distance(words, ids[max(low, s - k):min(high, s + n + k)])
+                row = int(np.searchsorted(ends, s, "right"))
+                if d <= k and (d, s - low) < best.get((row, int(numbers[a])), (k + 1, 0)):
+                    best[row, int(numbers[a])] = (d, s - low)
+        return [(row, self.items[number][0], d, s) for (row, number), (d, s) in sorted(best.items())]
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
@@ -187,7 +206,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, ratio)
             for batch in batches:
-                rows = [(n, *hit) for n, text in enumerate(batch.column(1).to_pylist()) for hit in index.find(text)]
+                rows = index.find(batch.column(1).to_pylist())
                 if rows:
                     n, item, edits, at = zip(*rows)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(n)), pa.array(item, pa.int64()),
@@ -216,6 +235,8 @@ def _leaked(shared, ratio: float):
     def leaked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = Index(shared.value, ratio)
         for batch in batches:
-            yield pd.Series([bool(index.find(t)) for t in batch], dtype="bool")
+            out = np.zeros(len(batch), bool)
+            out[[row for row, *_ in index.find(list(batch))]] = True
+            yield pd.Series(out)
 
     return leaked
