@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, line_dedup, mixing, quality, simhash, url_filter, warc
+from . import decontam, exact_dedup, line_dedup, mixing, quality, repeats, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -46,7 +50,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_decontamination, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup, op9_exact_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_suffix_array, op4_decontamination, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup, op9_exact_dedup, op10_quality)}
 
 ORACLES = {
     "op5_mixing": r"""
