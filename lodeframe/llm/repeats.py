@@ -36,6 +36,8 @@ from .common import shuffle_width, written
 LENGTH, HALF = 50, 25
 #: Bytes that are hashed at once; a longer text is cut, and its windows at a cut take the second round.
 PIECE = 1 << 20
+#: Bytes of text whose entries are folded together before they move.
+FOLD = 6 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = np.uint64((1 << 48) - 1)
 _tables: dict[str, np.ndarray] = {}
@@ -178,34 +180,48 @@ ENTRY, COVER, OPEN, TEXT = 0, 1, 2, 3
 
 def _first_entries(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Entries of the texts, folded in the batch: ENTRY rows, and COVER rows for what repeats within it."""
-    for batch in batches:
-        parts = []
-        ids = batch.column(0).to_pylist()
-        for doc, text in zip(ids, batch.column(1).to_pylist()):
-            if doc is None or text is None or len(text) < LENGTH:
-                continue
+    parts, size = [], 0
+    for doc, text in _texts(batches):
+        if doc is not None and text is not None and len(text) >= LENGTH:
             sig, data = xxhash.xxh64_intdigest(text), np.frombuffer(text, np.uint8)
             for at in range(0, len(data), PIECE):
                 lo, hi, first, context = window_picks(data[at:at + PIECE + LENGTH - 1])
                 if len(lo):
                     parts.append((np.full(len(lo), doc, np.int64), np.full(len(lo), sig, np.uint64), lo + at, hi + at, first, context))
-        if not parts:
-            continue
-        doc, sig, lo, hi, first, context = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((doc, context, first))
-        known = _settle(order, doc, first, context)
-        rows = list(_found(COVER, buckets, doc[known], sig[known], lo[known], hi[known]))
-        left = np.flatnonzero(~known)
-        left = left[np.argsort(doc[left], kind="stable")]
-        for bucket, at in _by_bucket((first[left] % np.uint64(buckets)).astype(np.int64)):
-            at = left[at]
-            rows.append((bucket, ENTRY, _pack_entries(doc[at], sig[at], lo[at], hi[at], first[at], context[at])))
-        yield _rows(rows)
+            size += len(text)
+        if size > FOLD:
+            yield _folded(parts, buckets)
+            parts, size = [], 0
+    if parts:
+        yield _folded(parts, buckets)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes | None]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+
+
+def _folded(parts: list[tuple], buckets: int) -> pa.RecordBatch:
+    doc, sig, lo, hi, first, context = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((doc, context, first))
+    known = _settle(order, doc, first, context)
+    rows = list(_found(COVER, buckets, doc[known], sig[known], lo[known], hi[known]))
+    left = np.flatnonzero(~known)
+    left = left[np.argsort(doc[left], kind="stable")]
+    for bucket, at in _by_bucket((first[left] % np.uint64(buckets)).astype(np.int64)):
+        at = left[at]
+        rows.append((bucket, ENTRY, _pack_entries(doc[at], sig[at], lo[at], hi[at], first[at], context[at])))
+    return _rows(rows)
 
 
 def _meet(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """All entries of a bucket of first ranks: what repeats, and what the second round must look at."""
-    parts = [_unpack_entries(b) for batch in batches for b in batch.column(2).to_pylist()]
+    """All entries of a bucket of first ranks: what repeats, and what the second round must look at. COVER rows pass."""
+    parts = []
+    for batch in batches:
+        kind = batch.column(1).to_numpy()
+        yield batch.filter(pa.array(kind == COVER))
+        parts += [_unpack_entries(b) for b in batch.filter(pa.array(kind == ENTRY)).column(2).to_pylist()]
     if not parts:
         return
     doc, sig, lo, hi, first, context = (np.concatenate(c) for c in zip(*parts))
@@ -327,8 +343,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def mapped(df: DataFrame, f, schema: str = schema) -> DataFrame:
         return df.mapInArrow(lambda batches: f(batches, buckets), schema)
 
-    first = written(mapped(texts, _first_entries), "entries")
-    met = written(mapped(first.where(F.col("kind") == ENTRY).repartition(width, "bucket"), _meet), "met")
+    met = written(mapped(mapped(texts, _first_entries).repartition(2 * width, "bucket"), _meet), "met")
 
     def beside(found: DataFrame) -> DataFrame:
         """Findings and texts, by document bucket; findings first."""
@@ -339,7 +354,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = mapped(beside(met.where(F.col("kind") == OPEN)), _doubled, "r1 long, r2 long, doc long, sig long, at int")
     ordered = pairs.repartition(width, "r1", "r2").sortWithinPartitions("r1", "r2", "doc")
     second = written(mapped(ordered, _repeated), "second")
-    covers = first.where(F.col("kind") == COVER).union(met.where(F.col("kind") == COVER)).union(second)
+    covers = met.where(F.col("kind") == COVER).union(second)
 
     def cut(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
         names = ["__id", "kept", "n_bytes", "n_removed", "n_spans"]
