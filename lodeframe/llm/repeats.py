@@ -336,14 +336,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     width = shuffle_width(spark)
-    buckets = 4 * width
+    buckets = 2 * width
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("blob"))
     schema = "bucket int, kind int, blob binary"
 
     def mapped(df: DataFrame, f, schema: str = schema) -> DataFrame:
         return df.mapInArrow(lambda batches: f(batches, buckets), schema)
 
-    met = written(mapped(mapped(texts, _first_entries).repartition(2 * width, "bucket"), _meet), "met")
+    met = written(mapped(mapped(texts, _first_entries).repartition(2 * buckets, "bucket"), _meet), "met")
 
     def beside(found: DataFrame) -> DataFrame:
         """Findings and texts, by document bucket; findings first."""
