@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, line_dedup, mixing, quality, repeats, simhash, url_filter, warc
+from . import decontam, exact_dedup, line_dedup, lm, mixing, quality, repeats, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_suffix_array, op4_decontamination, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup, op9_exact_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_simhash, op3_suffix_array, op4_decontamination, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup, op9_exact_dedup, op10_quality)}
 
 ORACLES = {
     "op5_mixing": r"""
