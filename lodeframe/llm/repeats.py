@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_width, written
+from .common import release, shuffle_width, written
 
 LENGTH, HALF = 50, 25
 #: Bytes that are hashed at once; a longer text is cut, and its windows at a cut take the second round.
@@ -344,6 +344,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return df.mapInArrow(lambda batches: f(batches, buckets), schema)
 
     met = written(mapped(mapped(texts, _first_entries).repartition(2 * buckets, "bucket"), _meet), "met")
+    release(spark)
 
     def beside(found: DataFrame) -> DataFrame:
         """Findings and texts, by document bucket; findings first."""
@@ -354,6 +355,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = mapped(beside(met.where(F.col("kind") == OPEN)), _doubled, "r1 long, r2 long, doc long, sig long, at int")
     ordered = pairs.repartition(width, "r1", "r2").sortWithinPartitions("r1", "r2", "doc")
     second = written(mapped(ordered, _repeated), "second")
+    del pairs, ordered
+    release(spark)
     covers = met.where(F.col("kind") == COVER).union(second)
 
     def cut(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
