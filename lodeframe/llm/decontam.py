@@ -7,8 +7,8 @@ A window as long as the item is embedded by the random walk of Chakraborty, Gold
 copies the word under the pointer and moves on or stays by a coin that depends on (j, word), so that edit
 distance becomes Hamming distance. WALKS walks are sampled at SAMPLES x WIDTH positions: a window is a
 candidate if for one sample all its WIDTH positions agree with the item's. The windows that are embedded are those
-that agree with the item in q words in a row at the same place: a passage within k edits keeps such a
-run (q <= (n - k) / (k + 1)), so this loses none. Candidates are verified by exact edit distance to the best passage.
+that agree with the item in q words in a row, at as many of the same places as a passage within k edits
+must keep (see `run_length` and `least_hits`), so this loses none. Candidates are verified by exact edit distance to the best passage.
 
 The benchmark is a stated query set: it is read in blocks of at most BLOCK_BYTES, whose tables are
 what executors get; documents are read once a block and never shuffled.
@@ -71,6 +71,11 @@ def run_length(n: int, k: int) -> int:
     return max(1, min(GRAM, -(-(n - k) // (k + 1))))
 
 
+def least_hits(n: int, k: int, q: int) -> int:
+    """Of the n - q + 1 grams of an item, k edits break at most k q; the rest line up in at most k + 1 shifts."""
+    return max(1, -(-(n - q + 1 - k * q) // (k + 1)))
+
+
 def embed(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, walk: int) -> np.ndarray:
     """The walk's output for windows of n words from `starts`, cut at `ends`: steps x windows; past the end: 0."""
     steps = STEPS_PER_WORD * n
@@ -106,7 +111,7 @@ class Index:
     """A block of benchmark items, ready to be looked for."""
 
     def __init__(self, items: list[tuple[int, bytes]], ratio: float) -> None:
-        self.items, keys, self.known = [], {}, Words()
+        self.items, self.hits, keys, self.known = [], [], {}, Words()
         for item_id, text in items:
             ids = word_ids(text, self.known)
             n = len(ids)
@@ -117,6 +122,7 @@ class Index:
             samples = [(walk, where, embed(ids, np.zeros(1, np.int64), np.array([n]), n, walk)[:, 0][where])
                        for walk, where in sampled_positions(n)]
             self.items.append((item_id, ids, k, samples))
+            self.hits.append(least_hits(n, k, q))
             for at, g in enumerate(grams(ids, q).tolist()):
                 keys.setdefault(q, []).append((g, number, at))
         self.tables = {}
@@ -140,8 +146,12 @@ class Index:
             slot = slot + np.arange(len(slot)) - np.repeat(np.cumsum(many) - many, many)
             numbers.append(number[slot])
             starts.append(np.maximum(at - place[slot], first[at]))
-        both = np.unique(np.stack([np.concatenate(numbers), np.concatenate(starts)]), axis=1) if numbers else np.zeros((2, 0), np.int64)
-        return both[0], both[1]
+        if not numbers:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        width = np.int64(len(ids) + 1)
+        both, times = np.unique(np.concatenate(numbers) * width + np.concatenate(starts), return_counts=True)
+        both = both[times >= np.array(self.hits, np.int64)[both // width]]
+        return both // width, both % width
 
     def find(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int]]:
         """(text number, item, edits, word number of the window) of every item that leaks into a text."""
