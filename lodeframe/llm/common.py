@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,8 +49,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round frees the plans, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 @atexit.register

@@ -273,7 +273,7 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def _doubled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """(r1, r2, doc, sig, at) of the open windows: the ranks at `at` and HALF further."""
+    """(r1, r2, doc, sig, at) of the open windows: 96 bits of the pair of ranks at `at` and HALF further."""
     names = ["r1", "r2", "doc", "sig", "at"]
     parts, size = [], 0
     for doc, text, lo, hi in _with_texts(batches):
@@ -287,7 +287,7 @@ def _doubled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             sums = _sums(data[low:low + PIECE + LENGTH])
             a, b = _strings(sums, own, own + HALF), _strings(sums, own + HALF, own + LENGTH)
             n = len(own)
-            parts.append((a.view(np.int64), b.view(np.int64), np.full(n, doc, np.int64),
+            parts.append(((a >> np.uint64(32)).astype(np.uint32).view(np.int32), _mix(b ^ a).view(np.int64), np.full(n, doc, np.int64),
                           np.full(n, xxhash.xxh64_intdigest(text), np.uint64).view(np.int64), (own + low).astype(np.int32)))
             size += n
         if size > 200_000:
@@ -352,7 +352,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = found.withColumn("doc", F.lit(None).cast("long")).unionByName(with_bucket)
         return rows.repartition(width, "bucket").sortWithinPartitions("bucket", "kind")
 
-    pairs = mapped(beside(met.where(F.col("kind") == OPEN)), _doubled, "r1 long, r2 long, doc long, sig long, at int")
+    pairs = mapped(beside(met.where(F.col("kind") == OPEN)), _doubled, "r1 int, r2 long, doc long, sig long, at int")
     ordered = pairs.repartition(width, "r1", "r2").sortWithinPartitions("r1", "r2", "doc")
     second = written(mapped(ordered, _repeated), "second")
     del pairs, ordered
