@@ -162,7 +162,7 @@ def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str)
 def near_lines(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """pos of the distinct lines' first positions that an earlier line is one word apart from."""
     candidates = _candidates(docs, firsts, id_col, text_col)
-    index = _variants(candidates)
+    index = written(_variants(candidates), "variants")
     where_d, where_g = F.when(F.col("kind") == 0, F.col("cid")), F.when(F.col("kind") == 1, F.col("cid"))
     groups = index.groupBy("key").agg(F.min(where_d).alias("d0"), F.max(where_d).alias("d1"), F.min(where_g).alias("g0"),
                                       F.max(where_g).alias("g1"), F.count(F.lit(1)).alias("c"))
