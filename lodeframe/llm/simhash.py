@@ -114,7 +114,10 @@ def _block_links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
 
 
 def links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
-    """(a, b): verified links between distinct fingerprints (column fp) with the components of all links."""
+    """(a, b): pairs of distinct fingerprints (column fp) with the components of all verified links.
+
+    A pair of a block names a member and the first of its component there, which a path of links joins.
+    """
     index = variants(fps)
     shared = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                      .where("n > 1"), "shared")
