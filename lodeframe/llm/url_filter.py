@@ -23,7 +23,7 @@ from .common import ascii_lower, written
 
 #: The driver holds a level's bits and the plan carries them; a larger level is refused (see `build_cascade`).
 MAX_LEVEL_BYTES = 1 << 18
-MIN_BITS, MAX_HASHES = 4096, 32
+MIN_BITS, MAX_HASHES, MAX_LEVELS = 4096, 32, 64
 
 
 @dataclass(frozen=True)
@@ -72,37 +72,41 @@ def candidate_keys(host: Column, path: Column, rules) -> Column:
 class Level:
     bits: int
     hashes: int
+    depth: int
     words: tuple[int, ...]
 
     def passes(self, key: Column) -> Column:
         table = F.expr(f"array({','.join(f'{w}L' if w > -(1 << 63) else 'shiftleft(1L, 63)' for w in self.words)})")
         out = F.lit(True)
-        for at in positions(key, self.bits, self.hashes):
+        for at in positions(key, self.bits, self.hashes, self.depth):
             word = F.element_at(table, (F.shiftright(at, 6) + 1).cast("int"))
             out = out & (F.call_function("shiftrightunsigned", word, (at % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
         return out
 
 
-def positions(key: Column, bits: int, hashes: int) -> list[Column]:
-    """Double hashing: the i-th position is (a + i * b) mod bits."""
-    a, b = F.xxhash64(F.lit(1), key), F.xxhash64(F.lit(2), key)
+def positions(key: Column, bits: int, hashes: int, depth: int) -> list[Column]:
+    """Double hashing: the i-th position is (a + i * b) mod bits.
+
+    The hashes differ by depth: with the same ones, keys that collide on one level would collide on all.
+    """
+    a, b = F.xxhash64(F.lit(2 * depth + 1), key), F.xxhash64(F.lit(2 * depth + 2), key)
     return [F.pmod(F.shiftright(a, 8) + F.lit(i) * F.shiftright(b, 8), F.lit(bits)).cast("long") for i in range(hashes)]
 
 
-def build_level(keys: DataFrame, count: int, miss: float) -> Level:
+def build_level(keys: DataFrame, count: int, miss: float, depth: int) -> Level:
     """A Bloom filter of the column `key`, built by one aggregation over 64-bit words."""
     count = max(1, count)
     bits = max(MIN_BITS, 64 * math.ceil(-count * math.log(miss) / math.log(2) ** 2 / 64))
     if bits // 8 > MAX_LEVEL_BYTES:
         raise ValueError(f"a level of {bits // 8} bytes is over MAX_LEVEL_BYTES")
     hashes = min(MAX_HASHES, max(1, round(bits / count * math.log(2))))
-    at = keys.select(F.explode(F.array(*positions(F.col("key"), bits, hashes))).alias("at"))
+    at = keys.select(F.explode(F.array(*positions(F.col("key"), bits, hashes, depth))).alias("at"))
     rows = at.groupBy(F.shiftright("at", 6).cast("int").alias("word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")).collect()
     words = [0] * (bits // 64)
     for r in rows:
         words[r["word"]] = r["v"]
-    return Level(bits, hashes, tuple(words))
+    return Level(bits, hashes, depth, tuple(words))
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, miss: float | None = None, deeper: float = 0.5) -> list[Level]:
@@ -111,15 +115,18 @@ def build_cascade(listed: DataFrame, universe: DataFrame, miss: float | None = N
     Each later level is built from what the one before lets through: about miss x universe keys, then
     shrinking by `deeper`. By default miss is one in the universe's size, so level 0 takes about
     1.5 x log2(universe) bits a listed key and the later levels hold next to nothing, at any size of the
-    corpus. A level over MAX_LEVEL_BYTES raises; that takes some 50,000 listed keys.
+    corpus. A level over MAX_LEVEL_BYTES raises; that takes some 50,000 listed keys. Mistakes left
+    after MAX_LEVELS raise too: a cascade is exact or is not built.
     """
     miss = miss or 1.0 / max(100, universe.count())
     inside = listed
     outside = universe.join(listed, "key", "left_anti")
     levels: list[Level] = []
     count = inside.count()
-    while count and len(levels) < 64:
-        level = build_level(inside, count, miss if not levels else deeper)
+    while count:
+        if len(levels) == MAX_LEVELS:
+            raise ValueError(f"mistakes are left after {MAX_LEVELS} levels")
+        level = build_level(inside, count, miss if not levels else deeper, len(levels))
         levels.append(level)
         inside, outside = written(outside.where(level.passes(F.col("key"))), "false"), inside
         count = inside.count()

@@ -183,6 +183,25 @@ def test_cascade_is_exact(spark, monkeypatch):
     assert wrong.count() == 0
 
 
+def test_cascade_stays_exact_over_a_large_universe(spark, monkeypatch):
+    """72 listed keys, 5,000 in all, and a level 0 that lets nearly a third through."""
+    monkeypatch.setattr(url_filter, "MIN_BITS", 64)
+    listed = spark.range(72).select(F.concat(F.lit("k"), F.col("id") * 7).alias("key"))
+    universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
+    levels = url_filter.build_cascade(listed, universe, miss=0.3)
+    assert 2 < len(levels) < 25
+    found = {r["key"] for r in universe.where(url_filter.member(levels, F.col("key"))).collect()}
+    assert found == {f"k{7 * i}" for i in range(72)}
+
+
+def test_cascade_refuses_to_stop_early(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MIN_BITS", 64)
+    monkeypatch.setattr(url_filter, "MAX_LEVELS", 1)
+    with pytest.raises(ValueError):
+        url_filter.build_cascade(spark.range(90).select(F.concat(F.lit("k"), "id").alias("key")),
+                                 spark.range(900).select(F.concat(F.lit("k"), "id").alias("key")), miss=0.5)
+
+
 def test_urls(spark):
     rows = [(1, "https://A.Example.org/es/x?q"), (2, "http://example.org/en/12"), (3, "http://x.org"), (4, "http://y.com/de/"), (5, None), (6, "no scheme"), (7, "http://notorg/")]
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
