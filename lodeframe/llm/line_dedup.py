@@ -175,8 +175,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -
         .select(F.col("cid").alias("late"), "early")
     found = written(two.union(more).where("early < late").distinct(), "found")
     checked = found.join(candidates.select(F.col("cid").alias("late"), "pos", F.col("words").alias("x")), "late") \
-        .join(candidates.select(F.col("cid").alias("early"), F.col("words").alias("y")), "early")
-    return checked.where(_one_word_apart(F.col("x"), F.col("y"))).select("pos").distinct()
+        .join(candidates.select(F.col("cid").alias("early"), F.col("pos").alias("first"), F.col("words").alias("y")), "early")
+    # Rows that repeat an identifier give candidates of equal position, which don't count for each other.
+    return checked.where((F.col("first") < F.col("pos")) & _one_word_apart(F.col("x"), F.col("y"))).select("pos").distinct()
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -171,6 +171,13 @@ def test_decontamination_finds_edited_items(spark):
     assert all(r["edits"] <= len(dict(items)[r["item_id"]].split()) // 5 for r in got)
 
 
+def test_repeated_rows_keep_their_lines(spark):
+    """A row that repeats another does not make its lines near duplicates of themselves."""
+    rows = [(1, "a b c d e f\nx"), (1, "a b c d e f\nx"), (2, "a b c q r s t"), (3, "a b c d z f")]
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, "a b c d e f\nx"), (1, "a b c d e f\nx"), (2, "a b c q r s t"), (3, "")]
+
+
 def test_cascade_is_exact(spark, monkeypatch):
     """Small levels, so that several are needed."""
     monkeypatch.setattr(url_filter, "MIN_BITS", 64)
