@@ -184,10 +184,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """__id, drop: array of (line number, line key) of each document that loses lines."""
     lines = lines_of(docs, id_col, text_col)
     occurrences = written(lines.withColumn("halves", _halves()).select("__id", "__line", "k1", "k2", "pos", "halves"), "lines")
-    firsts = written(occurrences.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("c")), "firsts")
-    own = occurrences.where(F.col("halves").isNotNull()).join(firsts.select("k1", "k2", "pos"), ["k1", "k2", "pos"], "left_semi") \
-        .dropDuplicates(["k1", "k2"])
-    near = written(near_lines(docs, own, id_col, text_col), "near")
+    first = F.min(F.struct("pos", "__id", "__line", "halves")).alias("first")
+    firsts = written(occurrences.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("c")).select("k1", "k2", "c", "first.*"), "firsts")
+    near = written(near_lines(docs, firsts, id_col, text_col), "near")
     marked = firsts.join(near.select(F.col("pos").alias("late")), F.col("pos") == F.col("late"), "left") \
         .where(F.col("late").isNotNull() | (F.col("c") > 1)) \
         .select("k1", "k2", F.when(F.col("late").isNull(), F.col("pos")).alias("first"))
