@@ -152,7 +152,7 @@ def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str)
     rows = rows.select(F.explode(F.filter("want", lambda w: w["__line"] == F.col("y.i"))).alias("at"), _norm(F.col("y.raw")).alias("norm"))
     rows = rows.where(F.xxhash64("norm") == F.col("at.k1")).select("at.pos", F.split("norm", " ").alias("words"))
     rough = written(rows.withColumn("n", F.size("words")), "rough")
-    finer = rough.select("pos", F.explode(_quarters()).alias("x")).select("pos", "x.*")
+    finer = written(rough.select("pos", F.explode(_quarters()).alias("x")).select("pos", "x.*"), "quarters")
     shared = finer.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
     kept = finer.join(shared, "h", "left_semi").groupBy("pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     rows = rough.join(kept, "pos").orderBy("pos").withColumn("cid", F.monotonically_increasing_id())
