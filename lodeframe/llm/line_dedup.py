@@ -54,11 +54,12 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _halves() -> Column:
     """Keys of the first and last m words, for the m of this word count and that of one word less."""
-    out = []
-    for size in (_half(F.col("n")), _half(F.col("n") - 1)):
-        for side in (1, -1):
-            out.append(F.xxhash64(F.lit(side), size, F.call_function("substring_index", F.col("norm"), F.lit(" "), size * side)))
-    return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*out)))
+    def ends(size: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(side), size, F.call_function("substring_index", F.col("norm"), F.lit(" "), size * side)) for side in (1, -1)]
+
+    own, less = _half(F.col("n")), _half(F.col("n") - 1)
+    # The two only differ where the count is a power of two.
+    return F.when(F.col("n") >= MIN_WORDS, F.when(own == less, F.array(*ends(own))).otherwise(F.array(*ends(own), *ends(less))))
 
 
 def _half(n: Column) -> Column:
