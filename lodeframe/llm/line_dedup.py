@@ -72,15 +72,18 @@ def _quarters() -> Column:
 
     With m words the same at one end, of the next m / 2 words and the last m / 2 one part stays too.
     """
-    out, words, n = [], F.col("words"), F.col("n")
-    for m in (_half(n), _half(n - 1)):
+    words, n = F.col("words"), F.col("n")
+    head, foot = lambda k: F.slice(words, 1, k), lambda k: F.slice(words, n - k + 1, k)
+    none = F.array().cast("array<string>")
+
+    def parts(m: Column) -> list[Column]:
         q = F.greatest((m / 2).cast("int"), F.lit(1))
-        head, foot = lambda k: F.slice(words, 1, k), lambda k: F.slice(words, n - k + 1, k)
-        none = F.array().cast("array<string>")
-        for tag, x, y, lo, hi in ((1, head(m + q), none, m + q + 1, n), (2, head(m), foot(q), m + 1, n - q),
-                                  (3, none, foot(m + q), F.lit(1), n - m - q), (4, head(q), foot(m), q + 1, n - m)):
-            out.append(F.struct(F.xxhash64(F.lit(tag), m, x, y).alias("h"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi")))
-    return F.array_distinct(F.array(*out))
+        return [F.struct(F.xxhash64(F.lit(tag), m, x, y).alias("h"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+                for tag, x, y, lo, hi in ((1, head(m + q), none, m + q + 1, n), (2, head(m), foot(q), m + 1, n - q),
+                                          (3, none, foot(m + q), F.lit(1), n - m - q), (4, head(q), foot(m), q + 1, n - m))]
+
+    own, less = _half(n), _half(n - 1)
+    return F.when(own == less, F.array(*parts(own))).otherwise(F.array(*parts(own), *parts(less)))
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
