@@ -248,6 +248,24 @@ def test_lm_base_and_model(spark, docs):
     assert np.isfinite(got["score"]).all() and (got["score"] < 0).all()
 
 
+def test_lm_trains_on_all_training_texts(spark, monkeypatch):
+    """Half a million training words, and no text is left out."""
+    rows = [(i, f"only{i} " + "word " * 700) for i in range(900)]
+    trained = []
+
+    class Done(Exception):
+        pass
+
+    def spy(texts, tokens, ranks, *rest):
+        trained.extend(r["__id"] for r in texts.select("__id").collect())
+        raise Done
+
+    monkeypatch.setattr(lm, "train", spy)
+    with pytest.raises(Done):
+        lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(trained) == [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+
+
 def test_lm_is_a_distribution_and_causal():
     rng = np.random.default_rng(0)
     model = lm.Model.fresh(rng.integers(0, 50, lm.IDS), np.arange(lm.IDS))
