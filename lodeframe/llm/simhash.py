@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -131,6 +132,14 @@ def links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     return pairs.union(forest)
 
 
+def _rooted(nodes: DataFrame, bits: int, block: int) -> DataFrame:
+    """nodes, one row per fingerprint (column fp), with the root of each one's component."""
+    if not 0 <= bits <= 3:
+        raise ValueError("two segments with one wildcard find at most three differing bits")
+    roots = written(components(links(nodes.select("fp"), bits, block)), "roots")
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, shingle: int = SHINGLE,
                block: int = BLOCK) -> DataFrame:
     """One row per input row: id_col, fingerprint (16 hex digits), component_id (least identifier reachable).
@@ -139,13 +148,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     identifiers are in components but never name one, unless all are null. Repeated rows are in one
     component. An empty table gives no rows. Other columns are ignored, whatever their names.
     """
-    if not 0 <= bits <= 3:
-        raise ValueError("two segments with one wildcard find at most three differing bits")
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = written(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("least")), "nodes")
-    roots = written(components(links(nodes.select("fp"), bits, block)), "roots")
-    named = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(nodes, bits, block)
     least = written(named.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component_id")), "tops")
     named = written(named.join(least, F.col("root") == F.col("top")).select("fp", "component_id"), "named")
     return rows.join(named, F.col("__fp") == F.col("fp")).select(
@@ -153,7 +158,21 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """The rows, with all their columns, of each component's least identifier; null identifiers of all-null components stay."""
-    named = near_dedup(docs, id_col, text_col, bits, shingle)
-    gone = written(named.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """One row, with all its columns, of each component: that of the least identifier, null ones last.
+
+    Rows are told apart by a number of their own, never by identifier: of repeated rows, and of rows
+    that share an identifier or have none, one stays in each component that has no lesser identifier.
+    """
+    @F.pandas_udf("long")
+    def fingerprinted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([fingerprint(t, shingle) for t in batch], dtype="int64")
+
+    text = F.col(text_col).cast("string").cast("binary")
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), fingerprinted(text).alias("fp"), F.xxhash64(text).alias("sig"))
+    rows = written(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    rank = F.struct(F.col("id").isNull().alias("unnamed"), "id", "fp", "sig", "number")
+    nodes = written(rows.groupBy("fp").agg(F.min(rank).alias("first")), "nodes")
+    first = _rooted(nodes, bits, BLOCK).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.number").alias("number"))
+    gone = written(rows.select("number").join(first, "number", "left_anti"), "gone")
+    return rows.join(gone, "number", "left_anti").select("doc.*")

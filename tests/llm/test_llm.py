@@ -120,6 +120,20 @@ def test_simhash_links_in_blocks(spark):
     assert [find(i) for i in range(len(fps))] == list(labels_of(fps))
 
 
+def test_keep_one_decides_by_row(spark):
+    """Null and repeated identifiers: one row of each component stays, and no row goes for another's sake."""
+    rng = np.random.default_rng(4)
+    a, b, c, d, e, f = (" ".join(rng.choice([f"w{i}" for i in range(500)], 60)) for _ in range(6))
+    near = [i for i in range(len(a.split())) if (fingerprint(a) ^ fingerprint(" ".join([*a.split(), f"x{i}"]))).bit_count() <= 3]
+    a2 = " ".join([*a.split(), f"x{near[0]}"])
+    rows = [(3, a), (None, a2), (None, b), (None, c), (None, c), (7, a), (7, d), (8, e), (8, e), (9, e), (None, e), (5, f), (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, number string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"] or "") for r in kept.collect())
+    assert got == Counter([(3, a), (None, b), (None, c), (7, d), (8, e), (5, f), (None, "")])
+
+
 def test_repeats_against_brute_force(spark, docs):
     rows = docs.orderBy("doc_id").limit(120).toPandas()
     extra = [(1000, "ab" * 400), (1001, "x" + "ab" * 100 + "y"), (1002, "q" * 49), (1003, "q" * 49), (1004, None)]
