@@ -10,6 +10,7 @@ from .common import written
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges (a, b), two columns of one orderable type; root is its least node.
+    Raises where the last of most_rounds still changed something.
 
     A round links each node's larger neighbours to its least one, then each node's smaller ones. Every
     half round is written to the shared folder, so the lineage stays short and a lost executor costs
@@ -30,5 +31,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if seen == tuple(state):
             break
         seen = tuple(state)
+    else:
+        raise ValueError(f"components still change after {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

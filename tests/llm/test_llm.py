@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SF
-from lodeframe.llm import common, decontam, exact_dedup, line_dedup, lm, mixing, quality, repeats, simhash, url_filter, warc
+from lodeframe.llm import common, decontam, exact_dedup, graph, line_dedup, lm, mixing, quality, repeats, simhash, url_filter, warc
 from lodeframe.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, source string, extra string, __id string"
@@ -120,6 +120,13 @@ def test_simhash_links_in_blocks(spark):
     assert [find(i) for i in range(len(fps))] == list(labels_of(fps))
 
 
+def test_components_refuse_to_stop_early(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long")
+    assert {r["root"] for r in graph.components(chain).collect()} == {0}
+    with pytest.raises(ValueError):
+        graph.components(chain, most_rounds=1)
+
+
 def test_keep_one_decides_by_row(spark):
     """Null and repeated identifiers: one row of each component stays, and no row goes for another's sake."""
     rng = np.random.default_rng(4)
