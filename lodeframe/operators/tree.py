@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DEPTH_MOST = 64
 
@@ -29,12 +30,15 @@ def without_subtree(nodes: DataFrame, root: str, depth_most: int = DEPTH_MOST) -
         SELECT t.* FROM __tree t LEFT ANTI JOIN gone g ON t.node = g.node""")
 
 
-def cycles(nodes: DataFrame, depth_most: int = 8) -> DataFrame:
-    """Nodes that are their own ancestor within depth_most steps."""
-    nodes.createOrReplaceTempView("__tree")
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE up(node, ancestor, depth) MAX RECURSION LEVEL {depth_most + 2} AS (
-          SELECT node, parent, 1 FROM __tree WHERE parent IS NOT NULL
-          UNION ALL SELECT u.node, t.parent, u.depth + 1 FROM up u JOIN __tree t ON u.ancestor = t.node
-          WHERE t.parent IS NOT NULL AND u.depth < {depth_most})
-        SELECT DISTINCT node FROM up WHERE node = ancestor""")
+def cycles(nodes: DataFrame) -> DataFrame:
+    """Nodes that are their own ancestor, at any distance: the distance covered doubles until no new ancestor appears."""
+    shared = nodes.sparkSession.sparkContext.getCheckpointDir() is not None
+    keep = lambda df: df.checkpoint() if shared else df.localCheckpoint()
+    up = keep(nodes.where("parent IS NOT NULL").selectExpr("node", "parent AS ancestor").distinct())
+    size, seen = up.count(), -1
+    while size != seen:
+        seen = size
+        further = up.alias("a").join(up.alias("b"), F.expr("a.ancestor = b.node")).selectExpr("a.node", "b.ancestor")
+        up = keep(up.union(further).distinct())
+        size = up.count()
+    return up.where("node = ancestor").select("node")

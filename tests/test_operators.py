@@ -137,3 +137,9 @@ def test_stream_sinks(spark, tmp_path):
     sink = usage.split_dead_letters(str(tmp_path), lambda df: df, F.col("kind") == "bad")
     sink(rows, 3), sink(rows, 3)  # the same batch again replaces what it wrote
     assert spark.read.parquet(f"{tmp_path}/done").count() == 1 and spark.read.parquet(f"{tmp_path}/dead").count() == 1
+
+
+def test_long_cycle(spark):
+    """A cycle of twenty, a tail that leads into it, and a chain that ends."""
+    rows = [(f"n{i}", f"n{(i + 1) % 20}") for i in range(20)] + [("t0", "t1"), ("t1", "n3"), *((f"c{i}", f"c{i + 1}") for i in range(15)), ("c15", None)]
+    assert sorted(r["node"] for r in Tr.cycles(spark.createDataFrame(rows, "node string, parent string")).collect()) == sorted(f"n{i}" for i in range(20))
