@@ -28,7 +28,10 @@ def fewer_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group of near duplicates."""
+    """The document with the smallest identifier of each group of near duplicates.
+
+    Near is op2's rule, at most 3 of 64 bits over three-word shingles: far stricter than a similarity of 0.8 (figures in README).
+    """
     return simhash.keep_one(docs)
 
 
