@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,10 +19,12 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master one of our own where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not (spark.sparkContext.master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = f"file://{tempfile.mkdtemp(prefix='lodeframe-')}"
@@ -39,33 +39,55 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Has Spark delete a plan's shuffle files as soon as the plan has run.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it back."""
+    """Cut the lineage: write df as Parquet to the shared folder, drop its shuffle files, and read it back."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = new_path(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._lodeframe_path = path
+    return found
+
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
-    for _ in range(2):  # the first round frees the plans, the second what they held
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.7)
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `written` that no later plan reads."""
+    for df in tables:
+        delete(df.sparkSession, df._lodeframe_path)
 
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            delete(spark, path)
         except Exception:  # the session may be gone; the folder then outlives it
             return
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Names like the given ones that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

@@ -8,6 +8,7 @@ from math import log10
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -141,24 +142,72 @@ def test_keep_one_decides_by_row(spark):
     assert got == Counter([(3, a), (None, b), (None, c), (7, d), (8, e), (5, f), (None, "")])
 
 
-def test_repeats_against_brute_force(spark, docs):
-    rows = docs.orderBy("doc_id").limit(120).toPandas()
-    extra = [(1000, "ab" * 400), (1001, "x" + "ab" * 100 + "y"), (1002, "q" * 49), (1003, "q" * 49), (1004, None)]
-    texts = list(zip(rows["doc_id"].tolist(), rows["text"])) + extra
-    got = {r["doc_id"]: r for r in repeats.removal_report(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    seen = set()
+def repeats_by_hand(texts, length=50):
+    """(doc, n_bytes, n_removed, n_spans, kept_sha256) of each row, sorted."""
+    seen, out = {}, []
+    for doc, text in texts:
+        b = (text or "").encode()
+        for i in range(len(b) - length + 1) if doc is not None else ():
+            w = b[i:i + length]
+            seen[w] = min(seen.get(w, doc), doc)
     for doc, text in texts:
         b = (text or "").encode()
-        gone = np.zeros(len(b), bool)
-        windows = [b[i:i + 50] for i in range(len(b) - 49)]
-        for i, w in enumerate(windows):
-            if w in seen:
-                gone[i:i + 50] = True
-        seen.update(windows)
-        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
-        spans = sum(1 for i in range(len(b)) if gone[i] and (i == 0 or not gone[i - 1]))
-        r = got[doc]
-        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+        marks = np.zeros(len(b) + 1, np.int64)
+        for i in range(len(b) - length + 1) if doc is not None else ():
+            if seen[b[i:i + length]] < doc:
+                marks[i] += 1
+                marks[i + length] -= 1
+        gone = marks[:-1].cumsum() > 0
+        kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        spans = int(np.diff(gone.astype(int), prepend=0).clip(0).sum())
+        out.append((-1 if doc is None else doc, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def repeats_of(spark, texts, length=50):
+    rows = repeats.removal_report(spark.createDataFrame(texts, "doc_id long, text string"), length=length).collect()
+    return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows)
+
+
+@pytest.mark.parametrize("length", [50, 100, 200, 20])
+def test_repeats_against_brute_force(spark, docs, length):
+    """One, two and three doublings; periodic texts, repeated and null identifiers, repeated rows."""
+    rows = docs.orderBy("doc_id").limit(120).toPandas()
+    texts = list(zip(rows["doc_id"].tolist(), rows["text"]))
+    texts += [(1000, "ab" * 400), (1001, "x" + "ab" * 100 + "y"), (1002, "q" * 49), (1003, "q" * 49), (1004, None), (1005, ""), (None, texts[0][1]),
+              (None, texts[0][1]), (3000, texts[3][1]), (3000, texts[4][1]), (3000, texts[3][1]), (-5, texts[7][1])]
+    assert repeats_of(spark, texts, length) == repeats_by_hand(texts, length)
+
+
+def test_repeats_of_equal_halves(spark):
+    """Windows whose halves are equal, of two different periods: neither repeats the other."""
+    a, b = "wspjlrebpvbtawpmycjwgeled", "nzpgmasnaasjdpywsvfyctzda"
+    texts = [(1, "abcde" + a + a + "fghij"), (2, "klmno" + a + a + "pqrst"), (3, "uvwxy" + b + b + "zabcd"), (4, "efghi" + b + b + "jklmn"),
+             (5, "1" + (a + b)[:50] + "2"), (6, "3" + (b + a)[:50] + "4")]
+    assert [r[2] for r in repeats_of(spark, texts)] == [0, 50, 0, 50, 0, 0]
+
+
+def test_repeats_in_long_texts_and_many(spark):
+    """Texts that are cut into pieces, and a passage in a third of all documents with different words around it."""
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefgh "))
+    long = "".join(rng.choice(letters, repeats.PIECE + 30_000))
+    passage = "".join(rng.choice(letters, 90))
+    texts = [(1, long), (2, "x" * 77 + long[repeats.PIECE - 300:repeats.PIECE + 300] + "y"), (3, long[5:]), (4, "z" * 60_000)]
+    texts += [(10 + i, "".join(rng.choice(letters, 150)) + (passage if i % 3 == 0 else "") + "".join(rng.choice(letters, 150))) for i in range(600)]
+    assert repeats_of(spark, texts) == repeats_by_hand(texts)
+
+
+def test_repeats_are_verified():
+    """A claim that its source's bytes don't bear out raises."""
+    packed = repeats._pack_claims(*(np.array([x]) for x in (2, 7, 0, 3, 1, 8, 5)))
+    source = lambda text: np.array([1, 8, 5], "<i8").tobytes() + zstandard.ZstdCompressor().compress(text)
+    text = bytes(range(53))
+    good = repeats._verified({repeats.CLAIM: [packed], repeats.BYTES: [source(text)]}, 50)
+    assert [x.tolist() for x in good(2, 7)(text + b"more")] == [[0], [3]] and not len(good(2, 8)(text)[0])
+    bad = repeats._verified({repeats.CLAIM: [packed], repeats.BYTES: [source(text[:-1] + b"!")]}, 50)
+    with pytest.raises(ValueError):
+        bad(2, 7)(text)
 
 
 def test_line_dedup(spark):
