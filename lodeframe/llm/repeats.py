@@ -40,6 +40,8 @@ from .common import discard, shuffle_width, written
 LENGTH, MOST_BASE = 50, 32
 #: Bytes that are hashed at once; a longer text is cut, and its windows at a cut are doubled.
 PIECE = 1 << 20
+#: Bytes of text that are ranked together, and bytes beside a pick that narrow the windows down.
+CHUNK, SIDE = 128 << 10, 8
 #: Bytes of text whose runs are folded together, and rows of a doubling that are, before they move.
 FOLD, FOLD_ROWS = 6 << 20, 400_000
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -85,32 +87,41 @@ def _strings(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return _mix((sums[end] - sums[start]) * down[start])
 
 
-def window_picks(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, rank at the pick, rank of the context) of each run of windows with one pick."""
+def window_picks(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """The runs of windows with one pick, as (first window, last window, pick - first window, rank at the pick, rank of the
+    context, rank of the sides). `data` holds texts one after the other, up to each of `ends`; no window crosses one.
+
+    The sides are 8 bits each of the SIDE bytes before the pick's base bytes and of those behind them.
+    """
     base = lengths_of(length)[0]
     n, w = len(data) - length + 1, length - base + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, none, *(none.astype(np.uint64) for _ in range(3))
     sums, (_, down) = _sums(data), _powers(len(data) + 1)
     grams = len(data) - base + 1
-    rank = _mix((sums[base:] - sums[:grams]) * down[:grams])
     # High bits of the hash, then the place: the least value is the leftmost of the least hashes.
-    value = (rank & ~np.uint64(PIECE * 2 - 1)) | np.arange(grams, dtype=np.uint64)
-    rows = -(-grams // w) + 1
-    padded = np.full(rows * w, np.uint64(0xFFFFFFFFFFFFFFFF))
-    padded[:grams] = value
-    block = padded.reshape(rows, w)
-    ahead = np.minimum.accumulate(block, axis=1).ravel()
-    back = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(back[:n], ahead[w - 1:w - 1 + n])
-    pick = (least & np.uint64(PIECE * 2 - 1)).astype(np.int64)
-    cut = np.flatnonzero(pick[1:] != pick[:-1]) + 1
-    lo, hi = np.concatenate([[0], cut]), np.concatenate([cut - 1, [n - 1]])
-    at = pick[lo]
+    least = (sums[base:] - sums[:grams]) * down[:grams]
+    least &= ~np.uint64(PIECE * 2 - 1)
+    least |= np.arange(grams, dtype=np.uint64)
+    reach = 1  # `least` is over so many grams from each place on
+    while reach < w:
+        step = min(reach, w - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    pick = (least & np.uint64(PIECE * 2 - 1)).astype(np.int32)
+    for a, b in zip(np.maximum(np.append(0, ends[:-1]), ends - length + 1).tolist(), ends.tolist()):
+        pick[a:b] = -1
+    lo = np.flatnonzero(np.append(True, pick[1:] != pick[:-1]))
+    hi = np.append(lo[1:], n) - 1
+    own = pick[lo] >= 0
+    lo, hi = lo[own], hi[own]
+    at = pick[lo].astype(np.int64)
     context = _strings(sums, lo, hi + length)
     context = _mix(context ^ ((at - lo).astype(np.uint64) << np.uint64(8)) ^ ((hi - lo).astype(np.uint64) << np.uint64(20)))
-    return lo, hi, rank[at] & _MASK, context & _MASK
+    left = _strings(sums, np.maximum(at - SIDE, 0), at) & np.uint64(255)
+    right = _strings(sums, at + base, np.minimum(at + base + SIDE, len(data))) & np.uint64(255)
+    return lo, hi, at - lo, _strings(sums, at, at + base) & _MASK, context & _MASK, left << np.uint64(8) | right
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -135,17 +146,17 @@ def _six(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values.astype("<u8").view("u1").reshape(-1, 8)[:, :6])
 
 
-def _pack_runs(doc, sig, lo, hi, first, context) -> bytes:
-    """Hashes keep six bytes; the other columns are sorted, so their differences pack small."""
+def _pack_runs(doc, sig, lo, hi, into, first, context, sides) -> bytes:
+    """Hashes keep six bytes; the documents' columns are sorted, so their differences pack small."""
     return _pack(np.diff(doc, prepend=0), np.diff(sig, prepend=0), np.diff(lo, prepend=0).astype("<i4"),
-                 (hi - lo).astype("<i4"), _six(first), _six(context))
+                 (hi - lo).astype("<i4"), into.astype("<i4"), _six(first), _six(context), sides.astype("<u2"))
 
 
 def _unpack_runs(blob: bytes) -> tuple[np.ndarray, ...]:
-    doc, sig, lo, span, first, context = _unpack(blob, "<i8", "<i8", "<i4", "<i4", "V6", "V6")
+    doc, sig, lo, span, into, first, context, sides = _unpack(blob, "<i8", "<i8", "<i4", "<i4", "<i4", "V6", "V6", "<u2")
     wide = lambda v: np.concatenate([v.view("u1").reshape(-1, 6), np.zeros((len(v), 2), np.uint8)], axis=1).view("<u8").ravel()
     lo = np.cumsum(lo, dtype=np.int64)
-    return np.cumsum(doc), np.cumsum(sig), lo, lo + span, wide(first), wide(context)
+    return np.cumsum(doc), np.cumsum(sig), lo, lo + span, into, wide(first), wide(context), sides
 
 
 def _unpack_open(blob: bytes) -> list[np.ndarray]:
@@ -161,13 +172,21 @@ def _unpack_claims(blob: bytes) -> list[np.ndarray]:
     return _unpack(blob, "<i8", "<i8", "<i4", "<i4", "<i8", "<i8", "<i4")
 
 
-def _sources(order: np.ndarray, doc: np.ndarray, *ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(whether a smaller document has the same ranks, the first place with them); order: by ranks, then document."""
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([r[order][1:] != r[order][:-1] for r in ranks], axis=0)
-    source = np.empty(len(order), np.int64)
-    source[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+def _sources(doc: np.ndarray, *ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a smaller document has the same ranks, the first place with them); rows in the order of documents."""
+    if not len(doc):
+        return np.zeros(0, bool), np.zeros(0, np.int64)
+    key = ranks[0].view(np.uint64)
+    for r in ranks[1:]:
+        key = _mix(key + np.uint64(0x9E3779B97F4A7C15)) + r.view(np.uint64)
+    order = np.argsort(key)
+    start = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]]))
+    source = np.empty(len(doc), np.int64)
+    source[order] = np.repeat(np.minimum.reduceat(order, start), np.diff(np.append(start, len(doc))))
+    if any((r != r[source]).any() for r in ranks):  # different ranks with one key
+        order = np.lexsort((np.arange(len(doc)), *ranks))
+        new = np.append(True, np.any([r[order[1:]] != r[order[:-1]] for r in ranks], axis=0))
+        source[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     return doc > doc[source], source
 
 
@@ -207,17 +226,36 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield tuple(c[i].as_py() for c in batch.columns)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[int], list[int], list[int], list[bytes]]]:
+    """(documents, signatures, places in their texts, parts) of about CHUNK bytes; a text of over PIECE bytes is cut."""
+    doc, sig, place, part, size = [], [], [], [], 0
+    for d, s, text in _texts(batches):
+        if d is None or text is None or len(text) < length:
+            continue
+        for at in range(0, len(text), PIECE):
+            if size and size + len(text) - at > PIECE:
+                yield doc, sig, place, part
+                doc, sig, place, part, size = [], [], [], [], 0
+            doc.append(d), sig.append(s), place.append(at), part.append(text[at:at + PIECE + length - 1])
+            size += len(part[-1])
+        if size > CHUNK:
+            yield doc, sig, place, part
+            doc, sig, place, part, size = [], [], [], [], 0
+    if part:
+        yield doc, sig, place, part
+
+
 def _first_runs(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     """Runs of the texts (doc, sig, blob), folded in the batch: RUN rows, and CLAIM rows for what repeats within it."""
     parts, size = [], 0
-    for doc, sig, text in _texts(batches):
-        if doc is not None and text is not None and len(text) >= length:
-            data = np.frombuffer(text, np.uint8)
-            for at in range(0, len(data), PIECE):
-                lo, hi, first, context = window_picks(data[at:at + PIECE + length - 1], length)
-                if len(lo):
-                    parts.append((np.full(len(lo), doc, np.int64), np.full(len(lo), sig, np.int64), lo + at, hi + at, first, context))
-            size += len(text)
+    for doc, sig, place, chunk in _chunks(batches, length):
+        ends = np.cumsum([len(x) for x in chunk])
+        data = np.frombuffer(b"".join(chunk), np.uint8)
+        lo, hi, *ranks = window_picks(data, ends, length)
+        own = np.searchsorted(ends, lo, "right")
+        shift = np.array(place) - np.append(0, ends[:-1])
+        parts.append((np.array(doc, np.int64)[own], np.array(sig, np.int64)[own], lo + shift[own], hi + shift[own], *ranks))
+        size += len(data)
         if size > FOLD:
             yield _folded(parts, buckets)
             parts, size = [], 0
@@ -225,19 +263,24 @@ def _first_runs(batches: Iterator[pa.RecordBatch], buckets: int, length: int) ->
         yield _folded(parts, buckets)
 
 
+def _in_order(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The columns' rows by the first column; the sort makes use of parts that are in order."""
+    order = np.argsort(columns[0], kind="stable")
+    return [c[order] for c in columns]
+
+
 def _folded(parts: list[tuple], buckets: int) -> pa.RecordBatch:
-    doc, sig, lo, hi, first, context = (np.concatenate(c) for c in zip(*parts))
-    known, source = _sources(np.lexsort((lo, sig, doc, context, first)), doc, first, context)
+    doc, sig, lo, hi, into, first, context, sides = _in_order([np.concatenate(c) for c in zip(*parts)])
+    known, source = _sources(doc, first, context)
     rows = list(_claimed(known, source, buckets, doc, sig, lo, hi))
     left = np.flatnonzero(~known)
-    left = left[np.argsort(doc[left], kind="stable")]
     for bucket, at in _by_bucket((first[left] % np.uint64(buckets)).astype(np.int64)):
         at = left[at]
-        rows.append((bucket, RUN, _pack_runs(doc[at], sig[at], lo[at], hi[at], first[at], context[at])))
+        rows.append((bucket, RUN, _pack_runs(doc[at], sig[at], lo[at], hi[at], into[at], first[at], context[at], sides[at])))
     return _rows(rows)
 
 
-def _met(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     """All runs of a bucket of first ranks: what repeats, and what must be doubled. CLAIM rows pass."""
     blobs = []
     for batch in batches:
@@ -246,22 +289,53 @@ def _met(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         blobs += batch.filter(pa.array(kind == RUN)).column(2).to_pylist()
     if not blobs:
         return
-    doc, sig, lo, hi, first, context = _joined(blobs, _unpack_runs)
+    doc, sig, lo, hi, into, first, context, sides = _in_order(_joined(blobs, _unpack_runs))
     del blobs
-    order = np.lexsort((lo, sig, doc, context, first))
-    known, source = _sources(order, doc, first, context)
+    known, source = _sources(doc, first, context)
     yield _rows(list(_claimed(known, source, buckets, doc, sig, lo, hi)))
-    # Contexts of a first rank, each by its smallest document: where there are several, windows may still be shared.
-    kept = order[~known[order]]
-    f, c = first[kept], context[kept]
-    rank = np.concatenate([[True], f[1:] != f[:-1]]).cumsum() - 1
-    new = np.concatenate([[True], (f[1:] != f[:-1]) | (c[1:] != c[:-1])])
-    low, high = np.full(rank[-1] + 1, np.iinfo(np.int64).max), np.full(rank[-1] + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, rank, doc[kept]), np.maximum.at(high, rank, doc[kept])
-    at = kept[((np.bincount(rank, new) > 1) & (low < high))[rank]]
-    rows = [(bucket, OPEN, _pack(doc[at[x]], sig[at[x]], lo[at[x]].astype("<i4"), hi[at[x]].astype("<i4")))
-            for bucket, x in _by_bucket(_bucket(doc[at], sig[at], buckets))]
-    yield _rows(rows)
+    # Of equal contexts the smallest document's is left: a first rank of several documents has several contexts, and windows may be shared.
+    kept = np.flatnonzero(~known)
+    kept = kept[_tied(doc[kept], first[kept])]
+    kept = kept[np.argsort(first[kept], kind="stable")]
+    ranks = np.flatnonzero(np.append(True, first[kept][1:] != first[kept][:-1])) if len(kept) else np.zeros(0, np.int64)
+    cut = [*ranks[np.append(0, np.flatnonzero(np.diff(ranks // 50_000)) + 1)].tolist(), len(kept)] if len(kept) else []
+    for a, b in zip(cut, cut[1:]):  # whole ranks, about 50,000 runs at once
+        at = kept[a:b]
+        yield _rows(list(_open(buckets, length, *(c[at] for c in (doc, sig, lo, hi, into, first, sides)))))
+
+
+def _tied(doc: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Whether another document has the rank."""
+    if not len(doc):
+        return np.zeros(0, bool)
+    order = np.argsort(rank)
+    start = np.flatnonzero(np.append(True, rank[order][1:] != rank[order][:-1]))
+    several = np.maximum.reduceat(doc[order], start) > np.minimum.reduceat(doc[order], start)
+    out = np.empty(len(doc), bool)
+    out[order] = np.repeat(several, np.diff(np.append(start, len(doc))))
+    return out
+
+
+def _open(buckets: int, length: int, doc, sig, lo, hi, into, first, sides) -> Iterator[tuple[int, int, bytes]]:
+    """OPEN rows: the windows of the runs whose pick another document has as far from a window's start, with the same sides.
+
+    Equal windows have their picks at one place and, where a side of the pick is inside the window, that side too.
+    """
+    many = hi - lo + 1
+    run = np.repeat(np.arange(len(lo)), many)
+    at = _spread(lo, hi)
+    ahead = (into + lo)[run] - at
+    behind = length - lengths_of(length)[0] - ahead
+    key = _mix(first[run] + (ahead.astype(np.uint64) << np.uint64(48)))
+    left, right = (sides >> 8).astype(np.uint64)[run] + np.uint64(1), (sides & 255).astype(np.uint64)[run] + np.uint64(1)
+    key += np.where(ahead >= SIDE, left, 0).astype(np.uint64) * np.uint64(_BASE) + np.where(behind >= SIDE, right, 0).astype(np.uint64)
+    left = np.flatnonzero(_tied(doc[run], key))
+    run, at = run[left], at[left]
+    start = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1))) if len(run) else left
+    end = np.append(start[1:], len(run)) - 1
+    doc, sig, lo, hi = doc[run[start]], sig[run[start]], at[start], at[end]
+    for bucket, x in _by_bucket(_bucket(doc, sig, buckets)):
+        yield bucket, OPEN, _pack(doc[x], sig[x], lo[x].astype("<i4"), hi[x].astype("<i4"))
 
 
 def _beside(batches: Iterator[pa.RecordBatch], load: Callable[[dict[int, list[bytes]]], Callable]) -> Iterator[tuple]:
@@ -316,10 +390,11 @@ def _first_pairs(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def folded() -> pa.RecordBatch:
-        r1, r2, doc, sig, at = (np.concatenate(c) for c in zip(*parts))
+        doc, sig, at, r1, r2 = (np.concatenate(c) for c in zip(*parts))
         claims = []
         if len(sizes) == 2:  # a pair is a whole window
-            known, source = _sources(np.lexsort((at, sig, doc, r2, r1)), doc, r1, r2)
+            doc, sig, at, r1, r2 = _in_order([doc, sig, at, r1, r2])
+            known, source = _sources(doc, r2, r1)
             claims = list(_claimed(known, source, buckets, doc, sig, at, at))
             r1, r2, doc, sig, at = (c[~known] for c in (r1, r2, doc, sig, at))
         n = len(claims)
@@ -345,7 +420,7 @@ def _first_pairs(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -
             a, b = _strings(sums, own, own + sizes[0]), _strings(sums, own + step, own + sizes[1])
             n = len(own)
             r2 = _mix(_mix(a + np.uint64(0x9E3779B97F4A7C15)) + b)
-            parts.append(((a >> np.uint64(32)).view(np.int64), r2.view(np.int64), np.full(n, doc, np.int64), np.full(n, sig, np.int64), own + low))
+            parts.append((np.full(n, doc, np.int64), np.full(n, sig, np.int64), own + low, (a >> np.uint64(32)).view(np.int64), r2.view(np.int64)))
             size += n
         if size > FOLD_ROWS:
             yield folded()
@@ -525,8 +600,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts under `length` bytes lose nothing. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    width = shuffle_width(spark)
-    buckets, sizes = 2 * width, lengths_of(length)
+    buckets, sizes = shuffle_width(spark), lengths_of(length)
     blob = F.col(text_col).cast("string").cast("binary")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(blob).alias("sig"), blob.alias("blob"))
     schema = "bucket int, kind int, blob binary"
@@ -544,7 +618,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         none = F.lit(None).cast("long")
         return by_bucket(found.select("*", none.alias("doc"), none.alias("sig")).unionByName(own)).sortWithinPartitions("bucket", "kind", "doc", "sig")
 
-    met = written(mapped(by_bucket(mapped(texts, _first_runs, length)), _met), "met")
+    met = written(mapped(by_bucket(mapped(texts, _first_runs, length)), _met, length), "met")
     pairs, parts = mapped(beside(met.where(F.col("kind") == OPEN)), _first_pairs, length, schema=PAIRS), [met]
 
     def ordered() -> DataFrame:
