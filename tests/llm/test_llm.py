@@ -319,68 +319,102 @@ def test_lm_base_and_model(spark, docs):
 
 
 def test_lm_trains_on_all_training_texts(spark, monkeypatch):
-    """Half a million training words, and no text is left out."""
-    rows = [(i, f"only{i} " + "word " * 700) for i in range(900)]
-    trained = []
+    """Half a million training words, and no text or word is left out, copies neither."""
+    rows = [(i, f"only{i // 2} " + "word " * 700) for i in range(900)]
+    got = {}
 
     class Done(Exception):
         pass
 
-    def spy(texts, tokens, ranks, *rest):
-        trained.extend(r["__id"] for r in texts.select("__id").collect())
+    def spy(texts, counts):
+        got["ids"] = np.concatenate([np.frombuffer(r["ids"], np.uint16) for r in texts.collect()])
+        got["counts"] = counts
         raise Done
 
     monkeypatch.setattr(lm, "train", spy)
     with pytest.raises(Done):
         lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(trained) == [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    own = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    coder = lm.Coder(lm.load_ranks())
+    want = np.bincount(coder.ids(*coder.codes(own))[0], minlength=lm.IDS)
+    assert (np.bincount(got["ids"], minlength=lm.IDS) == want).all() and (got["counts"] == want).all()
+
+
+def test_coder_has_no_cut():
+    """Word by word is as the whole text; a long text has as many ids a word as a short one."""
+    import tiktoken
+
+    ranks = lm.load_ranks()
+    whole = tiktoken.Encoding("whole", pat_str=lm.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = lm.Coder(ranks)
+    texts = [b"Word " * 20_000, None, b"", "It's  a\tt\u00e9st, 3\u00bd \u00a0x\u00a0 ***\n\u4e2d\u6587".encode()]
+    ids, sizes = coder.ids(*coder.codes(texts))
+    assert sizes.tolist()[1:3] == [1, 1] and (sizes[0] - 1) % 20_000 == 0
+    for text, part in zip(texts, np.split(ids, np.cumsum(sizes))):
+        plain = "".join(" " + w.decode() for w in lm.words_of(text))
+        assert part.tolist() == [*whole.encode_ordinary(plain), lm.END]
+    coder.MOST = 5
+    assert coder.ids(*coder.codes(texts))[0].tolist() == ids.tolist()  # after it has forgotten
+
+
+def own_model(rng, spread):
+    pairs = rng.integers(0, 9, (lm.HEAD + 2, lm.HEAD + 1)).astype(float)
+    model = lm.Model.fresh(rng.integers(0, 50, lm.IDS).astype(float), np.arange(lm.IDS), pairs)
+    for name in lm.Model.NAMES:
+        model.w[name] += rng.normal(0, spread, model.w[name].shape).astype(np.float32)
+    return model
+
+
+def blocks(model, *texts):
+    return model.blocks(np.concatenate(texts).astype(np.uint16), np.array([len(t) for t in texts]))[:3]
 
 
 def test_lm_is_a_distribution_and_causal():
-    rng = np.random.default_rng(0)
-    model = lm.Model.fresh(rng.integers(0, 50, lm.IDS), np.arange(lm.IDS))
-    for v in model.w.values():
-        v += rng.normal(0, 0.2, v.shape).astype(np.float32)
-    inputs, _, goes_on = model.blocks([np.arange(20)])
-    one = []
-    for at in (*range(10), *range(0, lm.IDS, 997)):
-        targets = np.full(inputs.shape, -1, np.int32)
-        targets[1, 2] = at
-        one.append(model.log_probabilities(inputs, targets, goes_on)[1, 2])
-    assert np.isfinite(one).all()
-    all_ids, total = np.arange(lm.IDS, dtype=np.int32), 0.0
-    for part in np.array_split(all_ids, 50):  # each id as the target of the same place
+    model = own_model(np.random.default_rng(0), 0.2)
+    table, (inputs, _, goes_on) = model.table(), blocks(model, np.arange(20))
+    total = 0.0
+    for part in np.array_split(np.arange(lm.IDS, dtype=np.int32), 50):  # each id as the target of the same place
         many, target, on = np.repeat(inputs[:1], len(part), 0), np.full((len(part), lm.BLOCK), -1, np.int32), np.zeros(len(part), bool)
         target[:, 3] = part
-        total += np.exp(model.log_probabilities(many, target, on)[:, 3].astype(np.float64)).sum()
+        found = model.log_probabilities(table, many, target, on)[:, 3].astype(np.float64)
+        assert np.isfinite(found).all()
+        total += np.exp(found).sum()
     assert total == pytest.approx(1, abs=1e-3)
     later = inputs.copy()
     later[0, 5:] = 7
     targets = np.full(inputs.shape, 3, np.int32)
-    a, b = (model.log_probabilities(x, targets, goes_on) for x in (inputs, later))
+    a, b = (model.log_probabilities(table, x, targets, goes_on) for x in (inputs, later))
     assert np.allclose(a[0, :5], b[0, :5]) and not np.allclose(a[0, 5:], b[0, 5:])
-    short, long = np.arange(5, dtype=np.int32), np.arange(600 * lm.BLOCK, dtype=np.int32) % 999
-    assert model.scores([short, long])[1] == pytest.approx(model.scores([long])[0], rel=1e-6)
+
+
+def test_lm_scores_do_not_depend_on_the_batch():
+    model = own_model(np.random.default_rng(1), 0.2)
+    texts = [np.arange(5), np.arange(3 * lm.SCORED_BLOCKS * lm.BLOCK + 7) % 999, np.array([lm.END]), np.arange(lm.BLOCK)]
+    together = model.scores(np.concatenate(texts).astype(np.uint16), np.array([len(t) for t in texts]))
+    alone = [model.scores(t.astype(np.uint16), np.array([len(t)]))[0] for t in texts]
+    assert together == pytest.approx(alone, rel=1e-5)
 
 
 def test_gradient_matches_differences():
     rng = np.random.default_rng(0)
-    model = lm.Model.fresh(rng.integers(0, 50, lm.IDS), np.arange(lm.IDS))
-    for v in model.w.values():
-        v += rng.normal(0, 0.3, v.shape).astype(np.float32)
-    inputs, targets, goes_on = model.blocks([rng.integers(0, lm.HEAD, 40).astype(np.int32)])
-    g = model.gradient(inputs, targets, goes_on)
-    n = (targets >= 0).sum()
-    for name in ("qkv", "c", "cb", "pos"):
+    model = own_model(rng, 0.3)
+    inputs, targets, goes_on = blocks(model, rng.integers(0, lm.HEAD + 40, 300))
+    g, n = model.gradient(inputs, targets, goes_on), (targets >= 0).sum()
+    for name in lm.Model.NAMES:
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
         old, loss = model.w[name][at], []
         for step in (0.02, -0.02):
             model.w[name][at] = old + step
-            loss.append(-model.log_probabilities(inputs, targets, goes_on).sum(dtype=np.float64) / n)
+            loss.append(-model.log_probabilities(model.table(), inputs, targets, goes_on).sum(dtype=np.float64) / n)
         model.w[name][at] = old
         assert (loss[0] - loss[1]) / 0.04 == pytest.approx(float(g[name][at]), rel=0.1, abs=1e-4)
 
 
+def test_lm_beats_the_base_on_held_out_texts(spark):
+    got = QUERIES["op1_lm_scoring"](spark, SF.replace("0.001", "0.1")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version of its rule, on what the stage before kept."""
     import corpus_pipeline as P
