@@ -410,6 +410,14 @@ def test_gradient_matches_differences():
         assert (loss[0] - loss[1]) / 0.04 == pytest.approx(float(g[name][at]), rel=0.1, abs=1e-4)
 
 
+def test_lm_survives_large_weights():
+    model = own_model(np.random.default_rng(2), 60.0)
+    ids, sizes = np.arange(300, dtype=np.uint16), np.array([300])
+    assert np.isfinite(model.scores(ids, sizes)).all()
+    model.train(ids, sizes)
+    assert all(np.isfinite(w).all() for w in model.w.values()) and np.isfinite(model.scores(ids, sizes)).all()
+
+
 def test_lm_beats_the_base_on_held_out_texts(spark):
     got = QUERIES["op1_lm_scoring"](spark, SF.replace("0.001", "0.1")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
