@@ -62,6 +62,38 @@ def test_exact_dedup(spark, odd):
     assert got[2]["text_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+@pytest.mark.parametrize("leaves, fan_in", [(1, 8), (2, 2), (13, 2), (32, 8), (211, 8)])
+def test_runs_meet(leaves, fan_in):
+    """Every key's copies meet on one node, whatever leaf they start from, in the stated rounds of at most fan_in runs."""
+    rounds, k = exact_dedup.rounds_of(leaves, fan_in)
+    assert k <= fan_in and k ** rounds >= leaves
+    for key in (bytes(8), b"\xff" * 8, b"abcdefgh", b"12345678"):
+        ends = set()
+        for node in range(leaves):
+            for number in range(rounds):
+                node = exact_dedup.target(node, key, number, k)
+                assert 0 <= node < k ** rounds
+            ends.add(node)
+        assert len(ends) == 1
+
+
+def test_runs_are_merged():
+    rows = exact_dedup.merged([iter([(b"a", 3, 1), (b"c", None, 2)]), iter([(b"a", 1, 4), (b"b", None, 1)]), iter([(b"a", None, 1), (b"c", 9, 1)])], min)
+    assert list(rows) == [(b"a", 1, 6), (b"b", None, 1), (b"c", 9, 3)]
+
+
+def test_exact_dedup_over_many_leaves(spark):
+    rows = [(f"d{i:04d}" if i % 7 else None, None if i % 10 == 0 else f"text {i % 40}" if i % 3 else "one") for i in range(900)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id string, text string").repartition(13), fan_in=2).collect()
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(hashlib.sha256((text or "").encode()).hexdigest(), []).append(doc)
+    assert len(got) == len(rows)
+    for r in got:
+        own = groups[r["text_sha256"]]
+        assert r["group_size"] == len(own) and r["keep_id"] == min((x for x in own if x), default=None)
+
+
 def test_mixing_comes_near(spark, docs):
     rows = mixing.mix_report(docs).toPandas()
     per = rows.groupby("target").agg(taken=("taken", "sum"), size=("size", "sum"))
