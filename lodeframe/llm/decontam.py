@@ -5,8 +5,9 @@ An item leaks into a document if some passage of it is within `ratio` of the ite
 
 A window as long as the item is embedded by the random walk of Chakraborty, Goldenberg and Koucky: step j
 copies the word under the pointer and moves on or stays by a coin that depends on (j, word), so that edit
-distance becomes Hamming distance. WALKS walks are sampled at SAMPLES x WIDTH positions: a window is a
-candidate if for one sample all its WIDTH positions agree with the item's. The windows that are embedded are those
+distance becomes Hamming distance. Each of WALKS walks is sampled several times at WIDTH steps: a window is a
+candidate if for one sample all WIDTH steps agree with the item's. Where a share AGREE of the steps agrees, as many samples as
+`samples_of` says find the window with the probability RECALL. The windows that are embedded are those
 that agree with the item in q words in a row, at as many of the same places as a passage within k edits
 must keep (see `run_length` and `least_hits`), so this loses none. Candidates are verified by exact edit distance to the best passage.
 
@@ -16,6 +17,7 @@ what executors get; documents are read once a block and never shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RATIO, GRAM = 0.2, 3
-WALKS, SAMPLES, WIDTH, STEPS_PER_WORD = 4, 12, 3, 3
+#: A walk stays or moves on by a coin, so n words take about 2 n steps; only those before 1.5 n are sampled, where no window has ended.
+WALKS, WIDTH, STEPS_PER_WORD = 8, 3, 1.5
+#: The probability to find a window of which a share AGREE of the steps agrees: the least that was seen at the full edit bound.
+RECALL, AGREE = 0.98, 0.4
 BLOCK_BYTES = 16 << 20
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -76,13 +81,21 @@ def least_hits(n: int, k: int, q: int) -> int:
     return max(1, -(-(n - q + 1 - k * q) // (k + 1)))
 
 
+def steps_of(n: int) -> int:
+    return max(1, int(STEPS_PER_WORD * n))
+
+
+def samples_of(recall: float = RECALL, agree: float = AGREE) -> int:
+    """Samples a walk, so that all walks' samples miss with a probability of at most 1 - recall."""
+    return -(-math.ceil(math.log(1 - recall) / math.log(1 - agree ** WIDTH)) // WALKS)
+
+
 def embed(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, walk: int) -> np.ndarray:
     """The walk's output for windows of n words from `starts`, cut at `ends`: steps x windows; past the end: 0."""
-    steps = STEPS_PER_WORD * n
     padded = np.append(text, np.zeros(1, np.uint64))
-    at, out = starts.astype(np.int64), np.empty((steps, len(starts)), np.uint64)
+    at, out = starts.astype(np.int64), np.empty((steps_of(n), len(starts)), np.uint64)
     end = np.minimum(starts + n, ends)
-    for j in range(steps):
+    for j in range(len(out)):
         symbol = padded[np.where(at < end, at, len(text))]
         out[j] = symbol
         coin = (symbol + np.uint64((walk << 32) + j + 1)) * _FACTOR
@@ -91,9 +104,9 @@ def embed(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, walk:
 
 
 def sampled_positions(n: int) -> list[tuple[int, np.ndarray]]:
-    """(walk, its sampled steps as SAMPLES x WIDTH) for windows of n words; the same everywhere."""
+    """(walk, its samples' steps) for windows of n words; the same everywhere."""
     rng = np.random.default_rng(n)
-    return [(w, rng.integers(0, STEPS_PER_WORD * n, (SAMPLES, WIDTH))) for w in range(WALKS)]
+    return [(w, rng.integers(0, steps_of(n), (samples_of(), WIDTH))) for w in range(WALKS)]
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> int:
@@ -232,7 +245,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_text_col: str = "text",
                item_col: str = "item_id", ratio: float = RATIO) -> DataFrame:
-    """The rows, with all their columns, into which no item leaks. Judged where the row is: nothing is shuffled."""
+    """The rows, with all their columns, into which no item leaks. Judged where the row is: nothing is shuffled.
+
+    Defined results: null and wordless texts stay, and such items judge nothing; rows that repeat, or whose identifier is
+    null, are judged alike; empty tables give no rows, an empty benchmark keeps all. No column's name matters.
+    """
     spark, out = docs.sparkSession, docs
     for block in blocks_of(benchmark, item_col, item_text_col):
         leaked = _leaked(spark.sparkContext.broadcast(block), ratio)

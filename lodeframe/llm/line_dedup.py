@@ -37,18 +37,39 @@ def _norm(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, SPACES, " ")).otherwise(line))
 
 
-def _position() -> Column:
-    """Document, then line; null documents come last."""
-    doc = F.coalesce(F.col("__id").cast("decimal(20,0)"), F.lit(LAST).cast("decimal(20,0)"))
-    return (doc * F.lit(1 << 32).cast("decimal(10,0)") + F.col("__line").cast("decimal(10,0)")).cast("decimal(38,0)")
+def _position(doc: Column, line: Column, kind: str) -> Column:
+    """Document, then line; null documents come last. A number for whole numbers, which sort fastest."""
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        return F.struct(doc.isNull().alias("none"), doc.alias("doc"), line.alias("line"))
+    doc = F.coalesce(doc.cast("decimal(20,0)"), F.lit(LAST).cast("decimal(20,0)"))
+    return (doc * F.lit(1 << 32).cast("decimal(10,0)") + line.cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """__id, __sig, __text: a row of the input is named by its identifier and a hash of its text."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__sig"), text.alias("__text"))
+
+
+def _masks(rows: DataFrame, *by: str, name: str) -> DataFrame:
+    """The groups' `__line` numbers as bytes, a 1 at the place of each: looked up in one step, whatever the number of lines."""
+    rows = rows.groupBy(*by).agg(F.array_sort(F.collect_set("__line")).alias("lines"))
+    before = F.concat(F.array(F.lit(-1)), F.slice("lines", 1, F.size("lines") - 1))
+    marks = F.zip_with("lines", before, lambda x, y: F.concat(F.repeat(F.lit("0"), x - y - 1), F.lit("1")))
+    return rows.select(*by, F.array_join(marks, "").cast("binary").alias(name))
+
+
+def _marked(mask: Column, line: Column) -> Column:
+    return F.substring(mask, line + 1, F.lit(1)) == F.lit(b"1")
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """__id, __line, norm, k1, k2, pos, n of every line that has a word."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("__line", "raw"))
-    rows = rows.select("__id", "__line", _norm(F.col("raw")).alias("norm")).where("norm != ''")
-    return rows.select("__id", "__line", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
-                       _position().alias("pos"),
+    """__id, __sig, __line, norm, k1, k2, pos, n of every line that has a word."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = _rows(docs, id_col, text_col).select("__id", "__sig", F.posexplode(F.split("__text", "\n")).alias("__line", "raw"))
+    rows = rows.select("__id", "__sig", "__line", _norm(F.col("raw")).alias("norm")).where("norm != ''")
+    return rows.select("__id", "__sig", "__line", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
+                       _position(F.col("__id"), F.col("__line"), kind).alias("pos"),
                        (F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit(""))) + 1).alias("n"))
 
 
@@ -143,18 +164,16 @@ def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str)
 
     Halves are compared first, as hashes, over all lines; only lines that share one are fetched.
     """
-    keyed = firsts.where(F.col("halves").isNotNull()).select("pos", "__id", "__line", "k1", F.explode("halves").alias("h"))
+    keyed = firsts.where(F.col("halves").isNotNull()).select("__id", "__sig", "__line", F.explode("halves").alias("h"))
     shared = written(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "halves")
-    wanted = keyed.join(shared, "h", "left_semi").select("pos", "__id", "__line", "k1").distinct()
-    by_doc = written(wanted.groupBy("__id").agg(F.collect_list(F.struct("pos", "__line", "k1")).alias("want")), "wanted")
-    # What is wanted grows with the corpus: never a broadcast.
-    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")) \
-        .join(by_doc.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")))
+    wanted = keyed.join(shared, "h", "left_semi").select(F.col("__id").alias("__doc"), F.col("__sig").alias("__own"), "__line")
+    by_doc = written(_masks(wanted, "__doc", "__own", name="want"), "wanted")
+    # What is wanted grows with the corpus: never a broadcast. Rows that repeat are one.
+    texts = _rows(docs, id_col, text_col).join(by_doc.hint("merge"), F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__sig") == F.col("__own")))
     numbered = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("raw")))
-    own = F.filter(numbered, lambda s: F.array_contains(F.col("want.__line"), s["i"]))
-    rows = texts.select("want", F.explode(own).alias("y"))
-    rows = rows.select(F.explode(F.filter("want", lambda w: w["__line"] == F.col("y.i"))).alias("at"), _norm(F.col("y.raw")).alias("norm"))
-    rows = rows.where(F.xxhash64("norm") == F.col("at.k1")).select("at.pos", F.split("norm", " ").alias("words"))
+    rows = texts.select("__id", F.explode(F.filter(numbered, lambda s: _marked(F.col("want"), s["i"]))).alias("y"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = rows.select(_position(F.col("__id"), F.col("y.i"), kind).alias("pos"), F.split(_norm(F.col("y.raw")), " ").alias("words"))
     rough = written(rows.withColumn("n", F.size("words")), "rough")
     finer = written(rough.select("pos", F.explode(_quarters()).alias("x")).select("pos", "x.*"), "quarters")
     shared = finer.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
@@ -185,10 +204,10 @@ def near_lines(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, drop: array of (line number, line key) of each document that loses lines."""
+    """__id, __sig, drop: a mask of the lines that a row loses, for each row that loses any."""
     lines = lines_of(docs, id_col, text_col)
-    occurrences = written(lines.withColumn("halves", _halves()).select("__id", "__line", "k1", "k2", "pos", "halves"), "lines")
-    first = F.min(F.struct("pos", "__id", "__line", "halves")).alias("first")
+    occurrences = written(lines.withColumn("halves", _halves()).select("__id", "__sig", "__line", "k1", "k2", "pos", "halves"), "lines")
+    first = F.min(F.struct("pos", "__id", "__sig", "__line", "halves")).alias("first")
     firsts = written(occurrences.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("c")).select("k1", "k2", "c", "first.*"), "firsts")
     near = written(near_lines(docs, firsts, id_col, text_col), "near")
     marked = firsts.join(near.select(F.col("pos").alias("late")), F.col("pos") == F.col("late"), "left") \
@@ -196,7 +215,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .select("k1", "k2", F.when(F.col("late").isNull(), F.col("pos")).alias("first"))
     marked = written(marked, "marked")
     gone = occurrences.join(marked, ["k1", "k2"]).where(F.col("first").isNull() | (F.col("pos") > F.col("first")))
-    return gone.groupBy("__id").agg(F.collect_set(F.struct("__line", "k1")).alias("drop"))
+    return _masks(gone, "__id", "__sig", name="drop")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_cols: tuple[str, str] | None = None) -> DataFrame:
@@ -206,22 +225,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numbers of lines and of removed lines under those names.
 
     Defined results: a null text stays null; blank lines are kept; a text whose lines are all removed is
-    empty. Null identifiers come last. Lines of equal position (rows that repeat an identifier, or
-    whose identifier is null) don't duplicate each other. An empty table gives no rows.
+    empty. Identifiers are of any type that has an order; null ones come last. Lines of equal position (rows that repeat an
+    identifier, or whose identifier is null) don't duplicate each other. An empty table gives no rows. No column's name matters.
     """
-    gone = written(dropped_lines(docs, id_col, text_col), "gone").select(F.col("__id").alias("__lost"), F.col("drop").alias("__drop"))
+    gone = written(dropped_lines(docs, id_col, text_col), "gone").select(F.col("__id").alias("lost"), F.col("__sig").alias("lost_sig"), "drop")
+    rows = docs.select(F.struct("*").alias("doc"))
+    own = F.col("doc").getField(text_col)
     # What is lost grows with the corpus: never a broadcast.
-    joined = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("__lost")), "left")
-    # A line's key is only computed where its number is one of the lost ones.
-    numbered = F.transform(F.split(F.col(text_col), "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    kept = F.filter(numbered, lambda s: ~F.exists("__drop", lambda d: (d["__line"] == s["i"]) & (d["k1"] == F.xxhash64(_norm(s["x"])))))
-    kept = F.when(F.col("__drop").isNotNull(), F.transform(kept, lambda s: s["x"]))
-    named = joined.select(*docs.columns, kept.alias("__kept"))
-    text = F.when(F.col("__kept").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n"))
-    out = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    joined = rows.join(gone.hint("merge"), F.col("doc").getField(id_col).eqNullSafe(F.col("lost")) & (F.xxhash64(own.cast("string")) == F.col("lost_sig")), "left")
+    numbered = F.transform(F.split(own, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    kept = F.when(F.col("drop").isNotNull(), F.transform(F.filter(numbered, lambda s: ~_marked(F.col("drop"), s["i"])), lambda s: s["x"]))
+    named = joined.select("doc", kept.alias("kept"))
+    text = F.when(F.col("kept").isNull(), own).otherwise(F.array_join("kept", "\n"))
+    out = [text.alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns]
     if count_cols:
-        body = F.col(text_col)
-        lines = F.coalesce(F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
-        left = F.when(F.col("__kept").isNull(), lines).otherwise(F.size("__kept").cast("long"))
+        lines = F.coalesce(F.length(own) - F.length(F.replace(own, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+        left = F.when(F.col("kept").isNull(), lines).otherwise(F.size("kept").cast("long"))
         out += [lines.alias(count_cols[0]), (lines - left).alias(count_cols[1])]
     return named.select(*out)

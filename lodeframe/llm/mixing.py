@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, fresh, written
 
 #: A draw is a 48-bit number; its leading 12 bits name its slice.
 DRAW_HEX, SLICES = 12, 4096
@@ -110,12 +110,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mix itself: each input row as often as the plan takes it, numbered from 0 in copy_col.
 
     The rows keep all their columns. Texts don't move: the plan of a source is a few numbers, and each
-    row's draw is computed where the row is.
+    row's draw is computed where the row is. Defined results: rows without words, null texts too, follow their source's
+    whole repetitions and draws; a null source is a source like any other; a null identifier draws like an empty text; rows that repeat
+    are taken alike; an empty table gives no rows. Where the input has a column copy_col, the number's column gets underscores behind its name.
     """
     sizes = written(sized(docs, id_col, text_col, source_col, seed), "sizes")
     targets = written(source_targets(sizes, weights, share, max_epochs), "targets")
-    cuts = written(source_cuts(sizes, targets), "cuts").select(F.col("__source").alias("__name"), "__whole", "__cut")
-    copies = F.col("__whole") + (_draw(id_col, seed) < F.col("__cut")).cast("long")
-    joined = docs.join(cuts, F.col(source_col).eqNullSafe(F.col("__name"))).withColumn("__copies", copies)
-    return joined.where(F.col("__copies") > 0) \
-        .select(*docs.columns, F.explode(F.sequence(F.lit(0), F.col("__copies").cast("int") - 1)).alias(copy_col))
+    cuts = written(source_cuts(sizes, targets), "cuts").select(F.col("__source").alias("name"), F.col("__whole").alias("whole"), F.col("__cut").alias("cut"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(source_col).alias("own"), _draw(id_col, seed).alias("draw"))
+    copies = (F.col("whole") + (F.col("draw") < F.col("cut")).cast("long")).cast("int")
+    rows = rows.join(cuts, F.col("own").eqNullSafe(F.col("name"))).select("doc", copies.alias("copies")).where("copies > 0")
+    (number,) = fresh(docs, copy_col)
+    return rows.select("doc", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("number")).select("doc.*", F.col("number").alias(number))

@@ -210,6 +210,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "quality", threshold: float = THRESHOLD, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows, with all their columns, whose score reaches the threshold."""
+    """The rows, with all their columns, whose score reaches the threshold.
+
+    Defined results: a null text is judged like an empty one; null identifiers and repeated rows are judged by their texts;
+    without labels of both kinds all rows have one score. An empty table gives no rows. No column's name matters.
+    """
     score = scorer(docs.sparkSession, fit(docs, labels, id_col, text_col, label_col, sample_docs))
     return docs.where(score(F.col(text_col)) >= threshold)

@@ -19,7 +19,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote, unquote, urlparse
 
 import pyarrow as pa
 import zstandard
@@ -39,12 +39,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def record_id(page_id: str | None) -> str:
-    return f"<urn:page:{'null' if page_id is None else page_id}>"
+    """Percent-encoded, so that any text is one header line; a null identifier has a form of its own."""
+    return "<urn:nopage>" if page_id is None else f"<urn:page:{quote(page_id, safe='')}>"
 
 
 def _page(value: str | None) -> str | None:
     found = re.fullmatch(r"<urn:page:(.*)>", value or "")
-    return None if not found or found[1] == "null" else found[1]
+    return unquote(found[1]) if found else None
 
 
 def _uri(url: str | None) -> str:
@@ -139,14 +140,17 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min
                          F.col("__sha").isNotNull().alias("__revisit"))
 
 
-def _local(path: str) -> str | None:
-    parts = urlparse(path)
-    return unquote(parts.path) if parts.scheme in ("", "file") else None
+def _local(spark: SparkSession, path: str) -> str | None:
+    """The folder, if `path` is on the file system of the machine; a path without a scheme is on Spark's default one."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    return unquote(urlparse(whole).path) if whole.startswith("file:") else None
 
 
 def write_archives(planned: DataFrame, path: str, archives: int | None = None) -> DataFrame:
     """Write the planned records under `path` in about ARCHIVE_BYTES of records each; return (name, content)."""
-    spark, folder = planned.sparkSession, _local(path)
+    spark, folder = planned.sparkSession, _local(planned.sparkSession, path)
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -187,7 +191,7 @@ def write_archives(planned: DataFrame, path: str, archives: int | None = None) -
 
 def read_archives(archives: DataFrame, path: str) -> DataFrame:
     """Every record of the named archives, read back and verified."""
-    folder = _local(path)
+    folder = _local(archives.sparkSession, path)
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, exact round trips and planted cases."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 from math import log10
@@ -280,6 +281,103 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(1, "a b c d e f\nx"), (1, "a b c d e f\nx"), (2, "a b c q r s t"), (3, "")]
 
 
+def one_word_apart(x, y):
+    if abs(len(x) - len(y)) > 1 or min(len(x), len(y)) < line_dedup.MIN_WORDS:
+        return False
+    i = next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    return x[i + (len(x) >= len(y)):] == y[i + (len(y) >= len(x)):]
+
+
+def lines_by_hand(rows):
+    """The rows without lines that an earlier line equals or is one word apart from; positions are (identifier, line)."""
+    seen = [((doc is None, doc or 0, n), tuple(re.split(line_dedup.SPACES, line.strip(" \t\x0b\x0c\r")))) for doc, text in rows for n, line in enumerate((text or "").split("\n"))]
+    seen = [(at, words) for at, words in seen if words != ("",)]
+    first = {}
+    for at, words in seen:
+        first[words] = min(first.get(words, at), at)
+    gone = {words for words, at in first.items() if any(other < at and one_word_apart(words, w) for w, other in first.items() if w != words)}
+    out = []
+    for doc, text in rows:
+        kept = []
+        for n, line in enumerate((text or "").split("\n")):
+            words = tuple(re.split(line_dedup.SPACES, line.strip(" \t\x0b\x0c\r")))
+            if words == ("",) or words not in gone and first[words] >= (doc is None, doc or 0, n):
+                kept.append(line)
+        out.append((doc, None if text is None else "\n".join(kept)))
+    return out
+
+
+@pytest.mark.parametrize("named", ["bigint", "string"])
+def test_line_dedup_against_brute_force(spark, named):
+    """Lines with up to two edits, repeated lines, blank ones, odd white space, null and repeated identifiers, clashing names."""
+    rng = np.random.default_rng(8)
+    words, rows, known = [f"w{i}" for i in range(30)], [], []
+    for doc in range(90):
+        lines = []
+        for _ in range(int(rng.integers(1, 9))):
+            line = list(rng.choice(words, int(rng.integers(1, 14))))
+            if known and rng.random() < 0.6:
+                line = list(known[int(rng.integers(len(known)))])
+                for _ in range(int(rng.integers(0, 3))):
+                    at = int(rng.integers(0, len(line) + 1))
+                    line[at:at + int(rng.integers(0, 2))] = [[], ["new"]][int(rng.integers(0, 2))]
+            known.append(line or ["x"])
+            lines.append(" ".join(line) if rng.random() < 0.9 else "\t" + "  ".join(line) + " ")
+        rows.append((doc, "\n".join(lines)))
+    rows += [(200, None), (201, ""), (202, "\n\n \n"), (203, rows[0][1]), (204, " ".join(words * 60)), (205, " ".join(words * 60 + ["more"])), (None, rows[5][1])]
+    if named == "string":
+        rows = [(None if doc is None else f"k{doc:03d}", text) for doc, text in rows]
+    table = spark.createDataFrame([(*r, i, "d", "k", "l") for i, r in enumerate(rows)], f"doc_id {named}, text string, __lost int, __drop string, __kept string, doc string")
+    got = line_dedup.dedup_lines(table)
+    assert got.columns == table.columns
+    want = lines_by_hand(rows) if named == "bigint" else [(rows[i][0], t) for i, (_, t) in enumerate(lines_by_hand([(None if d is None else int(d[1:]), t) for d, t in rows]))]
+    assert sorted(((r["__lost"], r["doc_id"], r["text"]) for r in got.collect())) == [(i, *w) for i, w in enumerate(want)]
+
+
+def test_decontamination_against_exhaustive_search(spark):
+    """Windows at and around the edit bound: nothing beyond it is found, and nine in ten within it are, of every length."""
+    rng = np.random.default_rng(11)
+    words = [f"v{i}" for i in range(300)]
+    items = [" ".join(rng.choice(words, n)) for n in (5, 8, 10, 20, 35, 60) for _ in range(6)]
+    rows = []
+    for i, item in enumerate(items):
+        for edits in range(0, len(item.split()) // 5 + 2, max(1, len(item.split()) // 10)):
+            x = item.split()
+            for at in rng.choice(len(x), min(edits, len(x)), replace=False):
+                x[at] = f"other{at}"
+            rows.append((len(rows), " ".join([*rng.choice(words, 25), *x, *rng.choice(words, 25)])))
+    known = decontam.Words()
+    ids = [decontam.word_ids(i.encode(), known) for i in items]
+    docs = [decontam.word_ids(t.encode(), known) for _, t in rows]
+    want = {(d, i) for d, text in enumerate(docs) for i, item in enumerate(ids) if decontam.edit_distance(item, text) <= decontam.allowed(len(item))}
+    table = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, __text string, edits string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(table, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got <= want
+    for n in {len(i) for i in ids}:
+        own = {(d, i) for d, i in want if len(ids[i]) == n}
+        assert len(got & own) >= 0.9 * len(own)
+
+
+def test_names_that_clash(spark):
+    """Columns with the names that operators use inside keep their values."""
+    names = ["__cut", "__name", "__copies", "copy_no", "__gone", "number", "fp", "doc", "own", "draw"]
+    table = spark.createDataFrame([(i, f"some words of text {i} " * 9, "s", *range(len(names))) for i in range(20)],
+                                  "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    for got in (mixing.mix(table), simhash.keep_one(table), line_dedup.dedup_lines(table)):
+        assert got.columns[:len(table.columns)] == table.columns
+        assert all(tuple(r)[3:3 + len(names)] == tuple(range(len(names))) for r in got.collect())
+    assert mixing.mix(table).columns[-1] == "copy_no_"
+
+
+def test_warc_odd_identifiers(spark, tmp_path):
+    """Text identifiers of any characters, the word null and no identifier are told apart."""
+    big = "y" * 2000
+    rows = [("null", "u", big), ("a\nb\r\nWARC-Type: x", "u", big), (None, "u", "z"), ("", "u", ""), ("<é %20>", None, None)]
+    table = spark.createDataFrame([(*r, "e") for r in rows], "page_id string, url string, html string, __html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.archive_pages(table, str(tmp_path)).collect()}
+    assert got == {"null": ("response", None, 2000), "a\nb\r\nWARC-Type: x": ("revisit", "null", 2000), None: ("response", None, 1), "": ("response", None, 0), "<é %20>": ("response", None, 0)}
+
+
 def test_cascade_is_exact(spark, monkeypatch):
     """Small levels, so that several are needed."""
     monkeypatch.setattr(url_filter, "MIN_BITS", 64)
