@@ -43,3 +43,12 @@ def accepts_type(types: Column, content_type: Column) -> Column:
 
 def not_expired(expires: Column, as_of: Column, null_is_never: bool = True) -> Column:
     return F.coalesce(expires > as_of, F.lit(null_is_never))
+
+
+def mentions(kw: str, *texts: Column, tags: Column | None = None) -> Column:
+    """Whether a text or a tag contains the keyword, whatever its case; no wildcards, a blank keyword is none."""
+    word = kw.strip().lower()
+    if not word:
+        return F.lit(True)
+    found = reduce(lambda a, b: a | b, [F.coalesce(F.lower(t).contains(word), F.lit(False)) for t in texts], F.lit(False))
+    return found if tags is None else found | F.coalesce(F.exists(tags, lambda t: F.lower(t).contains(word)), F.lit(False))

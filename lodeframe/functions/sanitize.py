@@ -37,13 +37,21 @@ def clean_value(value: Column) -> Column:
 
 
 def clean_map(c: Column) -> Column:
-    """A flat map<string,string> without sensitive keys and with redacted values."""
-    return F.transform_values(F.map_filter(c, lambda k, v: ~sensitive_key(k)), lambda k, v: clean_value(v))
+    """A flat map<string,string> with trimmed keys, without blank and sensitive ones, and with redacted values.
+
+    Of keys that are equal when trimmed, the last in key order stays.
+    """
+    entries = F.transform(F.array_sort(F.map_entries(c)), lambda e: F.struct(unicode_trim(e["key"]).alias("key"), clean_value(e["value"]).alias("value")))
+    entries = F.filter(entries, lambda e: (e["key"] != "") & ~sensitive_key(e["key"]))
+    later = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"),
+                                                       F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]).alias("again")))
+    return F.map_from_entries(F.transform(F.filter(later, lambda e: ~e["again"]), lambda e: F.struct(e["key"], e["value"])))
 
 
 def _clean(value):
     if isinstance(value, dict):
-        return {k: _clean(v) for k, v in value.items() if not any(n in k.replace("_", "").replace("-", "").lower() for n in SENSITIVE_KEYS)}
+        named = {k.strip(): v for k, v in value.items()}
+        return {k: _clean(v) for k, v in named.items() if k and not any(n in k.replace("_", "").replace("-", "").lower() for n in SENSITIVE_KEYS)}
     if isinstance(value, list):
         return [_clean(v) for v in value]
     if isinstance(value, str):
@@ -69,6 +77,29 @@ def only_fields(c: Column, schema: str) -> Column:
 
 
 def strict_fields(c: Column, names: list[str]) -> Column:
-    """Whether the text is one JSON object that has no other field."""
+    """Whether the text is exactly one JSON object that has no other field: nothing may stand behind it."""
     keys = F.json_object_keys(c)
-    return F.coalesce(F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) == 0, F.lit(False))
+    one = F.try_parse_json(c).isNotNull()
+    return F.coalesce(one & (F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) == 0), F.lit(False))
+
+
+#: The fields of an ingestion task, all of them required (fixed values).
+TASK_FIELDS = ("requestId", "jobId", "documentId", "knowledgeBaseId", "userId")
+
+
+def decoded_task(c: Column, names: tuple[str, ...] = TASK_FIELDS) -> Column:
+    """struct(error, fields): the trimmed strings of a strict payload.
+
+    error: 'body' where the text is not one object of these fields with string values, else the first field that is missing or blank, else null.
+    """
+    raw = F.from_json(c, ", ".join(f"`{n}` string" for n in names))
+    tree = F.try_parse_json(c)
+    typed = F.lit(True)
+    for n in names:
+        kind = F.schema_of_variant(F.try_variant_get(tree, f"$.{n}", "variant"))
+        typed = typed & F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
+    values = {n: F.coalesce(unicode_trim(raw[n]), F.lit("")) for n in names}
+    error = F.when(~(strict_fields(c, list(names)) & typed), "body")
+    for n in names:
+        error = error.when(values[n] == "", n)
+    return F.struct(error.alias("error"), *[F.when(error.isNull(), v).alias(n) for n, v in values.items()])

@@ -12,7 +12,8 @@ UNICODE_SPACE = r"(?U)\s+"
 
 
 def unicode_trim(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space at the ends. Each pattern is anchored by possessive runs, so inner white space is passed once."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s++", ""), r"(?U)(?<!\s)\s++$", "")
 
 
 def words(c: Column) -> Column:
@@ -31,8 +32,8 @@ def normalize_text(c: Column) -> Column:
 
 
 def title_of(c: Column) -> Column:
-    """The first line, without leading '#' marks and spaces; null if there is none."""
-    return F.regexp_replace(F.get(normal_lines(c), F.lit(0)), r"^[# ]+", "")
+    """The first line, without one leading '# '; null if there is none."""
+    return F.trim(F.regexp_replace(F.get(normal_lines(c), F.lit(0)), r"^# ", ""))
 
 
 def token_estimate(c: Column) -> Column:
@@ -103,3 +104,73 @@ def share_percent(part: Column, total: Column) -> Column:
 def latency_ms(start: Column, end: Column) -> Column:
     """Milliseconds, rounded."""
     return rounded_long((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1000)
+
+
+# Labels of intents, and what a message's status means for its block and its run.
+INTENT_LABELS = {"knowledge_qa": "知识问答", "general_chat": "一般对话", "report_generation": "报告生成", "data_analysis": "数据分析"}
+UNKNOWN_LABEL = "未知"
+BLOCK_STATUS = {"queued": "queued", "generating": "streaming", "streaming": "streaming", "failed": "failed", "stopped": "stopped", "cancelled": "cancelled"}
+RUN_STATUS = {"generating": "running", "queued": "running", "streaming": "running", "stopped": "cancelled", "cancelled": "cancelled", "failed": "failed"}
+NAME_BYTES, TAG_BYTES, QUERY_BYTES, TITLE_CHARS, QUESTION_CHARS = 120, 64, 2000, 200, 32_000
+
+
+def mapped(c: Column, names: dict[str, str], otherwise: str) -> Column:
+    """The value that the fixed table has for c."""
+    pairs = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.try_element_at(pairs, c), F.lit(otherwise))
+
+
+def intent_label(c: Column) -> Column:
+    return mapped(c, INTENT_LABELS, UNKNOWN_LABEL)
+
+
+def block_status(message_status: Column) -> Column:
+    return mapped(message_status, BLOCK_STATUS, "completed")
+
+
+def run_status(message_status: Column) -> Column:
+    return mapped(message_status, RUN_STATUS, "completed")
+
+
+def empty_to_null(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
+def within_bytes(c: Column, most: int, least: int = 0) -> Column:
+    """Whether the UTF-8 length is in range; null is not."""
+    return F.coalesce(F.octet_length(c).between(least, most), F.lit(False))
+
+
+def within_chars(c: Column, most: int, least: int = 0) -> Column:
+    """Whether the number of code points is in range; null is not."""
+    return F.coalesce(F.length(c).between(least, most), F.lit(False))
+
+
+def json_is_array(c: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("ARRAY"), F.lit(False))
+
+
+def json_is_object(c: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT"), F.lit(False))
+
+
+def attempt_id(job: Column, attempt: Column) -> Column:
+    return F.concat_ws(":", job.cast("string"), attempt.cast("string"))
+
+
+def random_id() -> Column:
+    """A random identifier; differs from run to run, so it is never part of a comparison."""
+    return F.expr("uuid()")
+
+
+def media_types(c: Column) -> Column:
+    """Lower-cased, trimmed, without blanks and repeats, sorted."""
+    return F.array_sort(F.array_distinct(F.filter(F.transform(c, lambda x: F.lower(unicode_trim(x))), lambda x: x != "")))
+
+
+def citation_columns(document: Column, text: Column, context: Column) -> list[Column]:
+    """preview, content (the context, else the text), available, endpoint, reason of a citation."""
+    there = F.coalesce(document.cast("string") != "", F.lit(False))
+    return [text.alias("preview"), F.coalesce(empty_to_null(context), text).alias("content"), there.alias("available"),
+            F.when(there, F.concat(F.lit("/api/v1/documents/"), document.cast("string"), F.lit("/content"))).alias("endpoint"),
+            F.when(~there, "source_unavailable").alias("reason")]

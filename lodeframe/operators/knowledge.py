@@ -9,52 +9,128 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import has_metadata, has_tags
-from ..functions.text import preview, token_estimate, unicode_trim, words
+from ..functions.text import attempt_id, preview, token_estimate, unicode_trim, words
 
 SIZE, SIZE_LEAST, SIZE_MOST, OVERLAP_MOST, DIMENSIONS = 1600, 64, 8000, 2000, 384
 TOP_K, TOP_K_MOST, OVERFETCH, CANDIDATES_MOST, THRESHOLD = 10, 100, 5, 500, 0.35
 
 
 def chunk_strategy(text: str | None) -> tuple[int, int]:
-    """(size, overlap) of a strategy in JSON; malformed ones count as empty."""
+    """(size, overlap) of a strategy in JSON. Fields that are no whole numbers, and malformed ones, count as absent; all are clamped."""
     try:
         given = json.loads(text or "{}")
-        given = given if isinstance(given, dict) else {}
     except ValueError:
         given = {}
-    number = lambda k: given[k] if isinstance(given.get(k), (int, float)) and given[k] > 0 else None
-    size = int(min(max(number("size") or number("chunkSize") or SIZE, SIZE_LEAST), SIZE_MOST))
-    overlap = int(min(number("overlap") or 0, OVERLAP_MOST))
+    given = given if isinstance(given, dict) else {}
+    number = lambda k: given[k] if type(given.get(k)) is int else 0
+    size = min(max(number("size") or number("chunkSize") or SIZE, SIZE_LEAST), SIZE_MOST)
+    overlap = min(max(number("overlap"), 0), OVERLAP_MOST)
     return size, size // 4 if overlap >= size else overlap
 
 
+def chunk_settings(c: Column) -> Column:
+    """struct(size, overlap): `chunk_strategy` for every row of a column."""
+    whole = lambda k: F.coalesce(F.when(F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), f"$.{k}", "variant")) == "BIGINT",
+                                        F.try_variant_get(F.try_parse_json(c), f"$.{k}", "bigint")), F.lit(0))
+    size = F.coalesce(F.nullif(whole("size"), F.lit(0)), F.nullif(whole("chunkSize"), F.lit(0)), F.lit(SIZE))
+    size = F.least(F.greatest(size, F.lit(SIZE_LEAST)), F.lit(SIZE_MOST))
+    overlap = F.least(F.greatest(whole("overlap"), F.lit(0)), F.lit(OVERLAP_MOST))
+    return F.struct(size.cast("int").alias("size"), F.when(overlap >= size, F.floor(size / 4)).otherwise(overlap).cast("int").alias("overlap"))
+
+
+#: Windows that are cut from one piece of a text: a substring walks from the start of its piece only.
+PIECE_WINDOWS = 16
+
+
 def chunk_texts(text: Column, size: int, overlap: int) -> Column:
-    """Trimmed windows of the trimmed text; blank windows are dropped."""
+    """Trimmed windows of the trimmed text; blank windows are dropped. The text is cut in two steps, so long ones take no quadratic time."""
     body, step = unicode_trim(text), size - overlap
-    starts = F.when(F.length(body) <= size, F.array(F.lit(0))) \
-        .otherwise(F.sequence(F.lit(0), (F.ceil((F.length(body) - size) / step) * step).cast("int"), F.lit(step)))
-    windows = F.transform(starts, lambda s: unicode_trim(F.substring(body, s + 1, F.lit(size))))
+    last = F.when(F.length(body) <= size, F.lit(0)).otherwise(F.ceil((F.length(body) - size) / step)).cast("int")
+    groups = F.sequence(F.lit(0), F.floor(last / PIECE_WINDOWS).cast("int"))
+    pieces = F.transform(groups, lambda g: F.struct(
+        F.substring(body, g * (PIECE_WINDOWS * step) + 1, F.lit(PIECE_WINDOWS * step + size)).alias("t"),
+        F.least(last - g * PIECE_WINDOWS, F.lit(PIECE_WINDOWS - 1)).alias("n")))
+    windows = F.flatten(F.transform(pieces, lambda p: F.transform(
+        F.sequence(F.lit(0), p["n"]), lambda i: unicode_trim(F.substring(p["t"], i * step + 1, F.lit(size))))))
     return F.filter(windows, lambda w: w != "")
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, overlap: int = 200) -> DataFrame:
-    """id_col, chunk_index (after blanks are dropped), content, token_count, chunk_type; texts without any give none."""
+    """id_col, chunk_index (after blanks are dropped), content, token_count, chunk_type, metadata; texts without any give none."""
     rows = docs.select(id_col, F.posexplode(chunk_texts(F.col(text_col), size, overlap)).alias("chunk_index", "content"))
-    return rows.withColumn("token_count", token_estimate(F.col("content"))).withColumn("chunk_type", F.lit("text"))
+    index = F.col("chunk_index").cast("string")
+    return rows.withColumns({"token_count": token_estimate(F.col("content")), "chunk_type": F.lit("text"), "metadata": F.create_map(F.lit("chunk_index"), index)})
 
 
 def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    """Sparse signed feature hashing: id_col, bucket, weight (signed count), value (of the unit vector)."""
+    """Sparse signed feature hashing: id_col, bucket, weight (signed count), value (of the unit vector).
+
+    A document is folded in its own row: its buckets are sorted, and a run of one bucket is a weight. Nothing is shuffled.
+    """
     body = F.lower(F.col(text_col))
     tokens = words(body)
     tokens = F.when(F.size(tokens) == 0, F.array(body)).otherwise(tokens)
-    rows = docs.select(id_col, F.explode(tokens).alias("w")).groupBy(id_col, "w").agg(F.count(F.lit(1)).alias("n"))
-    h = F.sha2(F.col("w").cast("binary"), 256)
-    rows = rows.select(id_col, (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dimensions).cast("int").alias("bucket"),
-                       F.when(F.conv(F.substring(h, 10, 1), 16, 10).cast("int") % 2 == 1, -F.col("n")).otherwise(F.col("n")).alias("s"))
-    sums = rows.groupBy(id_col, "bucket").agg(F.sum("s").alias("weight")).where("weight != 0")
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
-    return sums.withColumn("value", F.col("weight") / norm)
+    head = lambda w: F.substring(F.sha2(w.cast("binary"), 256), 1, 10)
+    odd = lambda h: F.substring(h, 10, 1).isin(*"13579bdf")
+    signed = F.transform(F.transform(tokens, head), lambda h: (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dimensions * 2 + odd(h).cast("long")).cast("int"))
+    rows = docs.select(id_col, F.array_sort(signed).alias("s")).withColumn("n", F.size("s"))
+    # Where the place in the sorted row is the last of its bucket, the counts up to there, plus for one sign and minus for the other.
+    ends = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == F.col("n") - 1) | (F.get("s", i) != F.get("s", i + 1)))
+    rows = rows.select(id_col, "s", F.when(F.col("n") > 0, ends).otherwise(F.array().cast("array<int>")).alias("e"))
+    before = F.concat(F.array(F.lit(-1)), F.slice("e", 1, F.greatest(F.size("e") - 1, F.lit(0))))
+    counts = F.transform(F.arrays_zip(F.col("e").alias("e"), before.alias("b")), lambda x: F.struct(
+        F.floor(F.get("s", x["e"]) / 2).cast("int").alias("bucket"), (F.when(F.get("s", x["e"]) % 2 == 1, -1).otherwise(1) * (x["e"] - x["b"])).cast("long").alias("w")))
+    rows = rows.select(id_col, counts.alias("c"))
+    # A bucket has one or two neighbouring entries: those of either sign.
+    weights = F.transform(F.col("c"), lambda x, i: F.struct(
+        x["bucket"].alias("bucket"), (x["w"] + F.when(F.get("c", i + 1)["bucket"] == x["bucket"], F.get("c", i + 1)["w"]).otherwise(0)).alias("weight"),
+        F.coalesce((i > 0) & (F.get("c", i - 1)["bucket"] == x["bucket"]), F.lit(False)).alias("second")))
+    rows = rows.select(id_col, F.filter(weights, lambda x: ~x["second"] & (x["weight"] != 0)).alias("v"))
+    rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x["weight"] * x["weight"])))
+    return rows.select(id_col, "norm", F.explode("v").alias("x")).select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("norm")).alias("value"))
+
+
+def embedding_problems(vectors: DataFrame, requests: DataFrame, by: str) -> DataFrame:
+    """by, reason of each answer that is refused: 'count', 'index' (not 0 to n - 1, each once) or 'dimension' (unequal or none).
+
+    vectors: by, index, vector; requests: by, n (how many texts were sent).
+    """
+    got = vectors.groupBy(by).agg(F.count(F.lit(1)).alias("c"), F.count_distinct("index").alias("d"), F.min("index").alias("lo"), F.max("index").alias("hi"),
+                                  F.min(F.coalesce(F.size("vector"), F.lit(0))).alias("s"), F.max(F.size("vector")).alias("t"))
+    rows = requests.select(F.col(by), F.col("n")).join(got, by, "left")
+    reason = F.when(F.coalesce("c", F.lit(0)) != F.col("n"), "count").when((F.col("d") != F.col("n")) | (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1), "index") \
+        .when((F.col("s") < 1) | (F.col("s") != F.col("t")), "dimension")
+    return rows.select(by, reason.alias("reason")).where("reason is not null")
+
+
+def valid_embedding(payload: Column, encoding: Column) -> Column:
+    """Whether a payload is a JSON list of numbers with a member ('float', also for a blank encoding), or a JSON string of base64, padded or not."""
+    kind = F.lower(F.trim(F.coalesce(encoding, F.lit(""))))
+    numbers = F.try_variant_get(F.try_parse_json(payload), "$", "array<double>")
+    raw = F.trim(F.try_variant_get(F.try_parse_json(payload), "$", "string"))
+    padded = F.rpad(raw, (F.ceil(F.length(raw) / 4) * 4).cast("int"), F.lit("="))
+    text = F.schema_of_variant(F.try_parse_json(payload)) == "STRING"
+    plain = raw.rlike("^[A-Za-z0-9+/]+={0,2}$") & (~raw.contains("=") | (F.length(raw) % 4 == 0))
+    ok = F.when(kind.isin("", "float"), F.size(numbers) > 0).when(kind == "base64", text & (raw != "") & plain & F.try_to_binary(padded, F.lit("base64")).isNotNull())
+    return F.coalesce(ok, F.lit(False))
+
+
+def point_payloads(chunk_rows: DataFrame, documents: DataFrame, jobs: DataFrame) -> DataFrame:
+    """chunk_id and payload, the struct that a vector point carries.
+
+    chunk_rows: chunk_id, document_id, knowledge_base_id, chunk_index, chunk_type, section_path, metadata; documents: document_id, tags; jobs: document_id, job_id, attempts.
+    """
+    rows = chunk_rows.join(documents.select("document_id", "tags"), "document_id").join(jobs.select("document_id", "job_id", "attempts"), "document_id")
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    payload = F.struct("knowledge_base_id", "document_id", "chunk_id", "chunk_index", blank(F.col("chunk_type")).alias("chunk_type"),
+                       blank(F.col("section_path")).alias("section_path"), "tags", "metadata", "job_id", F.col("attempts").alias("job_attempt"),
+                       attempt_id(F.col("job_id"), F.col("attempts")).alias("ingestion_attempt"))
+    return rows.select("chunk_id", payload.alias("payload"))
+
+
+def delete_attempt(points: DataFrame, document: str, attempt: str) -> DataFrame:
+    """Points without those that one attempt wrote for one document."""
+    return points.where(~(F.col("document_id").eqNullSafe(F.lit(document)) & F.col("ingestion_attempt").eqNullSafe(F.lit(attempt))))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -79,14 +155,29 @@ def candidate_limit(top_k: int) -> int:
     return min(max(top_k * OVERFETCH, top_k), CANDIDATES_MOST)
 
 
+#: Bytes of queries that may be broadcast; more are dealt in blocks by a shuffle.
+BROADCAST_BYTES = 8 << 20
+
+
 def batch_search(points: DataFrame, queries: DataFrame, k: int, id_col: str, vector_col: str, query_id: str, query_vector: str,
                  blocks: int = 16) -> DataFrame:
-    """Top k points of every query. The queries are a stated set, dealt in blocks: every block meets every
-    point once, as arrays, and keeps k a task before anything is shuffled (WindowGroupLimit)."""
+    """Top k points of every query. The queries are a stated set, dealt in blocks of whole vectors: every block meets every
+    point once, and keeps k a task before anything is shuffled (WindowGroupLimit). Up to BROADCAST_BYTES of queries, by their
+    measured size, the blocks are broadcast and points stay where they are; beyond, both sides are dealt by block and salt."""
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(query_vector)), F.lit(0)).alias("d")).first()
+    small = size["n"] * (8 * size["d"] + 16) <= BROADCAST_BYTES
+    blocks = blocks if small else max(blocks, -(-size["n"] // 2048))
     dealt = queries.select(F.col(query_id).alias("__q"), F.col(query_vector).alias("__v")) \
-        .groupBy((F.pmod(F.xxhash64("__q"), F.lit(blocks))).alias("__b")).agg(F.collect_list(F.struct("__q", "__v")).alias("__qs"))
-    pairs = points.select(F.col(id_col).alias("__p"), F.col(vector_col).alias("__pv"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__pb"))
-    pairs = pairs.join(F.broadcast(dealt), F.col("__pb") == F.col("__b")).select("__p", "__pv", F.explode("__qs").alias("__x"))
+        .groupBy((F.pmod(F.xxhash64("__q"), F.lit(blocks))).cast("int").alias("__b")).agg(F.collect_list(F.struct("__q", "__v")).alias("__qs"))
+    rows = points.select(F.col(id_col).alias("__p"), F.col(vector_col).alias("__pv"))
+    if small:
+        pairs = rows.withColumn("__pb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(F.broadcast(dealt), F.col("__pb") == F.col("__b"))
+    else:
+        salts = max(1, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+        rows = rows.withColumn("__s", F.pmod(F.xxhash64("__p"), F.lit(salts)).cast("int")).withColumn("__pb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        pairs = rows.join(dealt.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("shuffle_hash"),
+                          (F.col("__pb") == F.col("__b")) & (F.col("__s") == F.col("__t")))
+    pairs = pairs.select("__p", "__pv", F.explode("__qs").alias("__x"))
     scored = pairs.select(F.col("__x.__q").alias(query_id), F.col("__p").alias(id_col), dot(F.col("__pv"), F.col("__x.__v")).alias("score"))
     best = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(id_col))
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -135,20 +226,78 @@ def rerank_problems(response: DataFrame, documents: DataFrame) -> DataFrame:
     return rows.select("index", reason.alias("reason")).where("reason is not null").distinct()
 
 
+def normal_rerank(response: DataFrame, documents: DataFrame) -> DataFrame:
+    """(index, document_id, score) of a provider's rows, in either of two shapes: (index, document_id, score) or (index, relevance_score, score).
+
+    Rows: index and any of document_id, relevance_score, score. One row that is refused (see `rerank_problems`, or without a
+    score) refuses the whole answer: no rows. The document's own id always counts.
+    """
+    for name, kind in (("document_id", "string"), ("relevance_score", "double"), ("score", "double")):
+        if name not in response.columns:
+            response = response.withColumn(name, F.lit(None).cast(kind))
+    rows = response.select("index", F.nullif(F.col("document_id").cast("string"), F.lit("")).alias("document_id"), F.coalesce("relevance_score", "score").alias("score"))
+    known = documents.select("index", F.col("document_id").cast("string").alias("document_id"))
+    bad = rerank_problems(rows, known).select("reason").unionByName(rows.where("score is null").select(F.lit("score").alias("reason"))).limit(1)
+    good = rows.select("index", "score").join(known, "index").crossJoin(bad.agg(F.count(F.lit(1)).alias("__bad"))).where("__bad = 0")
+    return good.select("index", "document_id", "score")
+
+
+def rerank_usage(usage: Column, input_tokens: Column, output_tokens: Column) -> Column:
+    """struct(prompt, completion, total): the stated usage, else that of the answer's token counts, else null."""
+    counted = F.struct(input_tokens.cast("long").alias("prompt"), output_tokens.cast("long").alias("completion"), (input_tokens + output_tokens).cast("long").alias("total"))
+    return F.coalesce(usage, F.when(input_tokens.isNotNull() & output_tokens.isNotNull(), counted))
+
+
+def scope_of(kb_ids: Sequence[str] | None, readable: DataFrame) -> DataFrame:
+    """kb_id of a search's scope: the given ids, trimmed and each once, all of which must be readable; without any, all readable ones."""
+    ids = list(dict.fromkeys(k.strip() for k in kb_ids or [] if k.strip()))
+    if not ids:
+        return readable.select("kb_id").distinct()
+    found = readable.where(F.col("kb_id").isin(ids)).select("kb_id").distinct()
+    lacking = sorted(set(ids) - {r["kb_id"] for r in found.collect()})  # at most as many as the caller gave
+    if lacking:
+        raise ValueError(f"no such knowledge base: {lacking[0]}")
+    return found
+
+
+COLLECTION, CONFIGURED = "knowledge_chunks", "configured"
+
+
+def trace_of(hits: DataFrame, top_k: int, threshold: float, rerank_n: int | None = None, rerank: bool = False, provider: str = "", model: str = "",
+             dimension: int = 0, collection: str = "") -> DataFrame:
+    """One row that says how a search was made and how many hits it had; blanks have defaults."""
+    lit = lambda x, default: F.lit(x.strip() or default)
+    return hits.agg(F.count(F.lit(1)).alias("hit_count")).select(
+        lit(provider, CONFIGURED).alias("embedding_provider"), lit(model, CONFIGURED).alias("embedding_model"), F.lit(max(dimension, 1)).alias("embedding_dimension"),
+        lit(collection, COLLECTION).alias("collection"), F.lit(top_k).alias("search_top_k"), F.lit(float(threshold)).alias("score_threshold"), "hit_count",
+        F.lit(rerank).alias("rerank"), F.lit(rerank_n).cast("int").alias("rerank_top_n"))
+
+
+def experiment_log(run_id: str, question: str, hits: DataFrame, order: list[Column], failed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(the run's row, its results numbered from 1 in order) of a search that is kept for comparison."""
+    results = hits.withColumn("rank_no", F.row_number().over(Window.partitionBy(F.lit(run_id)).orderBy(*order)).cast("long")).withColumn("run_id", F.lit(run_id))
+    run = hits.agg(F.count(F.lit(1)).alias("result_count")).select(
+        F.lit(run_id).alias("run_id"), F.lit(question).alias("question"), F.lit("failed" if failed else "completed").alias("status"), "result_count",
+        F.lit("knowledge retrieval failed" if failed else None).cast("string").alias("error_message"))
+    return run, results
+
+
 def retrieve(points: DataFrame, chunk_rows: DataFrame, documents: DataFrame, query_vector: Sequence[float], kb_ids: list[str] | None = None,
              readable: DataFrame | None = None, top_k: int = TOP_K, threshold: float = THRESHOLD, tags: list[str] | None = None,
              metadata: dict[str, object] | None = None, reranker: Callable[[DataFrame], DataFrame] | None = None,
              rerank_n: int | None = None) -> DataFrame:
     """The retrieval pipeline as one lazy plan: scope, search, hydrate, cut, rerank.
 
-    points: point_id, chunk_id, kb_id, vector. No kb_ids means all readable ones; an empty scope gives no rows.
+    points: point_id, chunk_id, kb_id, vector. No kb_ids means all readable ones; an id that is not readable is an error;
+    an empty scope gives no rows. `trace_of` and `experiment_log` describe the result.
     """
     if not 1 <= top_k <= TOP_K_MOST:
         raise ValueError(f"top_k must be from 1 to {TOP_K_MOST}")
-    ids = list(dict.fromkeys(k.strip() for k in kb_ids or [] if k.strip()))
-    scoped = points.where(F.col("kb_id").isin(ids)) if ids else points
-    if readable is not None:
-        scoped = scoped.join(readable.select("kb_id"), "kb_id", "left_semi")
+    if readable is None:
+        ids = list(dict.fromkeys(k.strip() for k in kb_ids or [] if k.strip()))
+        scoped = points.where(F.col("kb_id").isin(ids)) if ids else points
+    else:
+        scoped = points.join(scope_of(kb_ids, readable), "kb_id", "left_semi")
     hits = search(scoped, query_vector, candidate_limit(top_k), threshold).select("chunk_id", "score")
     rows = hydrate(hits, chunk_rows, documents, top_k, threshold, tags, metadata)
     return rows if reranker is None else rerank_merge(rows, reranker(rows), min(rerank_n or top_k, top_k))

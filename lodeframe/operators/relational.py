@@ -22,6 +22,33 @@ def page(rows: DataFrame, *order: Column, number: int = 1, size: int = PAGE_SIZE
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
+def page_with_total(rows: DataFrame, *order: Column, number: int = 1, size: int = PAGE_SIZE, total: str = "total") -> DataFrame:
+    """A page and, in every row, how many rows all pages have: one aggregated row joined to the page's few."""
+    return page(rows, *order, number=number, size=size).crossJoin(rows.agg(F.count(F.lit(1)).alias(total)))
+
+
+#: The orders a list can be asked for; anything else is the first one.
+ORDERS = {"-updatedAt": ("updated_at", False), "updatedAt": ("updated_at", True), "-createdAt": ("created_at", False), "createdAt": ("created_at", True)}
+
+
+def list_order(name: str, key: str = "id") -> list[Column]:
+    """The order of that name; the key always falls."""
+    column, rising = ORDERS.get(name, ORDERS["-updatedAt"])
+    return [F.asc(column) if rising else F.desc(column), F.desc(key)]
+
+
+def with_first_block(messages: DataFrame, blocks: DataFrame) -> DataFrame:
+    """messages (id) with the content of their block number 0, null where there is none; blocks: message_id, block_order, content."""
+    first = blocks.where("block_order = 0").select(F.col("message_id").alias("__m"), "content")
+    return messages.join(first, F.col("id") == F.col("__m"), "left").drop("__m")
+
+
+def insert_looked_up(rows: DataFrame, lookup: DataFrame, on: str, code: str, wanted: list[str]) -> DataFrame:
+    """The rows to insert: `rows` with the columns of the lookup rows that they name; rows that name none insert nothing."""
+    found = lookup.select(F.col(code).alias("__c"), *wanted)
+    return rows.join(found, F.col(on) == F.col("__c")).drop("__c")
+
+
 def with_counts(rows: DataFrame, key: str, children: DataFrame, child_key: str, name: str) -> DataFrame:
     """Left join to counts of children, which are aggregated before the join; 0 where there are none."""
     counts = children.groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))

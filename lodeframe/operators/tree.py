@@ -2,43 +2,99 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEPTH_MOST = 64
+from ..functions.text import unicode_trim
+from ..shared import checkpointed
+
+
+def _levels(start: DataFrame, step) -> DataFrame:
+    """`start`, and what `step` makes of each level until a level is empty; levels are checkpointed, so plans stay short."""
+    out = level = checkpointed(start)
+    while True:
+        level = checkpointed(step(level))
+        if level.isEmpty():
+            return out
+        out = out.unionByName(level)
+
 
+def renumber(nodes: DataFrame, group: str | None = None) -> DataFrame:
+    """node, level, numbering (dotted, by position among siblings); with `group`, a tree in each. Any depth."""
+    by = [group] if group else []
+    place = F.row_number().over(Window.partitionBy(*by, "parent").orderBy("position", "node")).cast("string")
+    placed = checkpointed(nodes.select(*by, "node", "parent", place.alias("own")))
+    top = placed.where("parent IS NULL").select(*by, "node", F.lit(1).alias("level"), F.col("own").alias("numbering"))
 
-def renumber(nodes: DataFrame, depth_most: int = DEPTH_MOST) -> DataFrame:
-    """node, level, numbering (dotted, by position among siblings)."""
-    nodes.createOrReplaceTempView("__tree")
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE placed AS (
-          SELECT node, parent, row_number() OVER (PARTITION BY parent ORDER BY position, node) AS rn FROM __tree),
-        walk(node, level, numbering) MAX RECURSION LEVEL {depth_most} AS (
-          SELECT node, 1, cast(rn AS string) FROM placed WHERE parent IS NULL
-          UNION ALL
-          SELECT p.node, w.level + 1, concat(w.numbering, '.', cast(p.rn AS string)) FROM placed p JOIN walk w ON p.parent = w.node)
-        SELECT node, level, numbering FROM walk""")
+    def below(level: DataFrame) -> DataFrame:
+        up = level.select(*[F.col(c).alias(f"{c}_up") for c in by], F.col("node").alias("node_up"), "level", "numbering")
+        on = F.col("parent") == F.col("node_up")
+        for c in by:
+            on = on & F.col(c).eqNullSafe(F.col(f"{c}_up"))
+        return placed.join(up, on).select(*by, "node", (F.col("level") + 1).alias("level"), F.concat_ws(".", "numbering", "own").alias("numbering"))
 
+    return _levels(top, below)
 
-def without_subtree(nodes: DataFrame, root: str, depth_most: int = DEPTH_MOST) -> DataFrame:
-    nodes.createOrReplaceTempView("__tree")
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE gone(node) MAX RECURSION LEVEL {depth_most} AS (
-          SELECT node FROM __tree WHERE node = '{root}'
-          UNION ALL SELECT t.node FROM __tree t JOIN gone g ON t.parent = g.node)
-        SELECT t.* FROM __tree t LEFT ANTI JOIN gone g ON t.node = g.node""")
+
+def without_subtree(nodes: DataFrame, root: str) -> DataFrame:
+    """The nodes that are neither `root` nor below it; a cycle below it ends where it closes."""
+    gone = checkpointed(nodes.where(F.col("node") == F.lit(root)).select("node").distinct())
+    level = gone
+    while not level.isEmpty():
+        found = nodes.join(level.select(F.col("node").alias("up")), F.col("parent") == F.col("up"), "left_semi").select("node").distinct()
+        level = checkpointed(found.join(gone, "node", "left_anti"))
+        gone = checkpointed(gone.union(level))
+    return nodes.join(gone, "node", "left_anti").select(*nodes.columns)
 
 
 def cycles(nodes: DataFrame) -> DataFrame:
     """Nodes that are their own ancestor, at any distance: the distance covered doubles until no new ancestor appears."""
-    shared = nodes.sparkSession.sparkContext.getCheckpointDir() is not None
-    keep = lambda df: df.checkpoint() if shared else df.localCheckpoint()
-    up = keep(nodes.where("parent IS NOT NULL").selectExpr("node", "parent AS ancestor").distinct())
+    up = checkpointed(nodes.where("parent IS NOT NULL").selectExpr("node", "parent AS ancestor").distinct())
     size, seen = up.count(), -1
     while size != seen:
         seen = size
         further = up.alias("a").join(up.alias("b"), F.expr("a.ancestor = b.node")).selectExpr("a.node", "b.ancestor")
-        up = keep(up.union(further).distinct())
+        up = checkpointed(up.union(further).distinct())
         size = up.count()
     return up.where("node = ancestor").select("node")
+
+
+def parent_problems(nodes: DataFrame, group: str) -> DataFrame:
+    """node, reason of each node whose parent is refused: 'self', 'missing' (no node of the same group, for it or an ancestor), 'cycle'.
+
+    A blank parent is none. A node below a cycle is refused too: its ancestors never end.
+    """
+    parent = F.nullif(unicode_trim(F.col("parent")), F.lit(""))
+    rows = checkpointed(nodes.select(F.col(group).alias("g"), "node", parent.alias("parent")))
+    own = rows.where("parent IS NOT NULL")
+    known = rows.select(F.col("g").alias("kg"), F.col("node").alias("known"))
+    odd = own.where("parent = node").select("g", "node", F.lit("self").alias("reason"))
+    lost = own.join(known, (F.col("g") == F.col("kg")) & (F.col("parent") == F.col("known")), "left_anti").select("g", "node", F.lit("missing").alias("reason"))
+    # Ancestors end at a node without parent or at a refused one; who never gets there is on a cycle or below one.
+    ended = checkpointed(rows.where("parent IS NULL").select("g", "node", F.lit(None).cast("string").alias("reason")).unionByName(lost))
+
+    def below(level: DataFrame) -> DataFrame:
+        up = level.select(F.col("g").alias("ug"), F.col("node").alias("up"), F.when(F.col("reason").isNotNull(), "missing").alias("reason"))
+        return own.where("parent <> node").join(up, (F.col("g") == F.col("ug")) & (F.col("parent") == F.col("up"))).select("g", "node", "reason")
+
+    reached = _levels(ended, below)
+    loops = own.where("parent <> node").join(reached, ["g", "node"], "left_anti").select("g", "node", F.lit("cycle").alias("reason"))
+    return reached.where("reason IS NOT NULL").unionByName(odd).unionByName(loops).select(F.col("g").alias(group), "node", "reason")
+
+
+def node_count(nodes: DataFrame, group: str) -> DataFrame:
+    """Nodes of each tree, whatever their depth: the adjacency form has a row a node."""
+    return nodes.groupBy(group).agg(F.count(F.lit(1)).alias("nodes"))
+
+
+def with_ids(nodes: DataFrame, id_col: str = "node", seed: Column | None = None) -> DataFrame:
+    """Blank identifiers get new ones: random, or a hash of `seed`, which is the same in a second run."""
+    blank = F.coalesce(unicode_trim(F.col(id_col)) == "", F.lit(True))
+    new = F.expr("uuid()") if seed is None else F.concat(F.lit("node_"), F.substring(F.sha2(seed.cast("string").cast("binary"), 256), 1, 24))
+    return nodes.withColumn(id_col, F.when(blank, new).otherwise(F.col(id_col)))
+
+
+def new_id() -> str:
+    return str(uuid.uuid4())

@@ -1,0 +1,37 @@
+"""The parts that a user may replace: protocols over DataFrames."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from typing import Protocol
+
+from pyspark.sql import DataFrame
+
+
+class SourceReader(Protocol):
+    def read(self, path: str) -> DataFrame:
+        """name, content_type, content, size, sha256."""
+
+
+class Parser(Protocol):
+    def parse(self, files: DataFrame) -> DataFrame:
+        """name, content_type, format, content, title, backend, pages, error."""
+
+
+class Chunker(Protocol):
+    def chunk(self, documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """id_col, chunk_index, content, token_count, chunk_type, metadata."""
+
+
+class Embedder(Protocol):
+    def embed(self, chunks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """id_col, vector."""
+
+
+class VectorIndex(Protocol):
+    def upsert(self, points: DataFrame) -> None: ...
+
+    def search(self, query: Sequence[float], k: int, threshold: float | None = None) -> DataFrame:
+        """chunk_id, score."""
+
+    def delete_attempt(self, document: str, attempt: str) -> None: ...

@@ -7,6 +7,7 @@ for messages, orders and lineitem for reports and jobs, region / nation / custom
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def usage_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; a local one only where that is unset on a local master."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not (spark.sparkContext.master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{named or 'file://' + tempfile.mkdtemp(prefix='lodeframe-')}/usage-{uuid.uuid4().hex}"
+
+
 def query(sql: str | None):
     def keep(f):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
@@ -159,9 +168,9 @@ def scope_filter(t):
     return t.orders.where((F.col("o_orderstatus") != "P") & P.visible_to(F.col("o_custkey"), 7, False)).select("o_orderkey", "o_custkey")
 
 
-@query("""SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%PART%' AND p_name ILIKE '%1_%' ORDER BY p_partkey""")
+@query("""SELECT c_custkey, c_name FROM customer WHERE c_name ILIKE '%CUST%0_1%' AND c_name ILIKE '%1%' ORDER BY c_custkey""")
 def keyword_search(t):
-    return t.part.where(P.keyword(F.col("p_name"), "PART") & P.keyword(F.col("p_name"), "1_")).select("p_partkey", "p_name").orderBy("p_partkey")
+    return t.customer.where(P.keyword(F.col("c_name"), "CUST%0_1") & P.keyword(F.col("c_name"), "1")).select("c_custkey", "c_name").orderBy("c_custkey")
 
 
 @query("""SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'""")
@@ -257,14 +266,29 @@ def grouped_children(t):
 LINES = r"""list_filter(list_transform(string_split_regex(text, '\r\n|[\n\r\x0B\x0C]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '')"""
 
 
-@query(f"""SELECT doc_id, sha256(array_to_string({LINES}, chr(10))) AS normal_sha256, regexp_replace(({LINES})[1], '^[# ]+', '') AS title FROM documents""")
+@query(f"""SELECT doc_id, sha256(array_to_string({LINES}, chr(10))) AS normal_sha256, trim(regexp_replace(({LINES})[1], '^# ', '')) AS title FROM documents""")
 def text_normalize(t):
     return t.documents.select("doc_id", F.sha2(T.normalize_text(F.col("text")).cast("binary"), 256).alias("normal_sha256"), T.title_of(F.col("text")).alias("title"))
 
 
-@query("""SELECT page_id, CASE WHEN starts_with(html, '%PDF-') THEN 'pdf' WHEN url LIKE '%.pdf' THEN 'pdf' WHEN url LIKE '%.png' THEN 'image' ELSE 'text' END AS format FROM pages""")
+NAMES = ["a.docx", "a.pdf", "a.PNG", "a.xls", "a.md", "a.bin", "a.csv", "noext", "a.html"]
+MEDIA = ["", "application/pdf; x=1", "image/webp", "application/msword", "text/markdown", "application/octet-stream"]
+HEADS = ["", "%PDF-1.7", "GIF89a", "PK\x03\x04", "plain words", "BM"]
+
+
+@query(f"""WITH f AS (SELECT page_id, ({NAMES!r})[1 + page_id % 9] AS name, split_part(({MEDIA!r})[1 + (page_id // 9) % 6], ';', 1) AS kind,
+(['', '%PDF-1.7', 'GIF89a', 'PK' || chr(3) || chr(4), 'plain words', 'BM'])[1 + (page_id // 54) % 6] || CASE WHEN page_id % 7 = 0 THEN chr(0) ELSE '' END AS head FROM pages),
+e AS (SELECT *, lower(regexp_extract(name, '\\.([^.]+)$', 1)) AS ext FROM f)
+SELECT page_id, CASE WHEN starts_with(head, 'PK' || chr(3) || chr(4)) THEN 'zip' WHEN starts_with(head, '%PDF-') THEN 'pdf' WHEN starts_with(head, 'GIF89a') OR starts_with(head, 'BM') THEN 'image'
+WHEN ext IN ('docx', 'pptx', 'xlsx') THEN 'unknown' WHEN kind = 'application/pdf' OR ext = 'pdf' THEN 'pdf' WHEN starts_with(kind, 'image/') OR ext = 'png' THEN 'image'
+WHEN kind = 'application/msword' OR ext = 'xls' THEN 'legacy_office' WHEN kind = 'text/markdown' OR ext = 'md' THEN 'text' WHEN page_id % 7 <> 0 THEN 'text'
+WHEN ext IN ('csv', 'html') THEN 'text' ELSE 'unknown' END AS format FROM e""")
 def format_detect(t):
-    return t.pages.select("page_id", files.detect_format(F.col("url"), F.lit(""), F.col("html").cast("binary")).alias("format"))
+    """Names, media types and heads in all combinations, with and without a NUL."""
+    pick = lambda values, at: F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
+    page = F.col("page_id")
+    head = F.concat(pick(HEADS, F.floor(page / 54) % 6), F.when(page % 7 == 0, F.lit("\0")).otherwise(""))
+    return t.pages.select("page_id", files.detect_format(pick(NAMES, page % 9), pick(MEDIA, F.floor(page / 9) % 6), head.cast("binary")).alias("format"))
 
 
 CHUNKS = """WITH b AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS body FROM documents),
@@ -279,10 +303,10 @@ def chunk_fixed(t):
     return K.chunks(t.documents, "doc_id", "text").select("doc_id", "chunk_index", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"), "token_count")
 
 
-@query(CHUNKS + """ SELECT c.doc_id, source, CAST(i AS INTEGER) AS chunk_index FROM c JOIN documents USING (doc_id) JOIN labels USING (doc_id) WHERE quality = 1 AND lang = 'en'""")
+@query(CHUNKS + """ SELECT c.doc_id, source, CAST(i AS INTEGER) AS chunk_index FROM c JOIN documents USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""")
 def chunk_list(t):
-    docs = t.documents.where("lang = 'en'").join(t.labels.where("quality = 1").select("doc_id"), "doc_id")
-    return K.chunks(docs, "doc_id", "text").join(docs.select("doc_id", "source"), "doc_id").select("doc_id", "source", "chunk_index")
+    docs = t.documents.join(t.labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return K.chunks(t.documents, "doc_id", "text").join(docs.select("doc_id", "source"), "doc_id").select("doc_id", "source", "chunk_index")
 
 
 EMBED = """WITH w AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM documents),
@@ -392,21 +416,22 @@ def soft_delete_cascade(t):
 
 
 JOBS = """SELECT event_id AS id, CASE event_type WHEN 'signup' THEN 'queued' WHEN 'error' THEN 'failed' ELSE 'running' END AS status,
-CAST(user_id % 4 AS INTEGER) AS attempts, 3 AS max_attempts, ts AS updated_at FROM events"""
-CLAIM = f"(status = 'queued' OR (status = 'running' AND updated_at < TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE)) AND attempts < max_attempts"
+CAST(user_id % 4 AS INTEGER) AS attempts, CAST(CASE WHEN event_id % 11 = 0 THEN 0 ELSE 3 END AS INTEGER) AS max_attempts, ts AS updated_at,
+event_type AS error_code, 7 AS progress_percent, event_id AS document_id FROM events"""
+CLAIM = f"(status IN ('queued', 'failed') OR (status = 'running' AND updated_at < TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE)) AND (max_attempts <= 0 OR attempts < max_attempts)"
 
 
 def _jobs(t):
-    t.events.createOrReplaceTempView("__events")
-    return t.spark.sql(JOBS.replace("FROM events", "FROM __events"))
+    return t.spark.sql(JOBS.replace("FROM events", "FROM {rows}"), rows=t.events)
 
 
-@query(f"""SELECT id, {CLAIM} AS claimed, CASE WHEN {CLAIM} THEN 'running' ELSE status END AS status, CAST(attempts + CASE WHEN {CLAIM} THEN 1 ELSE 0 END AS INTEGER) AS attempts FROM ({JOBS})""")
+@query(f"""SELECT id, {CLAIM} AS claimed, CASE WHEN {CLAIM} THEN 'running' ELSE status END AS status, CAST(attempts + CASE WHEN {CLAIM} THEN 1 ELSE 0 END AS INTEGER) AS attempts,
+CASE WHEN NOT ({CLAIM}) THEN error_code END AS error_code, CASE WHEN {CLAIM} THEN 0 ELSE progress_percent END AS progress_percent FROM ({JOBS})""")
 def job_claim(t):
-    return W.claim(_jobs(t), F.lit(NOW).cast("timestamp_ntz")).select("id", "claimed", "status", "attempts")
+    return W.claim(_jobs(t), F.lit(NOW).cast("timestamp_ntz")).select("id", "claimed", "status", "attempts", "error_code", "progress_percent")
 
 
-@query(f"SELECT id FROM ({JOBS}) WHERE status = 'running' AND updated_at < TIMESTAMP '2024-01-15' - INTERVAL 30 MINUTE AND attempts < max_attempts")
+@query(f"SELECT id FROM ({JOBS}) WHERE status = 'running' AND updated_at < TIMESTAMP '2024-01-15' - INTERVAL 30 MINUTE AND (max_attempts <= 0 OR attempts < max_attempts)")
 def stale_jobs(t):
     return _jobs(t).where(W.claimable(F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")) & (F.col("status") == "running")).select("id")
 
@@ -420,12 +445,13 @@ def fenced_update(t):
 FOLD = "CASE event_type WHEN 'view' THEN 'started' WHEN 'error' THEN 'failed' ELSE 'completed' END"
 
 
-@query(f"""WITH e AS (SELECT user_id AS run, event_id % 7 AS call, {SEQ} AS seq, {FOLD} AS kind, ts FROM events)
+@query(f"""WITH e AS (SELECT user_id AS run, event_id % 7 AS call, {SEQ} AS seq, {FOLD} AS kind, ts, event_type FROM events)
 SELECT run, call, coalesce(arg_max(kind, seq) FILTER (kind <> 'started'), 'running') AS status, count(*) AS n_events,
-min(ts) FILTER (kind = 'started') AS started_at, arg_max(ts, seq) FILTER (kind <> 'started') AS finished_at FROM e GROUP BY 1, 2""")
+min(ts) FILTER (kind = 'started') AS started_at, arg_max(ts, seq) FILTER (kind <> 'started') AS finished_at, arg_max(event_type, seq) AS tool_name,
+CAST(round((epoch_us(arg_max(ts, seq) FILTER (kind <> 'started')) - epoch_us(min(ts) FILTER (kind = 'started'))) / 1000.0) AS BIGINT) AS latency_ms FROM e GROUP BY 1, 2""")
 def tool_call_fold(t):
-    log = t.events.selectExpr("user_id as run", "event_id % 7 as call", f"{SEQ} as seq", f"{FOLD} as kind", "ts")
-    return W.fold_calls(log, "run", "call", "seq", "kind", "ts").select("run", "call", "status", "n_events", "started_at", "finished_at")
+    log = t.events.selectExpr("user_id as run", "event_id % 7 as call", f"{SEQ} as seq", f"{FOLD} as kind", "ts", "event_type")
+    return W.fold_calls(log, "run", "call", "seq", "kind", "ts", "event_type").select("run", "call", "status", "n_events", "started_at", "finished_at", "tool_name", "latency_ms")
 
 
 @query(f"""SELECT user_id, CAST(round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000.0) AS BIGINT) AS latency_ms FROM events GROUP BY 1""")
@@ -486,34 +512,513 @@ def docx_round_trip(t):
 @query("""SELECT date_trunc('hour', ts) AS bucket_start, event_type AS operation, count(*) AS requests, count(*) FILTER (event_type = 'error') AS failures,
 round(sum(value), 4) AS duration FROM events GROUP BY 1, 2""")
 def usage_hourly_stream(t):
-    """The streaming rollup run to the end of what there is, in complete mode."""
-    schema = t.events.schema
+    """The stream run to the end of what there is: each batch's parts are added to a table in the shared folder."""
+    schema, folder = t.events.schema, usage_folder(t.spark)
     stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
-    name = f"usage_{uuid.uuid4().hex}"
-    usage.hourly_usage_stream(stream).writeStream.outputMode("complete").format("memory").queryName(name) \
+    keys, sums = ["bucket_start", "operation"], ["requests", "failures", "duration"]
+    usage.hourly_parts(stream).writeStream.option("checkpointLocation", f"{folder}/log").foreachBatch(usage.add_usage(f"{folder}/parts", keys, sums)) \
         .trigger(availableNow=True).start().awaitTermination()
-    return t.spark.table(name).withColumn("duration", F.round("duration", 4))
+    return usage.added(t.spark.read.parquet(f"{folder}/parts"), keys, sums).withColumn("duration", F.round("duration", 4))
 
 
-@query("""SELECT conv_id, bool_or(role = 'assistant') AS done, CASE WHEN bool_or(role = 'assistant') THEN 'succeeded' ELSE 'failed' END AS status,
-arg_max(length(text), turn) FILTER (role = 'user') AS total_tokens FROM conversations GROUP BY 1""")
+RELAY_STATE = """CASE WHEN role = 'assistant' THEN 'done' WHEN role = 'user' THEN 'data' WHEN turn % 5 = 4 THEN 'bad' ELSE 'skip' END"""
+
+
+@query(f"""WITH l AS (SELECT conv_id, turn, length(text) AS n, {RELAY_STATE} AS kind FROM conversations),
+o AS (SELECT *, coalesce(bool_or(kind IN ('done', 'bad')) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM l),
+r AS (SELECT conv_id, bool_or(kind = 'done') AS done, bool_or(kind = 'bad') AS bad, arg_max(n, turn) FILTER (kind = 'data') AS total_tokens FROM o WHERE NOT over GROUP BY 1)
+SELECT conv_id, done, total_tokens, CASE WHEN done THEN 'succeeded' ELSE 'failed' END AS status,
+CASE WHEN bad THEN 'dependency_error' WHEN NOT done THEN 'incomplete' END AS error FROM r""")
 def relay_fold(t):
-    """Conversations as captured token streams: user turns carry usage, an assistant turn is the end marker."""
-    line = F.when(F.col("role") == "assistant", F.lit("data: [DONE]")) \
-        .when(F.col("role") == "user", F.concat(F.lit('data: {"usage":{"total_tokens":'), F.length("text").cast("string"), F.lit("}}"))).otherwise(F.lit("data: {}"))
+    """Conversations as captured token streams: user turns carry usage, an assistant turn is the end marker, others are comments or junk."""
+    chunk = F.concat(F.lit('data: {"object":"chat.completion.chunk","choices":[],"usage":{"total_tokens":'), F.length("text").cast("string"), F.lit("}}"))
+    line = F.when(F.col("role") == "assistant", F.lit("data: [DONE]")).when(F.col("role") == "user", chunk) \
+        .when(F.col("turn") % 5 == 4, F.lit("data: {}")).otherwise(F.lit(": waiting"))
     return usage.relay_summary(t.conversations.select("conv_id", "turn", line.alias("line")), "conv_id", "turn", "line")
 
 
+@query("""WITH p AS (SELECT event_id, event_id % 7 AS m FROM events)
+SELECT event_id, CASE m WHEN 0 THEN 'body' WHEN 1 THEN 'body' WHEN 2 THEN 'userId' WHEN 3 THEN 'jobId' WHEN 4 THEN 'body' WHEN 5 THEN 'body' END AS error,
+CASE m WHEN 6 THEN 'j' || event_id END AS job FROM p""")
+def task_payload(t):
+    """Ingestion tasks: two objects, trailing text, a blank field, a missing one, an unknown one, a number for a string, and good ones."""
+    good = lambda job, user, more="": F.concat(F.lit('{"requestId":"r","jobId":'), job, F.lit(f',"documentId":"d","knowledgeBaseId":"k","userId":"{user}"{more}}}'))
+    job, m = F.concat(F.lit('" j'), F.col("event_id").cast("string"), F.lit('"')), F.col("event_id") % 7
+    body = F.when(m == 0, F.concat(good(job, "u"), F.lit(" {}"))).when(m == 1, F.concat(good(job, "u"), F.lit("junk"))).when(m == 2, good(job, " ")) \
+        .when(m == 3, F.lit('{"requestId":"r","documentId":"d","knowledgeBaseId":"k","userId":"u"}')).when(m == 4, good(job, "u", ',"x":1')) \
+        .when(m == 5, good(F.lit("5"), "u")).otherwise(good(job, "u"))
+    task = S.decoded_task(body)
+    return t.events.select("event_id", task["error"].alias("error"), task["jobId"].alias("job"))
+
+
 @query("""SELECT event_id, props LIKE '{"k":%}' AS strict, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def strict_payload(t):
     return t.events.select("event_id", S.strict_fields(F.col("props"), ["k"]).alias("strict"),
                            F.from_json(S.only_fields(F.col("props"), "k bigint"), "k bigint")["k"].alias("k"))
 
 
-@query("""WITH j AS (SELECT event_id AS id, event_type FROM events), a AS (SELECT event_id AS job_id, unnest(range(1, 1 + event_id % 3)) AS attempt_no FROM events)
-SELECT id, CAST(coalesce(max(attempt_no), 0) + 1 AS BIGINT) AS attempt_no FROM j LEFT JOIN a ON id = job_id WHERE event_type = 'error' GROUP BY id""")
-def retry_claim(t):
-    jobs = t.events.select(F.col("event_id").alias("id"), F.when(F.col("event_type") == "error", "failed").otherwise("running").alias("status"),
-                           F.lit(0).alias("retry_count"), F.lit(3).alias("max_retries"))
+RETRY = """j AS (SELECT event_id AS id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'canceled' ELSE 'running' END AS status,
+CAST(user_id % 4 AS INTEGER) AS retry_count, 3 AS max_attempts, event_type AS error_code FROM events),
+a AS (SELECT event_id AS job_id, unnest(range(1, 1 + event_id % 3)) AS attempt_no FROM events)"""
+
+
+def _retried(t):
+    kind = F.col("event_type")
+    jobs = t.events.select(F.col("event_id").alias("id"), F.when(kind == "error", "failed").when(kind == "click", "canceled").otherwise("running").alias("status"),
+                           (F.col("user_id") % 4).cast("int").alias("retry_count"), F.lit(3).alias("max_attempts"), kind.alias("error_code"))
     tries = t.events.where("event_id % 3 > 0").select(F.col("event_id").alias("job_id"), F.explode(F.expr("sequence(1L, event_id % 3)")).alias("attempt_no"))
-    return W.retry_claim(jobs, tries).select("id", F.col("attempt_no").cast("long").alias("attempt_no"))
+    return W.retry_claim(jobs, tries)
+
+
+@query(f"""WITH {RETRY} SELECT id AS job_id, CAST(coalesce(max(attempt_no), 0) + 1 AS BIGINT) AS attempt_no, 'manual' AS trigger_source, 'pending' AS status
+FROM j LEFT JOIN a ON id = job_id WHERE status IN ('failed', 'canceled') AND retry_count < max_attempts GROUP BY id""")
+def retry_claim(t):
+    return _retried(t)[1].select("job_id", "attempt_no", "trigger_source", "status")
+
+
+@query(f"""WITH {RETRY}, n AS (SELECT *, status IN ('failed', 'canceled') AND retry_count < max_attempts AS again FROM j)
+SELECT id, CASE WHEN again THEN 'pending' ELSE status END AS status, CAST(retry_count + CAST(again AS INTEGER) AS INTEGER) AS retry_count,
+CASE WHEN NOT again THEN error_code END AS error_code FROM n""")
+def retry_jobs(t):
+    return _retried(t)[0].select("id", "status", "retry_count", "error_code")
+
+
+@query("""SELECT event_id, CASE event_type WHEN 'view' THEN '{"completed":0,"total":1}' WHEN 'error' THEN '{"completed":0,"total":1}' WHEN 'click' THEN '{"completed":1,"total":1}' ELSE props END AS progress FROM events""")
+def job_progress(t):
+    status = F.when(F.col("event_type") == "view", "running").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "click", "partial_succeeded").otherwise("queued")
+    return t.events.select("event_id", W.job_progress(status, F.col("props")).alias("progress"))
+
+
+# --- ingestion: events are jobs, orders their documents, lineitem the documents' chunks ----------------------------
+
+INGEST = """jobs AS (SELECT o_orderkey AS id, o_orderkey AS document_id, CASE WHEN o_orderkey % 5 = 0 THEN 'queued' ELSE 'running' END AS status, CAST(o_orderkey % 3 AS INTEGER) AS attempts FROM orders),
+docs AS (SELECT o_orderkey AS id, 'parsing' AS status, CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate END AS deleted_at FROM orders),
+ends AS (SELECT o_orderkey AS job_id, CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE o_orderkey END AS document_id, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 1 END AS expected FROM orders WHERE o_orderkey % 2 = 0),
+fit AS (SELECT job_id FROM ends e JOIN jobs j ON j.id = e.job_id AND j.document_id = e.document_id AND (expected IS NULL OR (attempts = expected AND status = 'running')))"""
+
+
+def _ingest(t):
+    key = F.col("o_orderkey")
+    jobs = t.orders.select(key.alias("id"), key.alias("document_id"), F.when(key % 5 == 0, "queued").otherwise("running").alias("status"), (key % 3).cast("int").alias("attempts"),
+                           F.lit(10).alias("progress_percent"), F.lit("E1").alias("error_code"))
+    docs = t.orders.select(key.alias("id"), F.lit("parsing").alias("status"), F.when(key % 7 == 0, F.col("o_orderdate")).alias("deleted_at"), F.lit("E1").alias("error_code"), F.lit("old").alias("parser_backend"))
+    ends = t.orders.where("o_orderkey % 2 = 0").select(key.alias("job_id"), F.when(key % 11 == 0, F.lit(-1)).otherwise(key).alias("document_id"),
+                                                      F.when(key % 4 != 0, 1).alias("expected_attempts"), F.lit(NOW).cast("timestamp_ntz").alias("at"),
+                                                      F.lit("docx").alias("parser_backend"), F.lit("bad").alias("code"), F.lit("why").alias("message"))
+    chunk = lambda rows, text: rows.select(F.col("l_orderkey").alias("document_id"), F.col("l_linenumber").alias("chunk_index"), F.lit(text).alias("content"))
+    return jobs, docs, ends, chunk(t.lineitem, "old"), chunk(t.lineitem.where("l_linenumber <= 2"), "new")
+
+
+def _completed(t):
+    jobs, docs, ends, old, new = _ingest(t)
+    return W.complete(jobs, docs, old, ends, new)
+
+
+@query(f"""WITH {INGEST}, good AS (SELECT job_id FROM fit JOIN docs ON docs.id = job_id WHERE deleted_at IS NULL)
+SELECT id, CASE WHEN job_id IS NOT NULL THEN 'succeeded' ELSE status END AS status, CAST(CASE WHEN job_id IS NOT NULL THEN 100 ELSE 10 END AS INTEGER) AS progress_percent,
+CASE WHEN job_id IS NULL THEN 'E1' END AS error_code FROM jobs LEFT JOIN good ON id = job_id""")
+def complete_jobs(t):
+    return _completed(t)[0].select("id", "status", "progress_percent", "error_code")
+
+
+@query(f"""WITH {INGEST} SELECT id, CASE WHEN job_id IS NOT NULL AND deleted_at IS NULL THEN 'ready' ELSE status END AS status,
+CASE WHEN job_id IS NOT NULL AND deleted_at IS NULL THEN 'docx' ELSE 'old' END AS parser_backend FROM docs LEFT JOIN fit ON id = job_id""")
+def complete_documents(t):
+    return _completed(t)[1].select("id", "status", "parser_backend")
+
+
+@query(f"""WITH {INGEST}, good AS (SELECT job_id FROM fit JOIN docs ON docs.id = job_id WHERE deleted_at IS NULL)
+SELECT l_orderkey AS document_id, l_linenumber AS chunk_index, CASE WHEN job_id IS NULL THEN 'old' ELSE 'new' END AS content FROM lineitem LEFT JOIN good ON l_orderkey = job_id
+WHERE job_id IS NULL OR l_linenumber <= 2""")
+def complete_chunks(t):
+    return _completed(t)[2]
+
+
+@query(f"""WITH {INGEST} SELECT id, CASE WHEN job_id IS NOT NULL THEN 'failed' ELSE status END AS status, CASE WHEN job_id IS NOT NULL THEN 'bad' ELSE 'E1' END AS error_code FROM jobs LEFT JOIN fit ON id = job_id""")
+def fail_jobs(t):
+    jobs, docs, ends, *_ = _ingest(t)
+    return W.fail(jobs, docs, ends)[0].select("id", "status", "error_code")
+
+
+@query(f"""WITH {INGEST}, hit AS (SELECT id, job_id IS NOT NULL AND deleted_at IS NULL AS now, status FROM docs LEFT JOIN fit ON id = job_id)
+SELECT id, CASE WHEN now THEN 'failed' ELSE status END AS status, CASE WHEN now THEN 'bad' ELSE 'E1' END AS error_code FROM hit""")
+def fail_documents(t):
+    jobs, docs, ends, *_ = _ingest(t)
+    return W.fail(jobs, docs, ends)[1].select("id", "status", "error_code")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS v FROM lineitem WHERE l_orderkey % 3 <> 0 OR l_linenumber = 1""")
+def replace_children(t):
+    old = t.lineitem.select("l_orderkey", "l_linenumber", F.lit("old").alias("v"))
+    return W.replace_children(old, t.lineitem.where("l_orderkey % 3 = 0 AND l_linenumber = 1").select("l_orderkey", "l_linenumber", F.lit("new").alias("v")), "l_orderkey")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 2 <> 0 THEN 'stored' WHEN p_partkey % 10 = 0 THEN 'purge_failed' WHEN p_size % 4 = 0 THEN 'purge_failed' WHEN p_size % 4 = 3 THEN 'delete_requested' ELSE 'purged' END AS state,
+CASE WHEN p_partkey % 2 <> 0 THEN NULL WHEN p_partkey % 10 = 0 THEN 'object storage reference is missing' WHEN p_size % 4 = 0 THEN 'object storage delete failed' END AS error FROM part""")
+def file_purge(t):
+    key = F.col("p_partkey")
+    rows = t.part.select(key.alias("id"), F.when(key % 10 == 0, F.lit(" ")).otherwise(F.concat(F.lit("k"), key.cast("string"))).alias("storage_key"), F.lit("stored").alias("state"),
+                         F.lit(None).cast("string").alias("error"), F.lit(None).cast("timestamp_ntz").alias("delete_requested_at"))
+    outcome = F.when(F.col("p_size") % 4 == 0, "failed").when(F.col("p_size") % 4 == 1, "deleted").otherwise("missing")
+    done = t.part.where("p_size % 4 <> 3").select(F.concat(F.lit("k"), key.cast("string")).alias("storage_key"), outcome.alias("outcome"))
+    return W.purge(rows, t.part.where("p_partkey % 2 = 0").select(key.alias("id")), done, F.lit(NOW).cast("timestamp_ntz")).select("id", "state", "error")
+
+
+def _queue(t):
+    queue = t.events.select(F.col("event_id").alias("id"), (F.col("user_id") % 4).cast("int").alias("retries"))
+    kind = F.col("event_type")
+    ends = t.events.where(kind != "view").select(F.col("event_id").alias("id"), F.when(kind == "error", "permanent").when(kind == "click", "dependency").otherwise("ok").alias("outcome"))
+    return W.deliver(queue, ends, 2)
+
+
+@query("""SELECT event_id AS id, CAST(user_id % 4 + CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS INTEGER) AS retries FROM events WHERE event_type = 'view' OR (event_type = 'click' AND user_id % 4 < 2)""")
+def queue_again(t):
+    return _queue(t)[0]
+
+
+@query("""SELECT event_id AS id, CASE WHEN event_type = 'error' THEN 'permanent' ELSE 'retries' END AS reason FROM events WHERE event_type = 'error' OR (event_type = 'click' AND user_id % 4 >= 2)""")
+def queue_dead(t):
+    return _queue(t)[1].select("id", "reason")
+
+
+# --- runs and reports ----------------------------------------------------------------------------------------------
+
+@query("""WITH r AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'cancelled' ELSE 'running' END AS status FROM orders),
+e AS (SELECT l_orderkey AS run_id, l_linenumber, l_returnflag, l_shipdate, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber) AS n FROM lineitem),
+s AS (SELECT l_orderkey AS run_id, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem GROUP BY 1)
+SELECT r.id, CASE WHEN e.run_id IS NOT NULL AND status = 'running' THEN 'end' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') ELSE status END AS status,
+CAST(CASE WHEN e.run_id IS NOT NULL AND status = 'running' THEN greatest(2, l_linenumber) ELSE 2 END AS INTEGER) AS current_iteration,
+CASE WHEN e.run_id IS NOT NULL AND status = 'running' THEN CASE WHEN l_linenumber % 2 = 0 THEN s.q ELSE l_linenumber END ELSE 5 END AS prompt_tokens
+FROM r LEFT JOIN e ON e.run_id = r.id AND n = 1 LEFT JOIN s ON s.run_id = r.id""")
+def run_finalize(t):
+    """Line items as the ends of their order's run: the earliest counts, and only where the run still runs."""
+    zero = lambda n: F.lit(n).cast("long")
+    runs = t.orders.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 3 == 0, "cancelled").otherwise("running").alias("status"), F.col("o_orderdate").alias("started_at"),
+                           F.lit(2).alias("current_iteration"), zero(5).alias("prompt_tokens"), zero(0).alias("completion_tokens"), zero(0).alias("reasoning_tokens"))
+    n = F.col("l_linenumber")
+    ends = t.lineitem.select(F.col("l_orderkey").alias("run_id"), F.concat(F.lit("end"), F.lpad(n.cast("string"), 2, "0")).alias("status"), F.lit("").alias("reason"), n.alias("iteration"),
+                             F.col("l_shipdate").alias("completed_at"), F.when(n % 2 == 0, 0).otherwise(n).cast("long").alias("prompt_tokens"), zero(0).alias("completion_tokens"), zero(0).alias("reasoning_tokens"))
+    calls = t.lineitem.select(F.col("l_orderkey").alias("run_id"), F.col("l_quantity").cast("long").alias("prompt_tokens"), zero(None).alias("completion_tokens"), zero(None).alias("reasoning_tokens"))
+    return W.finalize(runs, ends, calls).select("id", "status", "current_iteration", "prompt_tokens")
+
+
+@query("""SELECT o_orderkey AS id, CAST(greatest(3, coalesce(m, 0)) AS INTEGER) AS current_iteration FROM orders LEFT JOIN (SELECT l_orderkey, max(l_linenumber) AS m FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def iteration_marks(t):
+    runs = t.orders.select(F.col("o_orderkey").alias("id"), F.lit(3).alias("current_iteration"))
+    return W.iteration_marks(runs, t.lineitem.select(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("iteration_no")))
+
+
+@query("""WITH s AS (SELECT p_partkey AS id, p_name AS title, p_type AS content, CASE p_size % 3 WHEN 0 THEN 'ai' WHEN 1 THEN 'manual' ELSE 'mixed' END AS src, p_partkey % 5 AS m FROM part)
+SELECT id, CASE WHEN m IN (1, 2) THEN 'T' ELSE title END AS title, CASE WHEN m = 1 THEN 'C' ELSE content END AS content, CAST(CASE WHEN m IN (1, 3) THEN 2 ELSE 1 END AS INTEGER) AS version,
+m IN (1, 2, 3) AS manual_edited, CASE WHEN m IN (1, 3) THEN CASE WHEN src = 'ai' THEN 'mixed' ELSE 'manual' END ELSE src END AS content_source FROM s""")
+def section_save(t):
+    """Edits of title and content, of the title alone, of tables alone with a refused flag, and none."""
+    key, m, none = F.col("p_partkey"), F.col("p_partkey") % 5, F.lit(None).cast("string")
+    source = F.when(F.col("p_size") % 3 == 0, "ai").when(F.col("p_size") % 3 == 1, "manual").otherwise("mixed")
+    sections = t.part.select(key.alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("content"), none.alias("tables"), F.lit(1).alias("version"),
+                             F.lit(False).alias("manual_edited"), source.alias("content_source"), F.lit(NOW).cast("timestamp_ntz").alias("updated_at"))
+    edits = t.part.where(m.isin(1, 2, 3)).select(key.alias("id"), F.when(m.isin(1, 2), "T").alias("title"), F.when(m == 1, "C").alias("content"), F.when(m == 3, "[]").alias("tables"),
+                                                 F.when(m == 2, True).when(m == 3, False).alias("manual_edited"))
+    return W.save_sections(sections, edits, F.lit(NOW).cast("timestamp_ntz")).select("id", "title", "content", "version", "manual_edited", "content_source")
+
+
+@query("""WITH x AS (SELECT l_orderkey, max(l_shipdate) AS at, arg_max(l_linenumber, l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber) AS f FROM (SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem) GROUP BY 1)
+SELECT o_orderkey AS id, CASE WHEN at IS NOT NULL AND o_orderstatus <> 'P' THEN 'exported' ELSE o_orderstatus END AS status, CASE WHEN o_orderstatus <> 'P' THEN at END AS exported_at FROM orders LEFT JOIN x ON l_orderkey = o_orderkey""".replace("l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber", "l_shipdate"))
+def export_back(t):
+    """Line items as exports of their order's report; the status P is a deleted report's."""
+    none = F.lit(None).cast("timestamp_ntz")
+    status = F.when(F.col("o_orderstatus") == "P", "deleted").otherwise(F.col("o_orderstatus"))
+    reports = t.orders.select(F.col("o_orderkey").alias("id"), status.alias("status"), none.alias("deleted_at"), none.alias("exported_at"), F.lit(None).cast("int").alias("latest_report_file_id"), none.alias("updated_at"))
+    done = W.export_back(reports, t.lineitem.select(F.col("l_orderkey").alias("report_id"), F.col("l_linenumber").alias("file_id"), F.col("l_shipdate").alias("at")))
+    return done.select("id", F.when(F.col("status") == "deleted", "P").otherwise(F.col("status")).alias("status"), "exported_at")
+
+
+@query("""SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1 AS is_current FROM lineitem""")
+def current_outline(t):
+    return W.hand_over(t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey", F.desc("l_linenumber"))
+
+
+@query("""SELECT p_partkey, 'fixed' AS p_brand, p_size FROM part""")
+def patch_fields(t):
+    return W.patch(t.part.select("p_partkey", "p_brand", "p_size"), {"p_brand": "fixed"})
+
+
+# --- lists, messages, statistics -----------------------------------------------------------------------------------
+
+@query("""SELECT doc_id, source, (SELECT count(*) FROM documents WHERE lang = 'en') AS total FROM documents WHERE lang = 'en' ORDER BY doc_id DESC LIMIT 7 OFFSET 14""")
+def page_total(t):
+    return R.page_with_total(t.documents.where("lang = 'en'").select("doc_id", "source"), F.desc("doc_id"), number=3, size=7)
+
+
+@query(" UNION ALL ".join(f"(SELECT '{name}' AS sort, o_orderkey AS id FROM orders ORDER BY {order}, o_orderkey DESC LIMIT 5)" for name, order in
+                          (("-updatedAt", "o_totalprice DESC"), ("updatedAt", "o_totalprice"), ("-createdAt", "o_orderdate DESC"), ("createdAt", "o_orderdate"), ("other", "o_totalprice DESC"))))
+def list_orders(t):
+    rows, out = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("updated_at"), F.col("o_orderdate").alias("created_at")), None
+    for name in ("-updatedAt", "updatedAt", "-createdAt", "createdAt", "other"):
+        part = R.page(rows, *R.list_order(name), size=5).select(F.lit(name).alias("sort"), "id")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@query("""SELECT doc_id FROM documents WHERE contains(lower(source), 'src_1') OR contains(lower(source), 'a') OR contains(lower(lang), 'fr')""")
+def mention_search(t):
+    return t.documents.where(P.mentions(" A ", F.col("source")) | P.mentions("Src_1", F.col("source")) | P.mentions("FR", F.lit(None).cast("string"), tags=F.array("lang"))).select("doc_id")
+
+
+@query("""SELECT c.conv_id, c.turn, b.text AS content FROM conversations c LEFT JOIN conversations b ON b.conv_id = c.conv_id AND b.turn = c.turn + 1 AND b.role = 'user'""")
+def message_list(t):
+    """Each message with the first block of its own: the next turn, where the user speaks."""
+    key = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    blocks = t.conversations.select(key(F.col("turn") - 1).alias("message_id"), F.when(F.col("role") == "user", 0).otherwise(1).alias("block_order"), F.col("text").alias("content"))
+    return R.with_first_block(t.conversations.select(key(F.col("turn")).alias("id"), "conv_id", "turn"), blocks).select("conv_id", "turn", "content")
+
+
+@query("""SELECT c_custkey, n_regionkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_name NOT LIKE '%1%'""")
+def insert_lookup(t):
+    return R.insert_looked_up(t.customer.select("c_custkey", "c_nationkey"), t.nation.where("n_name NOT LIKE '%1%'"), "c_nationkey", "n_nationkey", ["n_regionkey"]).select("c_custkey", "n_regionkey")
+
+
+@query("""SELECT count(*) FILTER (event_type = 'view') AS total_qa, count(*) FILTER (event_type = 'view' AND ts >= TIMESTAMP '2024-01-30') AS today_qa,
+(SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS conversations, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderdate >= TIMESTAMP '2024-01-30') AS active_users_today,
+(SELECT CAST(coalesce(round(avg(value)), 0) AS BIGINT) FROM events WHERE ts >= TIMESTAMP '2024-01-23 12:00:00') AS avg_latency_ms FROM events""")
+def overview(t):
+    said = t.events.select(F.when(F.col("event_type") == "view", "user").alias("role"), F.col("ts").alias("created_at"))
+    talks = t.orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("created_at"), F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")).alias("deleted_at"))
+    return M.overview(said, talks, t.events.select(F.col("ts").alias("started_at"), F.col("value").alias("latency_ms")), "2024-01-30 12:00:00", 7)
+
+
+@query("""SELECT 'u' || user_id AS query, count(*) AS n, CAST(coalesce(round(avg(CASE WHEN event_id % 2 = 0 THEN value END)), 0) AS BIGINT) AS avg_latency_ms, max(ts) AS last_asked_at
+FROM events WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-23 12:00:00' GROUP BY 1 ORDER BY n DESC, last_asked_at DESC, query LIMIT 10""")
+def top_questions(t):
+    said = t.events.select(F.col("event_id").alias("id"), F.when(F.col("event_type") == "view", "user").otherwise("assistant").alias("role"), F.col("ts").alias("created_at"))
+    blocks = t.events.select(F.col("event_id").alias("message_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("block_order"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("content"))
+    return M.top_questions(said, blocks, t.events.where("event_id % 2 = 0").select(F.col("event_id").alias("user_message_id"), F.col("value").alias("latency_ms")), "2024-01-30 12:00:00", 0, 0)
+
+
+@query("""WITH r AS (SELECT o_orderkey AS id, o_orderpriority AS kind, o_orderstatus AS status, o_orderdate AS c, o_orderdate + INTERVAL 1 DAY AS g, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + INTERVAL 2 DAY END AS x,
+CASE WHEN o_orderkey % 13 = 0 THEN o_orderdate END AS deleted_at FROM orders), b AS (SELECT max(CAST(o_orderdate AS DATE)) AS e FROM orders),
+d AS (SELECT CAST(c AS DATE) AS day, kind, 'created' AS tag FROM r WHERE deleted_at IS NULL AND status <> 'P' UNION ALL SELECT CAST(g AS DATE), kind, 'generated' FROM r WHERE deleted_at IS NULL
+UNION ALL SELECT CAST(x AS DATE), kind, 'exported' FROM r WHERE deleted_at IS NULL AND x IS NOT NULL
+UNION ALL SELECT CAST(l_shipdate AS DATE), kind, 'failed' FROM lineitem JOIN r ON l_orderkey = id WHERE deleted_at IS NULL AND status <> 'P' AND l_returnflag = 'R')
+SELECT day, kind, count(*) FILTER (tag = 'created') AS created, count(*) FILTER (tag = 'generated') AS generated, count(*) FILTER (tag = 'failed') AS failed, count(*) FILTER (tag = 'exported') AS exported
+FROM d, b WHERE day BETWEEN DATE '1997-01-01' - 364 AND DATE '1997-01-01' GROUP BY 1, 2""")
+def report_statistics(t):
+    """Orders as reports (status P: deleted), line items as their jobs (return flag R: failed), a window of a year."""
+    key, made = F.col("o_orderkey"), F.col("o_orderdate")
+    reports = t.orders.select(key.alias("id"), F.col("o_orderpriority").alias("kind"), F.when(F.col("o_orderstatus") == "P", "deleted").otherwise("done").alias("status"), made.alias("created_at"),
+                              (made + F.expr("INTERVAL 1 DAY")).alias("generated_at"), F.when(key % 2 == 0, made + F.expr("INTERVAL 2 DAY")).alias("exported_at"), F.when(key % 13 == 0, made).alias("deleted_at"))
+    jobs = t.lineitem.select(F.col("l_orderkey").alias("report_id"), F.when(F.col("l_returnflag") == "R", "failed").otherwise("succeeded").alias("status"),
+                             F.when(F.col("l_linenumber") == 1, F.col("l_shipdate")).alias("finished_at"), F.col("l_shipdate").alias("created_at"))
+    return M.report_statistics(reports, jobs, "1997-01-01", 365)
+
+
+@query("""SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS prompt_tokens, CAST(sum(l_linenumber * 2) AS BIGINT) AS completion_tokens, CAST(0 AS BIGINT) AS reasoning_tokens,
+CAST(sum(CASE WHEN l_linenumber % 2 = 0 THEN 100 ELSE l_linenumber * 3 END) AS BIGINT) AS total_tokens FROM lineitem GROUP BY 1""")
+def token_totals(t):
+    n = F.col("l_linenumber").cast("long")
+    rows = t.lineitem.select("l_orderkey", n.alias("prompt_tokens"), (n * 2).alias("completion_tokens"), F.lit(None).cast("long").alias("reasoning_tokens"),
+                             F.when(n % 2 == 0, 100).otherwise(0).cast("long").alias("total_tokens"))
+    return M.accumulate_tokens(rows, "l_orderkey")
+
+
+@query("""SELECT CAST(coalesce(sum(CASE WHEN p_size > 25 THEN p_size ELSE 1 END), 0) AS BIGINT) AS created FROM part""")
+def created_total(t):
+    return M.sum_or(t.part.select(F.when(F.col("p_size") > 25, F.col("p_size")).alias("n")), "n", F.lit(1), "created")
+
+
+@query("""WITH m AS (SELECT conv_id, turn, (['queued', 'generating', 'streaming', 'failed', 'stopped', 'cancelled', 'done'])[1 + turn % 7] AS s, (['knowledge_qa', 'general_chat', 'report_generation', 'data_analysis', 'x'])[1 + turn % 5] AS i FROM conversations)
+SELECT conv_id, turn, CASE WHEN s IN ('generating', 'streaming') THEN 'streaming' WHEN s = 'done' THEN 'completed' ELSE s END AS block,
+CASE WHEN s IN ('queued', 'generating', 'streaming') THEN 'running' WHEN s IN ('stopped', 'cancelled') THEN 'cancelled' WHEN s = 'failed' THEN 'failed' ELSE 'completed' END AS run,
+CASE i WHEN 'knowledge_qa' THEN '知识问答' WHEN 'general_chat' THEN '一般对话' WHEN 'report_generation' THEN '报告生成' WHEN 'data_analysis' THEN '数据分析' ELSE '未知' END AS label FROM m""")
+def message_labels(t):
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("turn") % len(values) + 1).cast("int"))
+    status, intent = pick(["queued", "generating", "streaming", "failed", "stopped", "cancelled", "done"]), pick(["knowledge_qa", "general_chat", "report_generation", "data_analysis", "x"])
+    return t.conversations.select("conv_id", "turn", T.block_status(status).alias("block"), T.run_status(status).alias("run"), T.intent_label(intent).alias("label"))
+
+
+@query("""SELECT page_id, url AS preview, coalesce(nullif(CASE WHEN page_id % 3 = 0 THEN '' ELSE left(html, 20) END, ''), url) AS content, page_id % 4 <> 0 AS available,
+CASE WHEN page_id % 4 <> 0 THEN '/api/v1/documents/' || page_id || '/content' END AS endpoint, CASE WHEN page_id % 4 = 0 THEN 'source_unavailable' END AS reason FROM pages""")
+def citation_view(t):
+    page = F.col("page_id")
+    doc, context = F.when(page % 4 != 0, page.cast("string")).otherwise(""), F.when(page % 3 == 0, "").otherwise(F.left("html", F.lit(20)))
+    return t.pages.select("page_id", *T.citation_columns(doc, F.col("url"), context))
+
+
+@query("""SELECT doc_id, strlen(text) <= 2000 AS query_ok, length(text) BETWEEN 1 AND 200 AS title_ok, nullif(lang, 'en') IS NULL AS empty, source || ':' || doc_id % 3 AS attempt,
+list_sort(list_distinct(['text/' || lang, 'image/png', 'text/' || lang])) = ['image/png', 'text/' || lang] AS types FROM documents""")
+def limits_and_ids(t):
+    types = F.array(F.concat(F.lit(" TEXT/"), F.upper("lang")), F.lit("image/PNG"), F.lit(" "), F.concat(F.lit("text/"), "lang"))
+    return t.documents.select("doc_id", T.within_bytes(F.col("text"), T.QUERY_BYTES).alias("query_ok"), T.within_chars(F.col("text"), T.TITLE_CHARS, 1).alias("title_ok"),
+                              T.empty_to_null(F.when(F.col("lang") == "en", "").otherwise(F.col("lang"))).isNull().alias("empty"), T.attempt_id(F.col("source"), F.col("doc_id") % 3).alias("attempt"),
+                              (T.media_types(types) == F.array(F.lit("image/png"), F.concat(F.lit("text/"), "lang"))).alias("types"))
+
+
+@query("""SELECT event_id, event_id % 4 IN (0, 2) AS object, event_id % 4 = 1 AS list FROM events""")
+def json_shapes(t):
+    m = F.col("event_id") % 4
+    text = F.when(m == 0, F.col("props")).when(m == 1, F.lit(' [1, {"a": 2}] ')).when(m == 2, F.lit("{}")).otherwise("{bad")
+    return t.events.select("event_id", T.json_is_object(text).alias("object"), T.json_is_array(text).alias("list"))
+
+
+@query("""SELECT page_id, 'x' || page_id || '.txt' AS name, 'Title of the page with more than forty ch' AS title, lpad(CAST(page_id AS VARCHAR), 64, 'a') AS checksum, 'é' || '...' AS cut FROM pages""")
+def file_fields(t):
+    page = F.col("page_id").cast("string")
+    return t.pages.select("page_id", T.file_name(F.concat(F.lit("C:\\dir/x"), page, F.lit(".txt "))).alias("name"), F.concat(T.auto_title(F.lit("  Title of the page with more than forty characters")), F.lit(" ch")).alias("title"),
+                          T.checksum(F.upper(F.lpad(page, 64, "a"))).alias("checksum"), T.truncate_bytes(F.lit("éé"), 3, "...").alias("cut"))
+
+
+@query("""SELECT 'event: ' || event_type || chr(10) || 'id: ' || event_id || chr(10) || 'data: ' || props || chr(10) || chr(10) AS value FROM events""")
+def server_sent_frames(t):
+    return files.server_sent(t.events, "event_type", "event_id", F.col("props"))
+
+
+@query("""SELECT event_id, '{"a": [{"k": ' || json_extract_string(props, '$.k') || '}], "note": "[redacted]"}' AS cleaned FROM events""")
+def sanitize_json(t):
+    text = F.concat(F.lit('{" a ": ['), F.col("props"), F.lit('], "API_Key": "x", "": 1, "note": "Bearer z", "B": null}'))
+    return t.events.select("event_id", F.replace(S.clean_json(text), F.lit('"B": null, '), F.lit("")).alias("cleaned"))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE (o_orderkey % 4 <> 0 OR o_orderdate > TIMESTAMP '1995-01-01') AND o_orderkey % 3 <> 0 ORDER BY o_orderstatus, o_orderdate DESC, o_orderkey DESC LIMIT 200""")
+def live_page(t):
+    """Rows that are neither deleted nor expired, in an order of several keys, on the largest lenient page."""
+    gone, expires = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderdate"))
+    rows = t.orders.where(P.live(gone) & P.not_expired(expires, F.lit("1995-01-01").cast("timestamp_ntz")))
+    offset, size = R.page_bounds(0, 999, lenient=True)
+    return rows.orderBy("o_orderstatus", F.desc("o_orderdate"), F.desc("o_orderkey")).offset(offset).limit(size).select("o_orderkey")
+
+
+# --- vectors and retrieval -----------------------------------------------------------------------------------------
+
+@query(f"""SELECT vec_id, round(CAST(list_sum(list_transform(range(1, 41), lambda i: CAST(embedding[i] AS DOUBLE) * CAST(({PROBE})[i] AS DOUBLE))) AS DOUBLE), 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 10""")
+def vector_prefix(t):
+    return K.search(t.embeddings, PROBE[:40], 10, id_col="vec_id", vector_col="embedding").select("vec_id", F.round("score", 6).alias("score"))
+
+
+@query("""SELECT event_id AS request, CASE event_id % 4 WHEN 1 THEN 'count' WHEN 2 THEN 'index' WHEN 3 THEN 'dimension' END AS reason FROM events WHERE event_id % 4 <> 0""")
+def embedding_checks(t):
+    m = F.col("event_id") % 4
+    answers = t.events.select(F.col("event_id").alias("request"), F.explode(F.array(F.lit(0), F.lit(1))).alias("i"), m.alias("m")).where("m <> 1 OR i = 0")
+    answers = answers.select("request", F.when(F.col("m") == 2, 0).otherwise(F.col("i")).alias("index"),
+                             F.when((F.col("m") == 3) & (F.col("i") == 1), F.array(F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(2.0))).alias("vector"))
+    return K.embedding_problems(answers, t.events.select(F.col("event_id").alias("request"), F.lit(2).alias("n")), "request")
+
+
+@query("""SELECT event_id, event_id % 6 IN (0, 2, 3) AS ok FROM events""")
+def embedding_payloads(t):
+    m = F.col("event_id") % 6
+    body = F.when(m == 0, "[0.5, 1]").when(m == 1, "[]").when(m == 2, '"AAAA"').when(m == 3, '"AAA"').when(m == 4, '"***"').otherwise('"AAAA"')
+    return t.events.select("event_id", K.valid_embedding(body, F.when(m.isin(0, 1), "").when(m == 5, "float").otherwise("base64")).alias("ok"))
+
+
+@query("""SELECT vec_id AS chunk_id, 'kb' || label AS kb, vec_id // 3 AS document, CAST(vec_id % 3 AS INTEGER) AS i, 'job' || (vec_id // 3) || ':' || 2 AS attempt, '' AS section FROM embeddings""")
+def point_payload(t):
+    vec = F.col("vec_id")
+    doc = F.floor(vec / 3)
+    rows = t.embeddings.select(vec.alias("chunk_id"), doc.alias("document_id"), F.concat(F.lit("kb"), F.col("label").cast("string")).alias("knowledge_base_id"), (vec % 3).cast("int").alias("chunk_index"),
+                               F.lit("text").alias("chunk_type"), F.lit(None).cast("string").alias("section_path"), F.create_map(F.lit("a"), F.lit("b")).alias("metadata"))
+    names = t.embeddings.select(doc.alias("document_id")).distinct()
+    made = K.point_payloads(rows, names.withColumn("tags", F.array(F.lit("t"))), names.select("document_id", F.concat(F.lit("job"), F.col("document_id").cast("string")).alias("job_id"), F.lit(2).alias("attempts")))
+    p = F.col("payload")
+    return made.select("chunk_id", p["knowledge_base_id"].alias("kb"), p["document_id"].alias("document"), p["chunk_index"].alias("i"), p["ingestion_attempt"].alias("attempt"), p["section_path"].alias("section"))
+
+
+@query("""SELECT vec_id FROM embeddings WHERE NOT (label = 3 AND vec_id % 2 = 1)""")
+def vector_delete_attempt(t):
+    points = t.embeddings.select("vec_id", F.col("label").cast("string").alias("document_id"), F.concat(F.lit("j:"), (F.col("vec_id") % 2).cast("string")).alias("ingestion_attempt"))
+    return K.delete_attempt(points, "3", "j:1").select("vec_id")
+
+
+FOUND = f"""WITH hits AS (SELECT vec_id AS c, {DOT.format(a='embedding', b=PROBE)} AS score FROM embeddings WHERE label IN (1, 2, 3) AND label <> 2),
+cand AS (SELECT * FROM hits WHERE score >= 0.0 ORDER BY score DESC, c LIMIT 25),
+top AS (SELECT c, score FROM cand WHERE c % 7 <> 0 ORDER BY score DESC, c LIMIT 5),
+rr AS (SELECT c, score, CASE WHEN c % 2 = 0 THEN row_number() OVER (PARTITION BY c % 2 ORDER BY c) END AS r FROM top)"""
+
+
+def _found(t):
+    """Search in two of the readable bases (labels 1 and 3; 2 isn't readable), hydrate, and rerank the even chunks."""
+    points = t.embeddings.select(F.col("vec_id").alias("point_id"), F.col("vec_id").alias("chunk_id"), F.col("label").cast("string").alias("kb_id"), F.col("embedding").alias("vector"))
+    chunk_rows = t.embeddings.select(F.col("vec_id").alias("chunk_id"), F.col("vec_id").alias("document_id"), F.lit("some text").alias("content"))
+    docs = t.embeddings.select(F.col("vec_id").alias("document_id"), F.when(F.col("vec_id") % 7 == 0, "failed").otherwise("ready").alias("status"), F.array(F.lit("x")).alias("tags"))
+    readable = t.embeddings.where("label <> 2").select(F.col("label").cast("string").alias("kb_id")).distinct()
+
+    def rerank(rows):
+        ranked = rows.where("chunk_id % 2 = 0").selectExpr("chunk_id", "row_number() over (order by chunk_id) as rerank_rank")
+        return ranked.withColumn("rerank_score", 10.0 - F.col("rerank_rank"))
+
+    return K.retrieve(points, chunk_rows, docs, PROBE, [" 1", "3", "1 "], readable, 5, 0.0, ["x"], reranker=rerank)
+
+
+@query(FOUND + """ SELECT c AS chunk_id, round(coalesce(CAST(10.0 - r AS DOUBLE), score), 6) AS final_score, CAST(row_number() OVER (ORDER BY r NULLS LAST, score DESC, c) AS BIGINT) AS position FROM rr""")
+def retrieve_full(t):
+    return _found(t).select("chunk_id", F.round("final_score", 6).alias("final_score"), F.col("position").cast("long").alias("position"))
+
+
+@query(FOUND + """ SELECT 'configured' AS embedding_provider, 'knowledge_chunks' AS collection, CAST(1 AS INTEGER) AS embedding_dimension, CAST(5 AS INTEGER) AS search_top_k, count(*) AS hit_count FROM rr""")
+def retrieve_trace(t):
+    return K.trace_of(_found(t), 5, 0.0, rerank=True).select("embedding_provider", "collection", "embedding_dimension", "search_top_k", "hit_count")
+
+
+@query(FOUND + """ SELECT 'run1' AS run_id, CAST(row_number() OVER (ORDER BY r NULLS LAST, score DESC, c) AS BIGINT) AS rank_no, c AS chunk_id FROM rr""")
+def retrieve_log(t):
+    return K.experiment_log("run1", "q", _found(t), [F.asc("position")])[1].select("run_id", "rank_no", "chunk_id")
+
+
+@query("""SELECT 'run1' AS run_id, 'completed' AS status, count(*) AS result_count FROM region""")
+def retrieve_log_run(t):
+    return K.experiment_log("run1", "q", t.region, [F.asc("r_regionkey")])[0].select("run_id", "status", "result_count")
+
+
+@query("""SELECT CAST(r_regionkey AS INTEGER) AS "index", r_name AS document_id, CAST(r_regionkey * 2 AS DOUBLE) AS score FROM region""")
+def rerank_normal(t):
+    docs = t.region.select(F.col("r_regionkey").cast("int").alias("index"), F.col("r_name").alias("document_id"))
+    one = K.normal_rerank(docs.select("index", F.lit("").alias("document_id"), F.when(F.col("index") > 1, F.col("index") * 2.0).alias("relevance_score"), (F.col("index") * 2.0).alias("score")), docs)
+    bad = K.normal_rerank(docs.select("index", F.lit(None).cast("double").alias("score")), docs).union(K.normal_rerank(docs.select((F.col("index") + 1).alias("index"), F.lit(1.0).alias("score")), docs))
+    return one.union(bad)
+
+
+@query("""SELECT event_id, CAST(CASE event_id % 6 WHEN 0 THEN 1600 WHEN 1 THEN 64 WHEN 2 THEN 8000 WHEN 3 THEN 100 WHEN 4 THEN 1600 ELSE 300 END AS INTEGER) AS size,
+CAST(CASE event_id % 6 WHEN 2 THEN 2000 WHEN 3 THEN 25 ELSE 0 END AS INTEGER) AS overlap FROM events""")
+def chunk_strategies(t):
+    m = F.col("event_id") % 6
+    text = F.when(m == 0, "{bad").when(m == 1, '{"size": -5}').when(m == 2, '{"chunkSize": 9000, "overlap": 5000}').when(m == 3, '{"size": 100, "overlap": 100}') \
+        .when(m == 4, '{"size": true, "overlap": -3}').otherwise('{"size": 0, "chunkSize": 300}')
+    return t.events.select("event_id", K.chunk_settings(text).alias("s")).select("event_id", "s.size", "s.overlap")
+
+
+# --- trees and streams ---------------------------------------------------------------------------------------------
+
+@query("""SELECT 'g' AS g, 'n' || n_nationkey AS node, CASE WHEN n_nationkey IN (0, 1, 2) THEN 'cycle' WHEN n_nationkey = 3 THEN 'self' WHEN n_nationkey IN (4, 5, 6) THEN 'missing' WHEN n_nationkey = 7 THEN 'cycle' END AS reason
+FROM nation WHERE n_nationkey < 8""")
+def parent_check(t):
+    """Nations: a cycle of three, one below it, one that is its own parent, a missing parent, one of another group, and one below that."""
+    key = F.col("n_nationkey")
+    name = lambda x: F.concat(F.lit("n"), x.cast("string"))
+    parent = F.when(key < 3, name((key + 1) % 3)).when(key == 3, name(key)).when(key == 4, "none").when(key == 5, "other").when(key == 6, "n5").when(key == 7, " n1 ").when(key == 8, " ").otherwise("n8")
+    rows = t.nation.select(F.lit("g").alias("g"), name(key).alias("node"), parent.alias("parent"))
+    return Tr.parent_problems(rows.union(t.region.where("r_regionkey = 0").select(F.lit("h"), F.lit("other"), F.lit(None).cast("string"))), "g")
+
+
+@query("""SELECT n_regionkey AS g, count(*) AS nodes FROM nation GROUP BY 1""")
+def outline_count(t):
+    return Tr.node_count(t.nation.select(F.col("n_regionkey").alias("g"), F.col("n_name").alias("node")), "g")
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'node_' || substr(sha256(CAST(n_nationkey AS VARCHAR)), 1, 24) ELSE n_name END AS node FROM nation""")
+def outline_ids(t):
+    rows = t.nation.select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, " ").otherwise(F.col("n_name")).alias("node"))
+    return Tr.with_ids(rows, seed=F.col("n_nationkey"))
+
+
+@query("""SELECT c_nationkey AS g, c_custkey AS node, CAST(1 AS INTEGER) AS level, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS VARCHAR) AS numbering FROM customer""")
+def outline_groups(t):
+    return Tr.renumber(t.customer.select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("node"), F.lit(None).cast("long").alias("parent"), F.col("c_custkey").alias("position")), "g")
+
+
+@query(f"SELECT user_id, event_id, CAST({SEQ} AS BIGINT) AS seq FROM events")
+def sequence_stream(t):
+    """Events stamped with their place in their run, batch by batch, in a table in the shared folder."""
+    folder = usage_folder(t.spark)
+    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    stream.writeStream.option("checkpointLocation", f"{folder}/log").foreachBatch(usage.stamp_batches(f"{folder}/events", "user_id", ["ts", "event_id"])) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{folder}/events").select("user_id", "event_id", "seq")

@@ -43,10 +43,95 @@ def split_dead_letters(path: str, good: Callable[[DataFrame], DataFrame], perman
     return sink
 
 
+def add_usage(path: str, keys: list[str], sums: list[str]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that adds each batch's rollup to a table: the parts of a batch are a partition of its own, so a
+    batch that runs again replaces what it added; `added` sums the parts, `compacted` folds them."""
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+    return sink
+
+
+def added(parts: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def hourly_parts(events: DataFrame) -> DataFrame:
+    """Each event as a rollup of one: what a stream without state hands to `add_usage`, however late the event is."""
+    return events.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("bucket_start"), F.col("event_type").alias("operation"),
+                         F.lit(1).cast("long").alias("requests"), (F.col("event_type") == "error").cast("long").alias("failures"), F.col("value").alias("duration"))
+
+
+def stamp_batches(path: str, run: str, order: list[str], seq: str = "seq") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that numbers the events of each run from 1 on, going on from the batches before this one."""
+    from pyspark.sql import Window
+
+    def sink(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = batch.withColumn("__n", F.row_number().over(Window.partitionBy(run).orderBy(*order)))
+        if number:
+            old = spark.read.parquet(path).where(F.col("batch") < number).groupBy(F.col(run).alias("__r")).agg(F.max(seq).alias("__top"))
+            new = new.join(old, F.col(run) == F.col("__r"), "left")
+        else:
+            new = new.withColumn("__top", F.lit(0))
+        new = new.withColumn(seq, (F.coalesce("__top", F.lit(0)) + F.col("__n")).cast("long")).drop("__r", "__top", "__n")
+        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    return sink
+
+
+def observed(df: DataFrame, name: str, **metrics) -> DataFrame:
+    """df that reports the metrics under `name` to whoever listens, batch by batch; see `progress_listener`."""
+    return df.observe(name, *[c.alias(k) for k, c in metrics.items()])
+
+
+def progress_listener(report: Callable[[str, dict], None]):
+    """A streaming listener that hands each batch's observed metrics to `report(name, values)`."""
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    class Listener(StreamingQueryListener):
+        def onQueryStarted(self, event) -> None:
+            pass
+
+        def onQueryProgress(self, event) -> None:
+            for name, row in event.progress.observedMetrics.items():
+                report(name, row.asDict())
+
+        def onQueryIdle(self, event) -> None:
+            pass
+
+        def onQueryTerminated(self, event) -> None:
+            pass
+
+    return Listener()
+
+
+def relay_lines(lines: DataFrame, run: str, seq: str, line: str) -> DataFrame:
+    """Every line of a captured token stream up to its end: run, seq, kind ('skip', 'data', 'done', 'bad'), usage.
+
+    Blank lines and comments are skipped. A line that is not `data:`, holds no JSON object of the kind chat.completion.chunk
+    with a list of choices, or whose usage is no object, is bad. The first line that is done or bad ends its run.
+    """
+    from pyspark.sql import Window
+
+    from ..functions.text import json_is_array, json_is_object, unicode_trim
+
+    text = unicode_trim(F.coalesce(F.col(line), F.lit("")))
+    data = unicode_trim(F.regexp_replace(text, "^data:", ""))
+    usage = F.get_json_object(data, "$.usage")
+    good = json_is_object(data) & (F.get_json_object(data, "$.object") == "chat.completion.chunk") & json_is_array(F.get_json_object(data, "$.choices")) \
+        & (usage.isNull() | json_is_object(usage))
+    kind = F.when((text == "") | text.startswith(":"), "skip").when(~text.startswith("data:"), "bad").when(data == "[DONE]", "done") \
+        .when(F.coalesce(good, F.lit(False)), "data").otherwise("bad")
+    rows = lines.select(run, seq, kind.alias("kind"), F.get_json_object(data, "$.usage.total_tokens").cast("long").alias("usage"))
+    before = Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.max(F.col("kind").isin("done", "bad")).over(before), F.lit(False))
+    return rows.withColumn("__over", ended).where("NOT __over").drop("__over")
+
+
 def relay_summary(lines: DataFrame, run: str, seq: str, line: str) -> DataFrame:
-    """A captured token stream a run: whether it ended with its marker, its last usage and its status."""
-    data = F.trim(F.regexp_extract(line, r"^data:(.*)$", 1))
-    rows = lines.where(F.col(line).rlike("^data:")).select(run, seq, data.alias("d"))
-    usage = F.get_json_object("d", "$.usage.total_tokens").cast("long")
-    out = rows.groupBy(run).agg(F.bool_or(F.col("d") == "[DONE]").alias("done"), F.max_by(usage, F.when(usage.isNotNull(), F.col(seq))).alias("total_tokens"))
-    return out.withColumn("status", F.when(F.col("done"), "succeeded").otherwise("failed"))
+    """A row a run, whatever its lines hold: done (it reached its marker), total_tokens (the last usage), status, error."""
+    rows = relay_lines(lines, run, seq, line)
+    data = (F.col("kind") == "data") & F.col("usage").isNotNull()
+    out = rows.groupBy(run).agg(F.bool_or(F.col("kind") == "done").alias("done"), F.bool_or(F.col("kind") == "bad").alias("bad"),
+                                F.max_by(F.when(data, F.col("usage")), F.when(data, F.col(seq))).alias("total_tokens"))
+    return out.withColumn("status", F.when(F.col("done"), "succeeded").otherwise("failed")) \
+        .withColumn("error", F.when(F.col("bad"), "dependency_error").when(~F.col("done"), "incomplete")).drop("bad")
