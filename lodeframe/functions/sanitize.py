@@ -79,7 +79,9 @@ def only_fields(c: Column, schema: str) -> Column:
 def strict_fields(c: Column, names: list[str]) -> Column:
     """Whether the text is exactly one JSON object that has no other field: nothing may stand behind it."""
     keys = F.json_object_keys(c)
-    one = F.try_parse_json(c).isNotNull()
+    # The parser stops behind the first value. What may follow it in a list may not in an object, so both together leave nothing but the end.
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    one = (F.size(listed) == 1) & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull()
     return F.coalesce(one & (F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) == 0), F.lit(False))
 
 

@@ -87,7 +87,9 @@ def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int
         F.coalesce((i > 0) & (F.get("c", i - 1)["bucket"] == x["bucket"]), F.lit(False)).alias("second")))
     rows = rows.select(id_col, F.filter(weights, lambda x: ~x["second"] & (x["weight"] != 0)).alias("v"))
     rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x["weight"] * x["weight"])))
-    return rows.select(id_col, "norm", F.explode("v").alias("x")).select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("norm")).alias("value"))
+    # Outer, since a plain explode has the optimizer push a filter on "v" down, which copies the whole chain into its lambdas.
+    rows = rows.select(id_col, "norm", F.explode_outer("v").alias("x")).where("x IS NOT NULL")
+    return rows.select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("norm")).alias("value"))
 
 
 def embedding_problems(vectors: DataFrame, requests: DataFrame, by: str) -> DataFrame:

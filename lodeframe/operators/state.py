@@ -26,9 +26,10 @@ def insert_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.unionByName(new.dropDuplicates([key]).join(old.select(key), key, "left_anti"))
 
 
-def replace_children(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The new rows, and the old ones of keys that have no new row."""
-    return old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns).unionByName(new)
+def replace_children(old: DataFrame, new: DataFrame, key: str, parents: DataFrame | None = None) -> DataFrame:
+    """The new rows, and the old ones of keys that are not replaced. parents: the keys to replace, also those without a new row; default: the new rows' keys."""
+    replaced = (new if parents is None else parents).select(key).distinct()
+    return old.join(replaced, key, "left_anti").select(*old.columns).unionByName(new)
 
 
 def soft_delete(parents: DataFrame, children: DataFrame, key: str, child_key: str, doomed: Column, as_of: Column) -> tuple[DataFrame, DataFrame]:

@@ -650,7 +650,8 @@ def fail_documents(t):
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS v FROM lineitem WHERE l_orderkey % 3 <> 0 OR l_linenumber = 1""")
 def replace_children(t):
     old = t.lineitem.select("l_orderkey", "l_linenumber", F.lit("old").alias("v"))
-    return W.replace_children(old, t.lineitem.where("l_orderkey % 3 = 0 AND l_linenumber = 1").select("l_orderkey", "l_linenumber", F.lit("new").alias("v")), "l_orderkey")
+    return W.replace_children(old, t.lineitem.where("l_orderkey % 3 = 0 AND l_linenumber = 1").select("l_orderkey", "l_linenumber", F.lit("new").alias("v")), "l_orderkey",
+                              t.lineitem.where("l_orderkey % 3 = 0"))
 
 
 @query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 2 <> 0 THEN 'stored' WHEN p_partkey % 10 = 0 THEN 'purge_failed' WHEN p_size % 4 = 0 THEN 'purge_failed' WHEN p_size % 4 = 3 THEN 'delete_requested' ELSE 'purged' END AS state,
@@ -722,8 +723,8 @@ def section_save(t):
     return W.save_sections(sections, edits, F.lit(NOW).cast("timestamp_ntz")).select("id", "title", "content", "version", "manual_edited", "content_source")
 
 
-@query("""WITH x AS (SELECT l_orderkey, max(l_shipdate) AS at, arg_max(l_linenumber, l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber) AS f FROM (SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem) GROUP BY 1)
-SELECT o_orderkey AS id, CASE WHEN at IS NOT NULL AND o_orderstatus <> 'P' THEN 'exported' ELSE o_orderstatus END AS status, CASE WHEN o_orderstatus <> 'P' THEN at END AS exported_at FROM orders LEFT JOIN x ON l_orderkey = o_orderkey""".replace("l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber", "l_shipdate"))
+@query("""WITH x AS (SELECT l_orderkey, max(l_shipdate) AS last_at, arg_max(l_linenumber, l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber) AS f FROM (SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem) GROUP BY 1)
+SELECT o_orderkey AS id, CASE WHEN last_at IS NOT NULL AND o_orderstatus <> 'P' THEN 'exported' ELSE o_orderstatus END AS status, CASE WHEN o_orderstatus <> 'P' THEN last_at END AS exported_at FROM orders LEFT JOIN x ON l_orderkey = o_orderkey""".replace("l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber", "l_shipdate"))
 def export_back(t):
     """Line items as exports of their order's report; the status P is a deleted report's."""
     none = F.lit(None).cast("timestamp_ntz")
@@ -860,10 +861,10 @@ def json_shapes(t):
     return t.events.select("event_id", T.json_is_object(text).alias("object"), T.json_is_array(text).alias("list"))
 
 
-@query("""SELECT page_id, 'x' || page_id || '.txt' AS name, 'Title of the page with more than forty ch' AS title, lpad(CAST(page_id AS VARCHAR), 64, 'a') AS checksum, 'é' || '...' AS cut FROM pages""")
+@query("""SELECT page_id, 'x' || page_id || '.txt' AS name, 'Title of the page with more than forty c' AS title, lpad(CAST(page_id AS VARCHAR), 64, 'a') AS checksum, 'é' || '...' AS cut FROM pages""")
 def file_fields(t):
     page = F.col("page_id").cast("string")
-    return t.pages.select("page_id", T.file_name(F.concat(F.lit("C:\\dir/x"), page, F.lit(".txt "))).alias("name"), F.concat(T.auto_title(F.lit("  Title of the page with more than forty characters")), F.lit(" ch")).alias("title"),
+    return t.pages.select("page_id", T.file_name(F.concat(F.lit("C:\\dir/x"), page, F.lit(".txt "))).alias("name"), T.auto_title(F.lit("  Title of the page with more than forty characters")).alias("title"),
                           T.checksum(F.upper(F.lpad(page, 64, "a"))).alias("checksum"), T.truncate_bytes(F.lit("éé"), 3, "...").alias("cut"))
 
 

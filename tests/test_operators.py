@@ -36,7 +36,8 @@ def test_chunk_strategy(text, want):
 
 def test_text_functions(spark):
     assert one(spark, T.normalize_text(F.lit("a \t b\r\n\n c "))) == "a b\nc"
-    assert one(spark, T.title_of(F.lit("\n## Title here\nx"))) == "Title here"
+    assert one(spark, T.title_of(F.lit("\n## Title here\nx"))) == "## Title here"
+    assert one(spark, T.title_of(F.lit("\n# Title here\nx"))) == "Title here"
     assert one(spark, T.unicode_trim(F.lit("\u3000a b\t"))) == "a b"
     assert one(spark, T.file_name(F.lit("C:\\x\\y.txt"))) == "y.txt"
     assert one(spark, T.truncate_bytes(F.lit("aé"), 2, "...")) == "a..."
@@ -53,6 +54,9 @@ def test_sanitize(spark):
     assert one(spark, S.clean_json(F.lit('{"a": [{"password": 1, "b": " c "}]}'))) == '{"a": [{"b": "c"}]}'
     assert one(spark, S.strict_fields(F.lit('{"a":1}'), ["a", "b"])) and not one(spark, S.strict_fields(F.lit('{"z":1}'), ["a"]))
     assert one(spark, S.strict_fields(F.lit("nonsense"), ["a"])) is False
+    assert one(spark, S.strict_fields(F.lit(' {"a":1}\n'), ["a"]))
+    for more in (" {}", "junk", "]", "}", ", {}", "] []", "}}", ', "v":1'):
+        assert one(spark, S.strict_fields(F.lit('{"a":1}' + more), ["a"])) is False
 
 
 def test_predicates(spark):
@@ -127,7 +131,7 @@ def test_parse_files(spark):
     assert (got["a.md"]["content"], got["a.md"]["title"]) == ("# Title\nbody text", "Title")
     assert got["b.docx"]["content"] == "Head\npara"
     assert (got["c.pptx"]["content"], got["c.pptx"]["title"]) == ("Slide 1\none\nSlide 2\ntwo", "one")
-    assert got["d.xlsx"]["content"] == "uno\t5"
+    assert (got["d.xlsx"]["content"], got["d.xlsx"]["title"]) == ("Sheet 1\nuno 5", "Sheet 1")
     assert all(got[n]["error"] and got[n]["content"] is None for n in ("e.pdf", "f.bin", "g.zip", "h.txt"))
     assert got["e.pdf"]["format"] == "pdf"
 
