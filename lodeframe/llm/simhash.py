@@ -123,7 +123,8 @@ def links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     shared = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                      .where("n > 1"), "shared")
     pairs = shared.where("n = 2").select("a", "b").distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits)
-    hot = shared.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    # A table of its own, so that Spark plans the join by what the crowded keys weigh: far less than all shared ones.
+    hot = written(shared.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot")
     rows = index.join(hot, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int"))
     rows = rows.select("key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "fp")
