@@ -573,3 +573,128 @@ def test_pipeline_stages(spark):
     items = [" ".join(r["text"].lower().split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert not any(i in " ".join(r["text"].lower().split()) for r in clean.collect() for i in items)
     assert P.run(spark, SF).groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+
+
+def buckets_by_hand(text):
+    """op10's n-grams, one at a time."""
+    data, mix, keys = (text or "").encode(), 2654435761, set()
+    for i in range(len(data) - 2):
+        keys.add(int.from_bytes(data[i:i + 3], "little"))
+    for i in range(len(data) - 3):
+        keys.add(int.from_bytes(data[i:i + 4], "little") ^ 0x5BD1E995)
+    words = data.split()
+    mark = [(words[i] == words[i - 1]) + 2 * (words[i] == words[i - 2]) for i in range(2, len(words))]
+    for i in range(len(mark) - 2):
+        keys.add(mark[i] + 4 * mark[i + 1] + 16 * mark[i + 2] + 0xFFFF0000)
+    return sorted({(k * mix % 2**32) >> 15 for k in keys})
+
+
+def test_quality_against_brute_force(spark, docs):
+    """Ratios and scores by hand; the hinge-loss model is the optimum that exhaustive descent over the kernel finds."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    own = docs.join(labels, "doc_id").where(common.crc_mod5(F.col("doc_id")) != 0).select("text", "quality", F.xxhash64(F.lit(72), "doc_id").alias("at")).toPandas()
+    own = own[own["quality"].isin([0, 1])].sort_values(["at", "quality"], kind="stable")
+    found, y = [buckets_by_hand(t) for t in own["text"]], own["quality"].to_numpy()
+    counts = np.ones((2, quality.TABLE))
+    for b, label in zip(found, y):
+        counts[label, b] += 1
+    ratio = np.log(counts[1] / counts[1].sum() / (counts[0] / counts[0].sum()))
+    model = quality.fit(docs, labels)
+    assert np.allclose(model.ratio, ratio)
+
+    fitted = np.arange(len(y)) % 5 != 4
+    x = np.zeros((int(fitted.sum()), quality.TABLE))
+    for i, at in enumerate(np.flatnonzero(fitted)):
+        x[i, found[at]] = ratio[found[at]]
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    sign = np.where(y[fitted] == 1, 1.0, -1.0)
+    kernel, a = (x @ x.T) * np.outer(sign, sign), np.zeros(len(sign))
+    for _ in range(1000):
+        for i in range(len(a)):
+            a[i] = min(max(a[i] - (kernel[i] @ a - 1) / max(kernel[i, i], 1e-12), 0.0), quality.C)
+    loss = lambda w: w @ w / 2 + quality.C * np.maximum(0, 1 - sign * (x @ w)).sum()
+    assert loss(model.weights) <= 1.01 * loss(x.T @ (a * sign)) + 1e-6
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in quality.classify(docs, labels).collect():
+        b = buckets_by_hand(texts[r["doc_id"]])
+        length = np.sqrt((ratio[b] ** 2).sum())
+        margin = (ratio[b] * model.weights[b]).sum() / max(length, 1e-9)
+        assert abs(r["score"] - 1 / (1 + np.exp(-(model.slope * margin + model.offset)))) < 1e-9
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.3)
+
+
+def targets_by_hand(sizes, weights=(3, 1, 2)):
+    """Water-filling over {source: words}: what stands above its cap is clamped, the rest is shared anew, until nothing is."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight, target, rest = {s: weights[i % 3] for i, s in enumerate(names)}, {}, 1.5 * sum(sizes.values())
+    while True:
+        left = [s for s in names if s not in target]
+        share = {s: rest * weight[s] / sum(weight[t] for t in left) for s in left}
+        over = [s for s in left if share[s] > 2 * sizes[s]]
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            rest -= target[s]
+
+
+def pipeline_table(spark, folder, rows, bench, labels):
+    names = "doc_id long, text string, source string, number int, __fp int, copy_no int, draw int"
+    spark.createDataFrame([(*r, i, 1, 2, 3) for i, r in enumerate(rows)], names).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return f"file://{folder}"
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing names: each stage's rows, and the mix, are those of plain loops.
+
+    All labels are 1, so that the classifier, which has a test of its own, rejects nothing.
+    """
+    import corpus_pipeline as P
+
+    rng = np.random.default_rng(21)
+    words = [f"t{i}" for i in range(400)]
+    line = lambda n: " ".join(rng.choice(words, n))
+    bench, rows = [(1, line(12)), (2, None), (3, "")], []
+    for i in range(40):
+        rows.append((i, "\n".join(line(int(rng.integers(8, 40))) for _ in range(4)), ["a", "b", None][i % 3]))
+    rows += [(50, rows[3][1], "a"), (51, rows[4][1] + "\n" + line(9), "b"), (52, f"{line(20)} {bench[0][1]} {line(20)}", "a"), (53, None, "b"), (54, "", None),
+             (55, " \t\n ", "a"), (56, line(20_000), "a"), (57, rows[7][1].split("\n")[0] + " more\n" + line(30), "b"), (None, rows[9][1], "a"), (None, line(25), "b")]
+    folder = pipeline_table(spark, tmp_path, rows, bench, [(i, 1) for i in range(40)])
+
+    by = {(i, r[0], r[1]) for i, r in enumerate(rows)}
+    left = [(i, doc, text) for (i, _, _), (doc, text) in zip(sorted(by, key=lambda r: r[0]), lines_by_hand([r[:2] for r in rows]))]
+    left.sort(key=lambda r: (r[1] is None, r[1] or 0))
+    label = labels_of([fingerprint(t) for _, _, t in left])
+    left = [r for k, r in enumerate(left) if label[k] == k]
+    known = decontam.Words()
+    item = decontam.word_ids(bench[0][1].encode(), known)
+    far = lambda t: decontam.edit_distance(item, decontam.word_ids((t or "").encode(), known)) > decontam.allowed(len(item))
+    left = [r for r in left if far(r[2])]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for _, stage in P.STAGES[:-1]:
+        docs = common.written(stage(spark, docs, folder), "stage")
+        assert docs.columns == columns
+    assert sorted((r["number"], r["doc_id"], r["text"]) for r in docs.collect()) == sorted(left)
+
+    mixed = P.run(spark, folder)
+    assert mixed.columns == [*columns, "copy_no_"]
+    taken = Counter(r["number"] for r in mixed.collect())
+    size = {i: len((text or "").split()) for i, _, text in left}
+    assert set(taken) <= set(size) and max(taken.values()) <= 2
+    sizes = Counter()
+    for i in size:
+        sizes[rows[i][2]] += size[i]
+    for s, target in targets_by_hand(sizes).items():
+        own = [i for i in size if rows[i][2] == s]
+        assert abs(sum(taken[i] * size[i] for i in own) - target) <= max(size[i] for i in own)
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline as P
+
+    folder = pipeline_table(spark, tmp_path, [], [], [])
+    assert P.run(spark, folder).count() == 0
