@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, line_dedup, lm, mixing, quality, repeats, simhash, spelling, url_filter, warc
+from . import decontam, exact_dedup, line_dedup, lm, minhash, mixing, quality, repeats, simhash, spelling, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +58,12 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_simhash, op3_suffix_array, op4_decontamination, op5_mixing, op6_url_filters, op7_warc, op8_line_dedup,
-                                   op9_exact_dedup, op10_quality, op11_spelling)}
+                                   op9_exact_dedup, op10_quality, op11_spelling, op12_minhash)}
 
 ORACLES = {
     "op5_mixing": r"""
