@@ -76,13 +76,80 @@ def only_fields(c: Column, schema: str) -> Column:
     return F.to_json(F.from_json(c, schema))
 
 
-def strict_fields(c: Column, names: list[str]) -> Column:
-    """Whether the text is exactly one JSON object that has no other field: nothing may stand behind it."""
-    keys = F.json_object_keys(c)
+def strict_json(c: Column) -> Column:
+    """The text as a variant if it is exactly one JSON value, else null: nothing may stand behind it."""
     # The parser stops behind the first value. What may follow it in a list may not in an object, so both together leave nothing but the end.
     listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
-    one = (F.size(listed) == 1) & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull()
-    return F.coalesce(one & (F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) == 0), F.lit(False))
+    return F.when((F.size(listed) == 1) & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull(), F.get(listed, F.lit(0)))
+
+
+def strict_fields(c: Column, names: list[str]) -> Column:
+    """Whether the text is exactly one JSON object that has no other field: nothing may stand behind it."""
+    unknown = F.array_except(F.json_object_keys(c), F.array(*[F.lit(n) for n in names]))
+    return F.coalesce(strict_json(c).isNotNull() & (F.size(unknown) == 0), F.lit(False))
+
+
+#: The fields that a chunk of a chat stream may keep, by the object they stand in, and what marks it as one (fixed values).
+CHUNK_MARK = "chat.completion.chunk"
+CHUNK_FIELDS = {"chunk": ("id", "object", "created", "model", "system_fingerprint"), "choice": ("index", "finish_reason"), "delta": ("role", "content", "refusal"),
+                "tool_call": ("index", "id", "type"), "function": ("name", "arguments"), "usage": ("prompt_tokens", "completion_tokens", "total_tokens")}
+
+
+def _field(v: Column, name: str) -> Column:
+    """A field of an object; SQL null where it is missing, a JSON null where it is that."""
+    return F.try_variant_get(v, f"$.{name}", "variant")
+
+
+def _kind(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+
+
+def _is(v: Column, kind: str) -> Column:
+    """Whether a value is missing, null or of the kind."""
+    return (_kind(v) == "VOID") | _kind(v).startswith(kind)
+
+
+def _items(v: Column) -> Column:
+    """The list's values; none of a null."""
+    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(F.parse_json(F.lit("[]")), "$", "array<variant>"))
+
+
+def _kept(v: Column, kind: str, **more: Column) -> Column:
+    """The object's fields that stay, in the order of their names."""
+    fields = {n: _field(v, n) for n in CHUNK_FIELDS[kind]} | more
+    return F.struct(*[fields[n].alias(n) for n in sorted(fields)])
+
+
+def _given(v: Column, value: Column) -> Column:
+    return F.when(v.isNotNull(), value)
+
+
+def chunk_valid(chunk: Column) -> Column:
+    """Whether a variant is a stream's chunk: the mark, a list of choices, and objects or lists where such belong. Null counts as empty."""
+    delta = lambda c: _field(c, "delta")
+    call = lambda t: _is(t, "OBJECT") & _is(_field(t, "function"), "OBJECT")
+    said = lambda d: _is(d, "OBJECT") & _is(_field(d, "function_call"), "OBJECT") & _is(_field(d, "tool_calls"), "ARRAY") \
+        & F.forall(_items(_field(d, "tool_calls")), call)
+    choices = _field(chunk, "choices")
+    whole = (F.try_variant_get(chunk, "$.object", "string") == CHUNK_MARK) & (_kind(_field(chunk, "object")) == "STRING") & choices.isNotNull() & _is(choices, "ARRAY")
+    return F.coalesce(whole & F.forall(_items(choices), lambda c: _is(c, "OBJECT") & said(delta(c))) & _is(_field(chunk, "usage"), "OBJECT"), F.lit(False))
+
+
+def clean_chunk(c: Column) -> Column:
+    """The JSON text of a stream's chunk with its permitted fields only, at every depth; null where the text is no valid chunk."""
+    def tool_call(t: Column) -> Column:
+        return _kept(t, "tool_call", function=_given(_field(t, "function"), _kept(_field(t, "function"), "function")))
+
+    def choice(c: Column) -> Column:
+        d = _field(c, "delta")
+        called, tools = _field(d, "function_call"), _field(d, "tool_calls")
+        delta = _kept(d, "delta", function_call=_given(called, _kept(called, "function")), tool_calls=_given(tools, F.transform(_items(tools), tool_call)))
+        return _kept(c, "choice", delta=_given(d, delta))
+
+    chunk = strict_json(c)
+    used = _field(chunk, "usage")
+    whole = _kept(chunk, "chunk", choices=F.transform(_items(_field(chunk, "choices")), choice), usage=_given(used, _kept(used, "usage")))
+    return F.when(chunk_valid(chunk), F.to_json(whole))
 
 
 #: The fields of an ingestion task, all of them required (fixed values).

@@ -62,34 +62,45 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, overla
     return rows.withColumns({"token_count": token_estimate(F.col("content")), "chunk_type": F.lit("text"), "metadata": F.create_map(F.lit("chunk_index"), index)})
 
 
-def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    """Sparse signed feature hashing: id_col, bucket, weight (signed count), value (of the unit vector).
+def _folded(rows: DataFrame, text_col: str, dimensions: int) -> DataFrame:
+    """rows with `__v`, the buckets of the text with their signed counts, and `__norm`.
 
-    A document is folded in its own row: its buckets are sorted, and a run of one bucket is a weight. Nothing is shuffled.
+    A text is folded in its own row: its buckets are sorted, and a run of one bucket is a weight. Nothing is shuffled.
     """
-    body = F.lower(F.col(text_col))
+    own, body = [F.col(c) for c in rows.columns], F.lower(F.col(text_col))
     tokens = words(body)
     tokens = F.when(F.size(tokens) == 0, F.array(body)).otherwise(tokens)
     head = lambda w: F.substring(F.sha2(w.cast("binary"), 256), 1, 10)
     odd = lambda h: F.substring(h, 10, 1).isin(*"13579bdf")
     signed = F.transform(F.transform(tokens, head), lambda h: (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dimensions * 2 + odd(h).cast("long")).cast("int"))
-    rows = docs.select(id_col, F.array_sort(signed).alias("s")).withColumn("n", F.size("s"))
+    rows = rows.select(*own, F.sort_array(signed).alias("__s")).withColumn("__n", F.size("__s"))
     # Where the place in the sorted row is the last of its bucket, the counts up to there, plus for one sign and minus for the other.
-    ends = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == F.col("n") - 1) | (F.get("s", i) != F.get("s", i + 1)))
-    rows = rows.select(id_col, "s", F.when(F.col("n") > 0, ends).otherwise(F.array().cast("array<int>")).alias("e"))
-    before = F.concat(F.array(F.lit(-1)), F.slice("e", 1, F.greatest(F.size("e") - 1, F.lit(0))))
-    counts = F.transform(F.arrays_zip(F.col("e").alias("e"), before.alias("b")), lambda x: F.struct(
-        F.floor(F.get("s", x["e"]) / 2).cast("int").alias("bucket"), (F.when(F.get("s", x["e"]) % 2 == 1, -1).otherwise(1) * (x["e"] - x["b"])).cast("long").alias("w")))
-    rows = rows.select(id_col, counts.alias("c"))
+    ends = F.filter(F.sequence(F.lit(0), F.col("__n") - 1), lambda i: (i == F.col("__n") - 1) | (F.get("__s", i) != F.get("__s", i + 1)))
+    rows = rows.select(*own, "__s", F.when(F.col("__n") > 0, ends).otherwise(F.array().cast("array<int>")).alias("__e"))
+    before = F.concat(F.array(F.lit(-1)), F.slice("__e", 1, F.greatest(F.size("__e") - 1, F.lit(0))))
+    counts = F.transform(F.arrays_zip(F.col("__e").alias("e"), before.alias("b")), lambda x: F.struct(
+        F.floor(F.get("__s", x["e"]) / 2).cast("int").alias("bucket"), (F.when(F.get("__s", x["e"]) % 2 == 1, -1).otherwise(1) * (x["e"] - x["b"])).cast("long").alias("w")))
+    rows = rows.select(*own, counts.alias("__c"))
     # A bucket has one or two neighbouring entries: those of either sign.
-    weights = F.transform(F.col("c"), lambda x, i: F.struct(
-        x["bucket"].alias("bucket"), (x["w"] + F.when(F.get("c", i + 1)["bucket"] == x["bucket"], F.get("c", i + 1)["w"]).otherwise(0)).alias("weight"),
-        F.coalesce((i > 0) & (F.get("c", i - 1)["bucket"] == x["bucket"]), F.lit(False)).alias("second")))
-    rows = rows.select(id_col, F.filter(weights, lambda x: ~x["second"] & (x["weight"] != 0)).alias("v"))
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x["weight"] * x["weight"])))
-    # Outer, since a plain explode has the optimizer push a filter on "v" down, which copies the whole chain into its lambdas.
-    rows = rows.select(id_col, "norm", F.explode_outer("v").alias("x")).where("x IS NOT NULL")
-    return rows.select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("norm")).alias("value"))
+    weights = F.transform(F.col("__c"), lambda x, i: F.struct(
+        x["bucket"].alias("bucket"), (x["w"] + F.when(F.get("__c", i + 1)["bucket"] == x["bucket"], F.get("__c", i + 1)["w"]).otherwise(0)).alias("weight"),
+        F.coalesce((i > 0) & (F.get("__c", i - 1)["bucket"] == x["bucket"]), F.lit(False)).alias("second")))
+    rows = rows.select(*own, F.filter(weights, lambda x: ~x["second"] & (x["weight"] != 0)).alias("__v"))
+    return rows.withColumn("__norm", F.sqrt(F.aggregate("__v", F.lit(0).cast("long"), lambda a, x: a + x["weight"] * x["weight"])))
+
+
+def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
+    """Sparse signed feature hashing: id_col, bucket, weight (signed count), value (of the unit vector), a row for each bucket of a text."""
+    rows = _folded(docs.select(id_col, text_col), text_col, dimensions)
+    # Outer, since a plain explode has the optimizer push a filter on "__v" down, which copies the whole chain into its lambdas.
+    rows = rows.select(id_col, "__norm", F.explode_outer("__v").alias("x")).where("x IS NOT NULL")
+    return rows.select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("__norm")).alias("value"))
+
+
+def hash_vectors(rows: DataFrame, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
+    """rows with `buckets` (ascending) and `weights` (of the unit vector) of the text; a text whose counts all cancel out has none."""
+    folded = _folded(rows, text_col, dimensions)
+    return folded.select(*rows.columns, F.transform("__v", lambda x: x["bucket"]).alias("buckets"), F.transform("__v", lambda x: x["weight"] / F.col("__norm")).alias("weights"))
 
 
 def embedding_problems(vectors: DataFrame, requests: DataFrame, by: str) -> DataFrame:

@@ -71,35 +71,46 @@ def claim(jobs: DataFrame, as_of: Column, lease_seconds: int = LEASE_SECONDS, st
                 current_stage=text(stage), progress_percent=F.lit(progress), message=text(message), error_code=None, error_message=None)
 
 
-def fenced_update(jobs: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
-    """Changes (key, attempts, new_status) apply to running jobs of the same attempt only."""
-    c = changes.select(F.col(key).alias("__k"), F.col("attempts").alias("__a"), "new_status")
-    fits = (F.col(key) == F.col("__k")) & (F.col("attempts") == F.col("__a")) & (F.col("status") == "running")
-    return jobs.join(c, fits, "left").withColumn("status", F.coalesce("new_status", "status")).drop("__k", "__a", "new_status")
+def fenced_update(jobs: DataFrame, changes: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """Changes (key, attempts, new_status) apply to running jobs of the same attempt only.
 
+    Several changes of a job come one after the other, by the order column: the first that leaves `running` counts, as those behind it
+    find no running job. Without a column, the least of the statuses that leave it counts.
+    """
+    c = changes.select(F.col(key).alias("__k"), F.col("attempts").alias("__a"), F.when(F.col("new_status") != "running", F.col("new_status")).alias("__s"),
+                       (F.col(order) if order else F.col("new_status")).alias("__o"))
+    c = c.groupBy("__k", "__a").agg(F.min_by("__s", F.when(F.col("__s").isNotNull(), F.struct("__o", "__s"))).alias("__s"))
+    fits = (F.col(key) == F.col("__k")) & (F.col("attempts") == F.col("__a")) & (F.col("status") == "running")
+    return jobs.join(c, fits, "left").withColumn("status", F.coalesce("__s", "status")).drop("__k", "__a", "__s")
 
-def _fenced(jobs: DataFrame, ends: DataFrame) -> Column:
-    """Whether an end (document_id, expected) fits a job: the same document and, where an attempt is expected, that attempt, running."""
-    return (F.col("document_id") == F.col("__d")) & (F.col("__x").isNull() | ((F.col("attempts") == F.col("__x")) & (F.col("status") == "running")))
 
+def _fitting(jobs: DataFrame, ends: DataFrame, *more: str) -> DataFrame:
+    """The end that decides each job, of those (job_id, document_id, expected_attempts, at) that fit it; names that no table has.
 
-def _ends(rows: DataFrame, *more: str) -> DataFrame:
-    """One end a job, the earliest; names that no table has."""
-    first = Window.partitionBy("job_id").orderBy("at")
-    rows = rows.withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return rows.select(F.col("job_id").alias("__j"), F.col("document_id").alias("__d"), F.col("expected_attempts").alias("__x"), F.col("at").alias("__at"),
+    An end fits a job of the same document; where it expects an attempt, a running job of that attempt only. The fence comes
+    first: a stale end hides no valid one. Then the ends come by time: the first fenced one counts, as it leaves no running
+    job, and an end that expects nothing counts whatever came before, so that the last of these counts.
+    """
+    rows = ends.select(F.col("job_id").alias("__j"), F.col("document_id").alias("__d"), F.col("expected_attempts").alias("__x"), F.col("at").alias("__at"),
                        *[F.col(c).alias(f"__{c}") for c in more])
+    there = jobs.select(F.col("id").alias("__id"), F.col("document_id").alias("__doc"), "attempts", "status")
+    fits = (F.col("__id") == F.col("__j")) & (F.col("__doc") == F.col("__d")) \
+        & (F.col("__x").isNull() | ((F.col("attempts") == F.col("__x")) & (F.col("status") == "running")))
+    rows = rows.join(there, fits, "left_semi")
+    free, body = F.col("__x").isNull(), F.struct(*rows.columns)
+    ties = F.struct("__at", *[f"__{c}" for c in more])
+    one = rows.groupBy("__j").agg(F.max_by(F.when(free, body), F.when(free, ties)).alias("f"), F.min_by(body, F.when(~free, ties)).alias("e"))
+    return one.select(F.coalesce("f", "e").alias("r")).select("r.*")
 
 
 def complete(jobs: DataFrame, documents: DataFrame, chunks: DataFrame, ends: DataFrame, new_chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ingestions that end well: (jobs, documents, chunks) after them.
 
-    ends: job_id, document_id, expected_attempts (null: any), at, parser_backend. An end counts if its job fits (see `_fenced`)
+    ends: job_id, document_id, expected_attempts (null: any), at, parser_backend. An end counts if it fits its job (see `_fitting`)
     and its document is live; then the document's chunks are replaced by the new ones, it is ready, and the job has succeeded.
     """
     live = documents.where("deleted_at IS NULL").select(F.col("id").alias("__live"))
-    good = _ends(ends, "parser_backend").join(live, F.col("__d") == F.col("__live"), "left_semi")
-    good = good.join(jobs.select("id", "document_id", "attempts", "status"), (F.col("id") == F.col("__j")) & _fenced(jobs, ends), "left_semi")
+    good = _fitting(jobs, ends, "parser_backend").join(live, F.col("__d") == F.col("__live"), "left_semi")
     rows = jobs.join(good, F.col("id") == F.col("__j"), "left")
     done = _set(rows, F.col("__j").isNotNull(), status=F.lit("succeeded"), current_stage=F.lit(DONE_STAGE), progress_percent=F.lit(100), message=F.lit(DONE_MESSAGE),
                 error_code=None, error_message=None, finished_at=F.col("__at"), updated_at=F.col("__at")).select(*jobs.columns)
@@ -117,8 +128,7 @@ def fail(jobs: DataFrame, documents: DataFrame, ends: DataFrame) -> tuple[DataFr
 
     The job ends even where its document was deleted meanwhile; only a live document is marked.
     """
-    good = _ends(ends, "code", "message")
-    good = good.join(jobs.select("id", "document_id", "attempts", "status"), (F.col("id") == F.col("__j")) & _fenced(jobs, ends), "left_semi")
+    good = _fitting(jobs, ends, "code", "message")
     rows = jobs.join(good, F.col("id") == F.col("__j"), "left")
     over = _set(rows, F.col("__j").isNotNull(), status=F.lit("failed"), error_code=F.col("__code"), error_message=F.col("__message"),
                 finished_at=F.col("__at"), updated_at=F.col("__at")).select(*jobs.columns)
@@ -179,17 +189,24 @@ def iteration_marks(runs: DataFrame, events: DataFrame) -> DataFrame:
     return runs.join(top, F.col("id") == F.col("__r"), "left").withColumn("current_iteration", F.greatest("current_iteration", "__top")).select(*runs.columns)
 
 
-def save_sections(sections: DataFrame, edits: DataFrame, as_of: Column) -> DataFrame:
+def save_sections(sections: DataFrame, edits: DataFrame, as_of: Column, order: str | None = None) -> DataFrame:
     """sections (id, title, content, tables, version, manual_edited, content_source) after edits (id, new title, content, tables, manual_edited; null: not given).
 
     New content or tables are a manual edit whatever the edit says: one version more, and a source of 'ai' becomes 'mixed', any other 'manual'.
+    Edits of a section come one after the other, by the order column: the last value given of a field counts, each change of content
+    is a version, and the flag is what the last edit that sets it says. A second change finds 'mixed', which becomes 'manual'.
     """
-    e = edits.select(F.col("id").alias("__k"), *[F.col(c).alias(f"__{c}") for c in ("title", "content", "tables", "manual_edited")])
-    rows = sections.join(e, F.col("id") == F.col("__k"), "left").withColumn("__changed", F.col("__content").isNotNull() | F.col("__tables").isNotNull())
+    at = F.col(order) if order else F.struct("title", "content", "tables", "manual_edited")
+    changes = F.col("content").isNotNull() | F.col("tables").isNotNull()
+    flag = F.when(changes, True).otherwise(F.col("manual_edited"))
+    last = lambda c: F.max_by(c, F.when(c.isNotNull(), at))
+    e = edits.groupBy(F.col("id").alias("__k")).agg(*[last(F.col(c)).alias(f"__{c}") for c in ("title", "content", "tables")], last(flag).alias("__manual_edited"),
+                                                    F.count_if(changes).alias("__n"))
+    rows = sections.join(e, F.col("id") == F.col("__k"), "left")
     given = F.col("__k").isNotNull()
-    source = F.when(F.col("content_source") == "ai", "mixed").otherwise("manual")
-    rows = _set(rows, given & F.col("__changed"), version=F.col("version") + 1, manual_edited=F.lit(True), content_source=source)
-    rows = _set(rows, given & ~F.col("__changed"), manual_edited=F.coalesce("__manual_edited", "manual_edited"))
+    source = F.when((F.col("content_source") == "ai") & (F.col("__n") == 1), "mixed").otherwise("manual")
+    rows = _set(rows, given & (F.col("__n") > 0), version=F.col("version") + F.col("__n"), content_source=source)
+    rows = _set(rows, given, manual_edited=F.coalesce("__manual_edited", "manual_edited"))
     return _set(rows, given, title=F.coalesce("__title", "title"), content=F.coalesce("__content", "content"), tables=F.coalesce("__tables", "tables"),
                 updated_at=as_of).select(*sections.columns)
 
@@ -222,15 +239,26 @@ def deliver(queue: DataFrame, outcomes: DataFrame, most_retries: int) -> tuple[D
     return again.withColumn("retries", F.col("retries") + F.col("__o").isNotNull().cast("int")).select(*queue.columns), dead
 
 
-def fold_calls(events: DataFrame, run: str, call: str, seq: str, kind: str, ts: str, name: str | None = None) -> DataFrame:
-    """Started / completed / failed events to one row a call; the last end counts, latency from the first start, null while it runs."""
-    started = F.col(kind) == "started"
-    ended = F.col(kind).isin("completed", "failed")
-    more = [F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col(seq))).alias("tool_name")] if name else []
-    rows = events.groupBy(run, call).agg(
-        F.min(F.when(started, F.col(ts))).alias("started_at"), F.max_by(F.when(ended, F.col(kind)), F.when(ended, F.col(seq))).alias("end_kind"),
-        F.max_by(F.when(ended, F.col(ts)), F.when(ended, F.col(seq))).alias("finished_at"), F.count(F.lit(1)).alias("n_events"), *more)
-    return rows.withColumn("status", F.coalesce("end_kind", F.lit("running"))).withColumn("latency_ms", latency_ms(F.col("started_at"), F.col("finished_at"))).drop("end_kind")
+#: Kinds of events that make a tool call; all but the first end it (fixed values).
+CALL_KINDS = ("started", "completed", "failed")
+
+
+def fold_calls(events: DataFrame, run: str, call: str, seq: str, kind: str, ts: str, name: str | None = None, iteration: str | None = None) -> DataFrame:
+    """Tool events to one row a call, as if each were written over the row of those before it.
+
+    The first event by seq, of whatever kind, gives started_at, tool_name and iteration_no (1 at least); the last one the status,
+    'running' where it is a start. The last end gives finished_at, and latency_ms if it is not the first event. Other kinds and blank calls don't count.
+    """
+    rows = events.where(F.col(kind).isin(*CALL_KINDS) & (F.coalesce(F.col(call).cast("string"), F.lit("")) != ""))
+    first = [F.col(seq).alias("s"), F.col(ts).alias("at")]
+    first += [F.col(name).alias("name")] if name else []
+    first += [F.greatest(F.coalesce(F.col(iteration), F.lit(0)), F.lit(1)).cast("int").alias("i")] if iteration else []
+    ended = F.col(kind) != "started"
+    rows = rows.groupBy(run, call).agg(F.min(F.struct(*first)).alias("__f"), F.max_by(F.when(ended, F.col(kind)).otherwise("running"), seq).alias("status"),
+                                       F.max(F.when(ended, F.struct(F.col(seq).alias("s"), F.col(ts).alias("at")))).alias("__e"), F.count(F.lit(1)).alias("n_events"))
+    latency = F.when(F.col("__e.s") > F.col("__f.s"), latency_ms(F.col("__f.at"), F.col("__e.at")))
+    more = ([F.col("__f.name").alias("tool_name")] if name else []) + ([F.col("__f.i").alias("iteration_no")] if iteration else [])
+    return rows.select(run, call, "status", "n_events", F.col("__f.at").alias("started_at"), F.col("__e.at").alias("finished_at"), *more, latency.alias("latency_ms"))
 
 
 def replay(events: DataFrame, run_col: str, run, seq: str, after: int, as_of: Column, ts: str, ttl_hours: int = 24) -> DataFrame:

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import sanitize as S
 from ..functions import text as T
+from ..operators import ann
 from ..operators import knowledge as K
 from ..operators import metrics as M
 from ..operators import relational as R
 from ..operators import state as W
 from ..operators import tree as Tr
 from ..sources import files
-from ..streaming import usage
+from ..streaming import stateful, usage
 
 QUERIES, ORACLES = {}, {}
 NOW = "2024-01-31 00:00:00"
@@ -436,22 +437,35 @@ def stale_jobs(t):
     return _jobs(t).where(W.claimable(F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")) & (F.col("status") == "running")).select("id")
 
 
-@query(f"""SELECT id, CASE WHEN status = 'running' AND attempts = 1 AND id % 2 = 0 THEN 'succeeded' ELSE status END AS status FROM ({JOBS})""")
+@query(f"""WITH j AS ({JOBS}), c AS (SELECT id, a AS attempts, s AS new_status, o FROM j, (VALUES (0, 'failed', 1), (1, 'running', 2), (1, 'succeeded', 3), (1, 'failed', 4), (2, 'failed', 0)) v(a, s, o) WHERE id % 2 = 0)
+SELECT id, coalesce((SELECT arg_min(new_status, o) FROM c WHERE c.id = j.id AND c.attempts = j.attempts AND j.status = 'running' AND new_status <> 'running'), status) AS status FROM j""")
 def fenced_update(t):
+    """Stale, repeated and late changes of every second job: of its first attempt, three of its second, one of its third."""
     jobs = _jobs(t)
-    return W.fenced_update(jobs, jobs.where("id % 2 = 0").select("id", F.lit(1).alias("attempts"), F.lit("succeeded").alias("new_status"))).select("id", "status")
+    lines = [(0, "failed", 1), (1, "running", 2), (1, "succeeded", 3), (1, "failed", 4), (2, "failed", 0)]
+    one = F.array(*[F.struct(F.lit(a).alias("attempts"), F.lit(s).alias("new_status"), F.lit(o).alias("o")) for a, s, o in lines])
+    changes = jobs.where("id % 2 = 0").select("id", F.explode(one).alias("c")).select("id", "c.*")
+    return W.fenced_update(jobs, changes, order="o").select("id", "status")
 
 
 FOLD = "CASE event_type WHEN 'view' THEN 'started' WHEN 'error' THEN 'failed' ELSE 'completed' END"
 
 
-@query(f"""WITH e AS (SELECT user_id AS run, event_id % 7 AS call, {SEQ} AS seq, {FOLD} AS kind, ts, event_type FROM events)
-SELECT run, call, coalesce(arg_max(kind, seq) FILTER (kind <> 'started'), 'running') AS status, count(*) AS n_events,
-min(ts) FILTER (kind = 'started') AS started_at, arg_max(ts, seq) FILTER (kind <> 'started') AS finished_at, arg_max(event_type, seq) AS tool_name,
-CAST(round((epoch_us(arg_max(ts, seq) FILTER (kind <> 'started')) - epoch_us(min(ts) FILTER (kind = 'started'))) / 1000.0) AS BIGINT) AS latency_ms FROM e GROUP BY 1, 2""")
+CALLS = f"""e AS (SELECT user_id AS run, nullif(event_id % 7, 6) AS call, {SEQ} AS seq, {FOLD} AS kind, ts, event_type, CAST(event_id % 3 AS INTEGER) AS iteration FROM events),
+c AS (SELECT run, call, CASE WHEN arg_max(kind, seq) = 'started' THEN 'running' ELSE arg_max(kind, seq) END AS status, count(*) AS n_events,
+arg_min(ts, seq) AS started_at, min(seq) AS first, arg_max(ts, seq) FILTER (kind <> 'started') AS finished_at, max(seq) FILTER (kind <> 'started') AS last,
+arg_min(event_type, seq) AS tool_name, greatest(arg_min(iteration, seq), 1) AS iteration_no FROM e WHERE call IS NOT NULL GROUP BY 1, 2)"""
+LATENCY = "CASE WHEN last > first THEN CAST(round((epoch_us(finished_at) - epoch_us(started_at)) / 1000.0) AS BIGINT) END AS latency_ms"
+
+
+def _calls(events: DataFrame) -> DataFrame:
+    """Events as tool events; those of some calls have no call, some iterations are 0."""
+    return events.selectExpr("user_id as run", "nullif(event_id % 7, 6) as call", f"{SEQ} as seq", f"{FOLD} as kind", "ts", "event_type", "event_id % 3 as iteration")
+
+
+@query(f"""WITH {CALLS} SELECT run, call, status, n_events, started_at, finished_at, tool_name, iteration_no, {LATENCY} FROM c""")
 def tool_call_fold(t):
-    log = t.events.selectExpr("user_id as run", "event_id % 7 as call", f"{SEQ} as seq", f"{FOLD} as kind", "ts", "event_type")
-    return W.fold_calls(log, "run", "call", "seq", "kind", "ts", "event_type").select("run", "call", "status", "n_events", "started_at", "finished_at", "tool_name", "latency_ms")
+    return W.fold_calls(_calls(t.events), "run", "call", "seq", "kind", "ts", "event_type", "iteration")
 
 
 @query(f"""SELECT user_id, CAST(round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000.0) AS BIGINT) AS latency_ms FROM events GROUP BY 1""")
@@ -521,19 +535,26 @@ def usage_hourly_stream(t):
     return usage.added(t.spark.read.parquet(f"{folder}/parts"), keys, sums).withColumn("duration", F.round("duration", 4))
 
 
-RELAY_STATE = """CASE WHEN role = 'assistant' THEN 'done' WHEN role = 'user' THEN 'data' WHEN turn % 5 = 4 THEN 'bad' ELSE 'skip' END"""
+RELAY_STATE = """CASE WHEN role = 'assistant' AND turn % 4 = 1 THEN 'done' WHEN role = 'user' AND (conv_id + turn) % 8 = 6 THEN 'bad' WHEN role = 'user' THEN 'data' ELSE 'skip' END"""
 
 
 @query(f"""WITH l AS (SELECT conv_id, turn, length(text) AS n, {RELAY_STATE} AS kind FROM conversations),
-o AS (SELECT *, coalesce(bool_or(kind IN ('done', 'bad')) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM l),
+o AS (SELECT *, coalesce(bool_or(kind = 'bad') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM l),
 r AS (SELECT conv_id, bool_or(kind = 'done') AS done, bool_or(kind = 'bad') AS bad, arg_max(n, turn) FILTER (kind = 'data') AS total_tokens FROM o WHERE NOT over GROUP BY 1)
-SELECT conv_id, done, total_tokens, CASE WHEN done THEN 'succeeded' ELSE 'failed' END AS status,
-CASE WHEN bad THEN 'dependency_error' WHEN NOT done THEN 'incomplete' END AS error FROM r""")
+SELECT conv_id, done, total_tokens, CASE WHEN done AND NOT bad THEN 'succeeded' ELSE 'failed' END AS status,
+CASE WHEN bad OR NOT done THEN 'dependency_error' END AS error FROM r""")
 def relay_fold(t):
-    """Conversations as captured token streams: user turns carry usage, an assistant turn is the end marker, others are comments or junk."""
-    chunk = F.concat(F.lit('data: {"object":"chat.completion.chunk","choices":[],"usage":{"total_tokens":'), F.length("text").cast("string"), F.lit("}}"))
-    line = F.when(F.col("role") == "assistant", F.lit("data: [DONE]")).when(F.col("role") == "user", chunk) \
-        .when(F.col("turn") % 5 == 4, F.lit("data: {}")).otherwise(F.lit(": waiting"))
+    """Conversations as captured token streams: user turns carry usage, some assistant turns are end markers, other lines comments. Of the
+    user turns an eighth breaks the contract, in one of six ways, before or behind the marker."""
+    said = F.concat(F.lit(',"usage":{"total_tokens":'), F.length("text").cast("string"), F.lit("}}"))
+    start = F.lit('data: {"object":"chat.completion.chunk","choices":')
+    good = F.concat(start, F.when(F.col("turn") % 4 == 0, '[{"index":0,"delta":{"content":"x"}}]').otherwise("[null, {}]"), said)
+    ways = [F.concat(start, F.lit("[5]"), said), F.concat(start, F.lit('[{"delta":[]}]'), said), F.concat(start, F.lit('[]'), F.lit(',"usage":3}')), F.lit("data: {}"), F.lit("event: x"),
+            F.concat(start, F.lit("[]"), said, F.lit("}"))]
+    bad = F.element_at(F.array(*ways), ((F.col("conv_id") % len(ways)) + 1).cast("int"))
+    user = F.col("role") == "user"
+    line = F.when((F.col("role") == "assistant") & (F.col("turn") % 4 == 1), F.lit("data: [DONE]")) \
+        .when(user & ((F.col("conv_id") + F.col("turn")) % 8 == 6), bad).when(user, good).otherwise(F.lit(": waiting"))
     return usage.relay_summary(t.conversations.select("conv_id", "turn", line.alias("line")), "conv_id", "turn", "line")
 
 
@@ -593,18 +614,24 @@ def job_progress(t):
 
 INGEST = """jobs AS (SELECT o_orderkey AS id, o_orderkey AS document_id, CASE WHEN o_orderkey % 5 = 0 THEN 'queued' ELSE 'running' END AS status, CAST(o_orderkey % 3 AS INTEGER) AS attempts FROM orders),
 docs AS (SELECT o_orderkey AS id, 'parsing' AS status, CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate END AS deleted_at FROM orders),
-ends AS (SELECT o_orderkey AS job_id, CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE o_orderkey END AS document_id, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 1 END AS expected FROM orders WHERE o_orderkey % 2 = 0),
-fit AS (SELECT job_id FROM ends e JOIN jobs j ON j.id = e.job_id AND j.document_id = e.document_id AND (expected IS NULL OR (attempts = expected AND status = 'running')))"""
+ends AS (SELECT o_orderkey AS job_id, CASE WHEN o_orderkey % 11 = 0 AND o > 1 THEN -1 ELSE o_orderkey END AS document_id, x AS expected, o, 'b' || o AS parser_backend
+FROM orders, (VALUES (0, 0, 9), (1, 1, 9), (1, 2, 2), (2, 3, 9), (NULL, 4, 3), (2, 5, 9), (NULL, 6, 4)) v(x, o, m) WHERE o_orderkey % 2 = 0 AND (m = 9 OR o_orderkey % m = 0)),
+fit AS (SELECT job_id, coalesce(arg_max(parser_backend, o) FILTER (expected IS NULL), arg_min(parser_backend, o) FILTER (expected IS NOT NULL)) AS backend FROM ends e
+JOIN jobs j ON j.id = e.job_id AND j.document_id = e.document_id AND (expected IS NULL OR (attempts = expected AND status = 'running')) GROUP BY 1)"""
 
 
 def _ingest(t):
+    """Every second job has several ends: of earlier and of its own attempt, of another document, repeated ones, and some that expect nothing."""
     key = F.col("o_orderkey")
     jobs = t.orders.select(key.alias("id"), key.alias("document_id"), F.when(key % 5 == 0, "queued").otherwise("running").alias("status"), (key % 3).cast("int").alias("attempts"),
                            F.lit(10).alias("progress_percent"), F.lit("E1").alias("error_code"))
     docs = t.orders.select(key.alias("id"), F.lit("parsing").alias("status"), F.when(key % 7 == 0, F.col("o_orderdate")).alias("deleted_at"), F.lit("E1").alias("error_code"), F.lit("old").alias("parser_backend"))
-    ends = t.orders.where("o_orderkey % 2 = 0").select(key.alias("job_id"), F.when(key % 11 == 0, F.lit(-1)).otherwise(key).alias("document_id"),
-                                                      F.when(key % 4 != 0, 1).alias("expected_attempts"), F.lit(NOW).cast("timestamp_ntz").alias("at"),
-                                                      F.lit("docx").alias("parser_backend"), F.lit("bad").alias("code"), F.lit("why").alias("message"))
+    lines = [(0, 0, 9), (1, 1, 9), (1, 2, 2), (2, 3, 9), (None, 4, 3), (2, 5, 9), (None, 6, 4)]
+    one = F.array(*[F.struct(F.lit(x).cast("int").alias("x"), F.lit(o).alias("o"), F.lit(m).alias("m")) for x, o, m in lines])
+    ends = t.orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.explode(one).alias("v")).select("o_orderkey", "v.*").where("m = 9 OR o_orderkey % m = 0")
+    name = F.concat(F.lit("b"), F.col("o").cast("string"))
+    ends = ends.select(key.alias("job_id"), F.when((key % 11 == 0) & (F.col("o") > 1), F.lit(-1)).otherwise(key).alias("document_id"), F.col("x").alias("expected_attempts"),
+                       (F.lit(NOW).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("o"))).alias("at"), name.alias("parser_backend"), name.alias("code"), F.lit("why").alias("message"))
     chunk = lambda rows, text: rows.select(F.col("l_orderkey").alias("document_id"), F.col("l_linenumber").alias("chunk_index"), F.lit(text).alias("content"))
     return jobs, docs, ends, chunk(t.lineitem, "old"), chunk(t.lineitem.where("l_linenumber <= 2"), "new")
 
@@ -622,7 +649,7 @@ def complete_jobs(t):
 
 
 @query(f"""WITH {INGEST} SELECT id, CASE WHEN job_id IS NOT NULL AND deleted_at IS NULL THEN 'ready' ELSE status END AS status,
-CASE WHEN job_id IS NOT NULL AND deleted_at IS NULL THEN 'docx' ELSE 'old' END AS parser_backend FROM docs LEFT JOIN fit ON id = job_id""")
+CASE WHEN job_id IS NOT NULL AND deleted_at IS NULL THEN backend ELSE 'old' END AS parser_backend FROM docs LEFT JOIN fit ON id = job_id""")
 def complete_documents(t):
     return _completed(t)[1].select("id", "status", "parser_backend")
 
@@ -634,14 +661,14 @@ def complete_chunks(t):
     return _completed(t)[2]
 
 
-@query(f"""WITH {INGEST} SELECT id, CASE WHEN job_id IS NOT NULL THEN 'failed' ELSE status END AS status, CASE WHEN job_id IS NOT NULL THEN 'bad' ELSE 'E1' END AS error_code FROM jobs LEFT JOIN fit ON id = job_id""")
+@query(f"""WITH {INGEST} SELECT id, CASE WHEN job_id IS NOT NULL THEN 'failed' ELSE status END AS status, CASE WHEN job_id IS NOT NULL THEN backend ELSE 'E1' END AS error_code FROM jobs LEFT JOIN fit ON id = job_id""")
 def fail_jobs(t):
     jobs, docs, ends, *_ = _ingest(t)
     return W.fail(jobs, docs, ends)[0].select("id", "status", "error_code")
 
 
-@query(f"""WITH {INGEST}, hit AS (SELECT id, job_id IS NOT NULL AND deleted_at IS NULL AS now, status FROM docs LEFT JOIN fit ON id = job_id)
-SELECT id, CASE WHEN now THEN 'failed' ELSE status END AS status, CASE WHEN now THEN 'bad' ELSE 'E1' END AS error_code FROM hit""")
+@query(f"""WITH {INGEST}, hit AS (SELECT id, job_id IS NOT NULL AND deleted_at IS NULL AS now, status, backend FROM docs LEFT JOIN fit ON id = job_id)
+SELECT id, CASE WHEN now THEN 'failed' ELSE status END AS status, CASE WHEN now THEN backend ELSE 'E1' END AS error_code FROM hit""")
 def fail_documents(t):
     jobs, docs, ends, *_ = _ingest(t)
     return W.fail(jobs, docs, ends)[1].select("id", "status", "error_code")
@@ -709,18 +736,21 @@ def iteration_marks(t):
     return W.iteration_marks(runs, t.lineitem.select(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("iteration_no")))
 
 
-@query("""WITH s AS (SELECT p_partkey AS id, p_name AS title, p_type AS content, CASE p_size % 3 WHEN 0 THEN 'ai' WHEN 1 THEN 'manual' ELSE 'mixed' END AS src, p_partkey % 5 AS m FROM part)
-SELECT id, CASE WHEN m IN (1, 2) THEN 'T' ELSE title END AS title, CASE WHEN m = 1 THEN 'C' ELSE content END AS content, CAST(CASE WHEN m IN (1, 3) THEN 2 ELSE 1 END AS INTEGER) AS version,
-m IN (1, 2, 3) AS manual_edited, CASE WHEN m IN (1, 3) THEN CASE WHEN src = 'ai' THEN 'mixed' ELSE 'manual' END ELSE src END AS content_source FROM s""")
+@query("""WITH s AS (SELECT p_partkey AS id, p_name AS title, p_type AS content, CASE p_size % 3 WHEN 0 THEN 'ai' WHEN 1 THEN 'manual' ELSE 'mixed' END AS src, p_partkey % 5 AS m, p_partkey % 4 AS k FROM part),
+n AS (SELECT *, CASE WHEN m IN (1, 3) THEN 1 ELSE 0 END + CASE WHEN k = 0 THEN 1 ELSE 0 END AS n FROM s)
+SELECT id, CASE WHEN m IN (1, 2) THEN 'T' ELSE title END AS title, CASE WHEN k = 0 THEN 'D' WHEN m = 1 THEN 'C' ELSE content END AS content, CAST(1 + n AS INTEGER) AS version,
+CASE WHEN k = 1 THEN false ELSE m IN (1, 2, 3) OR k = 0 END AS manual_edited, CASE WHEN n = 0 THEN src WHEN n = 1 AND src = 'ai' THEN 'mixed' ELSE 'manual' END AS content_source FROM n""")
 def section_save(t):
-    """Edits of title and content, of the title alone, of tables alone with a refused flag, and none."""
+    """Edits of title and content, of the title alone, of tables alone with a refused flag, and none; then a second one of content, of the flag alone, or none."""
     key, m, none = F.col("p_partkey"), F.col("p_partkey") % 5, F.lit(None).cast("string")
     source = F.when(F.col("p_size") % 3 == 0, "ai").when(F.col("p_size") % 3 == 1, "manual").otherwise("mixed")
     sections = t.part.select(key.alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("content"), none.alias("tables"), F.lit(1).alias("version"),
                              F.lit(False).alias("manual_edited"), source.alias("content_source"), F.lit(NOW).cast("timestamp_ntz").alias("updated_at"))
     edits = t.part.where(m.isin(1, 2, 3)).select(key.alias("id"), F.when(m.isin(1, 2), "T").alias("title"), F.when(m == 1, "C").alias("content"), F.when(m == 3, "[]").alias("tables"),
-                                                 F.when(m == 2, True).when(m == 3, False).alias("manual_edited"))
-    return W.save_sections(sections, edits, F.lit(NOW).cast("timestamp_ntz")).select("id", "title", "content", "version", "manual_edited", "content_source")
+                                                 F.when(m == 2, True).when(m == 3, False).alias("manual_edited"), F.lit(1).alias("o"))
+    again = t.part.where(key % 4 < 2).select(key.alias("id"), none.alias("title"), F.when(key % 4 == 0, "D").alias("content"), none.alias("tables"),
+                                             F.when(key % 4 == 1, False).alias("manual_edited"), F.lit(2).alias("o"))
+    return W.save_sections(sections, edits.union(again), F.lit(NOW).cast("timestamp_ntz"), order="o").select("id", "title", "content", "version", "manual_edited", "content_source")
 
 
 @query("""WITH x AS (SELECT l_orderkey, max(l_shipdate) AS last_at, arg_max(l_linenumber, l_shipdate * 1 + INTERVAL 1 MICROSECOND * l_linenumber) AS f FROM (SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem) GROUP BY 1)
@@ -1015,11 +1045,115 @@ def outline_groups(t):
     return Tr.renumber(t.customer.select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("node"), F.lit(None).cast("long").alias("parent"), F.col("c_custkey").alias("position")), "g")
 
 
+# --- streams with state: the events arrive in four parts by day, and each stream stops and starts again between them -------------------------------
+
+PARTS = 4
+
+
+def _arriving(t, rows: DataFrame, mode: str, stream) -> str:
+    """Runs stream(readStream of rows) into the folder once for each part of the rows, from its checkpoint; the folder."""
+    folder = usage_folder(t.spark)
+    rows = rows.withColumn("part", F.floor((F.dayofmonth("ts") - 1) / 8))
+    with stateful.state_on_disk(t.spark):
+        for part in range(PARTS):
+            rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+            source = t.spark.readStream.schema(rows.drop("part").schema).parquet(f"{folder}/in")
+            stream(source).writeStream.option("checkpointLocation", f"{folder}/log").outputMode(mode).foreachBatch(usage.replace_batches(f"{folder}/out")) \
+                .trigger(availableNow=True).start().awaitTermination()
+    return f"{folder}/out"
+
+
 @query(f"SELECT user_id, event_id, CAST({SEQ} AS BIGINT) AS seq FROM events")
 def sequence_stream(t):
-    """Events stamped with their place in their run, batch by batch, in a table in the shared folder."""
+    """Events stamped with their place in their run; the last number of each run is all the state."""
+    out = _arriving(t, t.events, "append", lambda log: stateful.stamped(log, "user_id", ["ts", "event_id"]))
+    return t.spark.read.parquet(out).select("user_id", "event_id", "seq")
+
+
+@query(f"""WITH {CALLS} SELECT run, call, status, started_at, finished_at, tool_name, iteration_no, {LATENCY} FROM c""")
+def tool_call_stream(t):
+    """The tool calls of `tool_call_fold`, kept up to date event by event; the newest row of each counts."""
+    log = _calls(t.events)
+    out = _arriving(t, log, "update", lambda log: stateful.call_rows(log, "run", "call", "seq", "kind", "ts", "event_type", "iteration"))
+    return stateful.newest(t.spark.read.parquet(out), "run", "call")
+
+
+@query("""WITH e AS (SELECT *, event_type = 'signup' AS asks FROM events)
+SELECT r.user_id AS run, CAST(r.event_id AS VARCHAR) AS request, e.event_id AS seq, CAST(e.event_id AS VARCHAR) AS id FROM e r JOIN e ON r.user_id = e.user_id AND r.asks AND NOT e.asks
+WHERE (e.ts, e.event_id) < (r.ts, r.event_id) AND e.event_id > r.event_id - 200 AND e.ts + INTERVAL 24 HOUR > r.ts""")
+def replay_stream(t):
+    """Sign-ups come back with a cursor and get the living events of their user behind it; all others are kept for a day."""
+    log = t.events.select("user_id", "event_id", "ts", F.when(F.col("event_type") == "signup", F.col("event_id") - 200).alias("after"))
+    out = _arriving(t, log, "append", lambda log: stateful.replayed(log, "user_id", "event_id", "event_id", "ts", "after"))
+    return t.spark.read.parquet(out).select("run", "request", "seq", "id")
+
+
+@query("""WITH b AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next, max(ts) OVER () AS mark FROM events)
+SELECT user_id AS job, ts + INTERVAL 12 HOUR AS stale_at FROM b WHERE event_type NOT IN ('error', 'purchase')
+AND CASE WHEN next IS NULL THEN epoch_ms(ts + INTERVAL 12 HOUR) < epoch_ms(mark) ELSE ts + INTERVAL 12 HOUR < next END""")
+def lease_stream(t):
+    """A user's events as a job's beats, errors and purchases as its ends: every lease of 12 hours that no beat went on with."""
+    out = _arriving(t, t.events.select("user_id", "event_id", "event_type", "ts"), "append",
+                    lambda log: stateful.stale_leases(log, "user_id", "event_id", "event_type", "ts", ("error", "purchase"), 12 * 3600))
+    return t.spark.read.parquet(out).select("job", "stale_at")
+
+
+# --- chunks of chat streams: ten shapes of payloads, four of which break the contract -----------------------------------------------------------------
+
+CHUNK_SHAPES = [
+    ('{"object":"chat.completion.chunk","id":"i","x":1,"choices":[],"usage":{"total_tokens":@,"secret":2}}',
+     '{"choices":[],"id":"i","object":"chat.completion.chunk","usage":{"total_tokens":@}}'),
+    ('{"object":"chat.completion.chunk","choices":[{"index":0,"finish_reason":null,"logprobs":{},"delta":{"content":"c@","role":"assistant","tool":1}}]}',
+     '{"choices":[{"delta":{"content":"c@","role":"assistant"},"finish_reason":null,"index":0}],"object":"chat.completion.chunk"}'),
+    ('{"object":"chat.completion.chunk","choices":[{"index":1,"delta":{"tool_calls":[{"index":@,"id":"t","type":"function","function":{"name":"f","arguments":"{}","trace":1},"more":1},null]}}]}',
+     '{"choices":[{"delta":{"tool_calls":[{"function":{"arguments":"{}","name":"f"},"id":"t","index":@,"type":"function"},{}]},"index":1}],"object":"chat.completion.chunk"}'),
+    ('{"object":"chat.completion.chunk","created":@,"choices":[{"delta":null},{"delta":{"function_call":null,"refusal":"no"}},{"delta":{"function_call":{"name":"g","x":[]},"tool_calls":null}}]}',
+     '{"choices":[{"delta":{}},{"delta":{"function_call":{},"refusal":"no"}},{"delta":{"function_call":{"name":"g"},"tool_calls":[]}}],"created":@,"object":"chat.completion.chunk"}'),
+    ('{"object":"chat.completion.chunk","model":"m@","system_fingerprint":{"a":[@]},"choices":null,"usage":null}',
+     '{"choices":[],"model":"m@","object":"chat.completion.chunk","system_fingerprint":{"a":[@]},"usage":{}}'),
+    ('{"object":"chat.completion.chunk","choices":[{"delta":"@"}]}', None),
+    ('{"object":"chat.completion.chunk","choices":[{"delta":{"tool_calls":[@]}}]}', None),
+    ('{"object":"chat.completion.chunk","choices":[],"usage":[@]}', None),
+    ('{"object":"chat.completion.chunk","choices":[]} @', None),
+    ('{"object":"chat.completion","id":"@","choices":[]}', None),
+]
+SHAPE = "(conv_id + turn) % 10"
+
+
+def _case(column: int) -> str:
+    texts = [(i, shape[column]) for i, shape in enumerate(CHUNK_SHAPES) if shape[column] is not None]
+    return f"replace(CASE {SHAPE} " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in texts) + " END, '@', CAST(length(text) AS VARCHAR))"
+
+
+@query(f"SELECT conv_id, turn, {_case(1)} AS payload FROM conversations")
+def chunk_white_list(t):
+    """What of each turn's chunk may be handed on; the length of its text stands in it."""
+    return t.conversations.select("conv_id", "turn", S.clean_chunk(F.expr(_case(0).replace("VARCHAR", "STRING"))).alias("payload"))
+
+
+# --- approximate search ------------------------------------------------------------------------------------------------------------------------------
+
+def _index(t) -> str:
     folder = usage_folder(t.spark)
-    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
-    stream.writeStream.option("checkpointLocation", f"{folder}/log").foreachBatch(usage.stamp_batches(f"{folder}/events", "user_id", ["ts", "event_id"])) \
-        .trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(f"{folder}/events").select("user_id", "event_id", "seq")
+    ann.build(t.embeddings, folder, "vec_id", "embedding")
+    return folder
+
+
+def _asked(t) -> DataFrame:
+    return t.embeddings.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+
+@query(None)
+def ann_topk(t):
+    """The five nearest of every twentieth vector under a must-filter, out of the cells around it; a test measures the recall."""
+    return ann.batch_search(t.spark, _index(t), _asked(t), 5, where=F.col("label") != 3, id_col="vec_id", vector_col="embedding") \
+        .select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS BIGINT) AS rank FROM (SELECT q.vec_id AS query_id, p.vec_id AS vec_id,
+{DOT.format(a='q.embedding', b='p.embedding')} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {DOT.format(a='q.embedding', b='p.embedding')} DESC, p.vec_id) AS rank
+FROM embeddings q, embeddings p WHERE q.vec_id % 20 = 0 AND p.label <> 3) WHERE rank <= 5""")
+def ann_all_cells(t):
+    """The same index with every cell probed: no vector is lost in it, and its scores are exact."""
+    return ann.batch_search(t.spark, _index(t), _asked(t), 5, probes=ann.CELLS_MOST, where=F.col("label") != 3, id_col="vec_id", vector_col="embedding") \
+        .select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))

@@ -20,14 +20,6 @@ def hourly_usage_stream(events: DataFrame, lateness: str = "30 days") -> DataFra
         .select(F.col("w.start").cast("timestamp_ntz").alias("bucket_start"), "operation", "requests", "failures", "duration")
 
 
-def call_state_stream(events: DataFrame, lateness: str = "30 days") -> DataFrame:
-    """Started / ended marks of each (run, call), as a stateful aggregation; update mode gives changes."""
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    ended = F.col("kind").isin("completed", "failed")
-    return timed.groupBy("run", "call").agg(F.min(F.when(F.col("kind") == "started", F.col("ts"))).alias("started_at"),
-                                            F.max_by(F.when(ended, F.col("kind")), F.when(ended, F.col("seq"))).alias("end_kind"), F.count(F.lit(1)).alias("n_events"))
-
-
 def replace_batches(path: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink: each batch owns the partition with its number, and replaces it when it runs again."""
     def sink(batch: DataFrame, number: int) -> None:
@@ -45,7 +37,7 @@ def split_dead_letters(path: str, good: Callable[[DataFrame], DataFrame], perman
 
 def add_usage(path: str, keys: list[str], sums: list[str]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that adds each batch's rollup to a table: the parts of a batch are a partition of its own, so a
-    batch that runs again replaces what it added; `added` sums the parts, `compacted` folds them."""
+    batch that runs again replaces what it added; `added` sums the parts."""
     def sink(batch: DataFrame, number: int) -> None:
         batch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).write.mode("overwrite").parquet(f"{path}/batch={number}")
     return sink
@@ -61,23 +53,6 @@ def hourly_parts(events: DataFrame) -> DataFrame:
                          F.lit(1).cast("long").alias("requests"), (F.col("event_type") == "error").cast("long").alias("failures"), F.col("value").alias("duration"))
 
 
-def stamp_batches(path: str, run: str, order: list[str], seq: str = "seq") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that numbers the events of each run from 1 on, going on from the batches before this one."""
-    from pyspark.sql import Window
-
-    def sink(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("__n", F.row_number().over(Window.partitionBy(run).orderBy(*order)))
-        if number:
-            old = spark.read.parquet(path).where(F.col("batch") < number).groupBy(F.col(run).alias("__r")).agg(F.max(seq).alias("__top"))
-            new = new.join(old, F.col(run) == F.col("__r"), "left")
-        else:
-            new = new.withColumn("__top", F.lit(0))
-        new = new.withColumn(seq, (F.coalesce("__top", F.lit(0)) + F.col("__n")).cast("long")).drop("__r", "__top", "__n")
-        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
-    return sink
-
-
 def observed(df: DataFrame, name: str, **metrics) -> DataFrame:
     """df that reports the metrics under `name` to whoever listens, batch by batch; see `progress_listener`."""
     return df.observe(name, *[c.alias(k) for k, c in metrics.items()])
@@ -105,33 +80,36 @@ def progress_listener(report: Callable[[str, dict], None]):
 
 
 def relay_lines(lines: DataFrame, run: str, seq: str, line: str) -> DataFrame:
-    """Every line of a captured token stream up to its end: run, seq, kind ('skip', 'data', 'done', 'bad'), usage.
+    """Every line of a captured token stream up to its first bad one: run, seq, kind ('skip', 'data', 'done', 'bad'), usage, payload.
 
-    Blank lines and comments are skipped. A line that is not `data:`, holds no JSON object of the kind chat.completion.chunk
-    with a list of choices, or whose usage is no object, is bad. The first line that is done or bad ends its run.
+    Blank lines and comments are skipped. A line that is not `data:`, or holds no valid chunk (`sanitize.clean_chunk`), is bad and ends
+    its run; an end marker does not, what follows is read too. payload: what may be handed on of a data line.
     """
     from pyspark.sql import Window
 
-    from ..functions.text import json_is_array, json_is_object, unicode_trim
+    from ..functions.sanitize import clean_chunk
+    from ..functions.text import unicode_trim
 
     text = unicode_trim(F.coalesce(F.col(line), F.lit("")))
     data = unicode_trim(F.regexp_replace(text, "^data:", ""))
-    usage = F.get_json_object(data, "$.usage")
-    good = json_is_object(data) & (F.get_json_object(data, "$.object") == "chat.completion.chunk") & json_is_array(F.get_json_object(data, "$.choices")) \
-        & (usage.isNull() | json_is_object(usage))
+    rows = lines.select(run, seq, text.alias("__text"), data.alias("__data"), F.when(text.startswith("data:") & (data != "[DONE]"), clean_chunk(data)).alias("payload"))
+    text, data = F.col("__text"), F.col("__data")
     kind = F.when((text == "") | text.startswith(":"), "skip").when(~text.startswith("data:"), "bad").when(data == "[DONE]", "done") \
-        .when(F.coalesce(good, F.lit(False)), "data").otherwise("bad")
-    rows = lines.select(run, seq, kind.alias("kind"), F.get_json_object(data, "$.usage.total_tokens").cast("long").alias("usage"))
+        .when(F.col("payload").isNotNull(), "data").otherwise("bad")
+    rows = rows.select(run, seq, kind.alias("kind"), F.get_json_object("payload", "$.usage.total_tokens").cast("long").alias("usage"), "payload")
     before = Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    ended = F.coalesce(F.max(F.col("kind").isin("done", "bad")).over(before), F.lit(False))
+    ended = F.coalesce(F.max(F.col("kind") == "bad").over(before), F.lit(False))
     return rows.withColumn("__over", ended).where("NOT __over").drop("__over")
 
 
 def relay_summary(lines: DataFrame, run: str, seq: str, line: str) -> DataFrame:
-    """A row a run, whatever its lines hold: done (it reached its marker), total_tokens (the last usage), status, error."""
+    """A row a run, whatever its lines hold: done (it reached its marker), total_tokens (the last usage), status, error.
+
+    A run succeeds with a marker and without a bad line, before or behind it; it fails with `dependency_error` otherwise.
+    """
     rows = relay_lines(lines, run, seq, line)
     data = (F.col("kind") == "data") & F.col("usage").isNotNull()
     out = rows.groupBy(run).agg(F.bool_or(F.col("kind") == "done").alias("done"), F.bool_or(F.col("kind") == "bad").alias("bad"),
                                 F.max_by(F.when(data, F.col("usage")), F.when(data, F.col(seq))).alias("total_tokens"))
-    return out.withColumn("status", F.when(F.col("done"), "succeeded").otherwise("failed")) \
-        .withColumn("error", F.when(F.col("bad"), "dependency_error").when(~F.col("done"), "incomplete")).drop("bad")
+    good = F.col("done") & ~F.col("bad")
+    return out.withColumn("status", F.when(good, "succeeded").otherwise("failed")).withColumn("error", F.when(~good, "dependency_error")).drop("bad")

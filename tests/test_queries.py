@@ -33,7 +33,7 @@ def tables():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, tables, name):
     got = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in got.collect()]
