@@ -20,7 +20,8 @@ from __future__ import annotations
 import json
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobs import common
@@ -46,28 +47,25 @@ def strategy_of(kb: Column, strategies: dict) -> Column:
 
 
 def read_documents(rows: DataFrame, conf: dict) -> DataFrame:
-    """The newest row of each document in a batch, by the time and name of its file: document_id, kb, text, file, title, checksum, n_chars, strategy, error_code.
+    """document_id, kb, text, file, row, changed, strategy, checksum, n_chars, error_code of rows as the stream has them.
 
     The checksum covers text, knowledge base and strategy: what the chunks depend on.
     """
-    text = F.coalesce("text", F.lit(""))
     kb = F.coalesce(F.nullif(F.trim("source"), F.lit("")), F.lit("unassigned"))
-    rows = rows.select(F.col("doc_id").alias("document_id"), kb.alias("kb"), text.alias("text"), "file", "changed")
+    rows = rows.select(F.col("doc_id").alias("document_id"), kb.alias("kb"), F.coalesce("text", F.lit("")).alias("text"), "file", "row", "changed")
     rows = rows.withColumn("strategy", strategy_of(F.col("kb"), conf["strategies"]))
     own = F.concat_ws("\0", "text", "kb", F.to_json("strategy"), F.lit(str(conf["dimensions"])))
     rows = rows.withColumn("checksum", F.sha2(own.cast("binary"), 256)).withColumn("n_chars", F.length("text").cast("long"))
-    rows = rows.withColumn("error_code", F.when(F.col("document_id").isNull(), "missing_id").when(F.col("n_chars") > conf["most_chars"], "too_large")
-                           .when(T.unicode_trim(F.col("text")) == "", "empty_text"))
-    named = rows.where("error_code IS NULL OR error_code <> 'missing_id'")
-    first = named.groupBy("document_id").agg(F.max(F.struct("changed", "file", "checksum", "kb", "text", "n_chars", "strategy", "error_code")).alias("r"))
-    return first.select("document_id", "r.*").unionByName(rows.where("error_code = 'missing_id'"))
+    return rows.withColumn("error_code", F.when(F.col("n_chars") > conf["most_chars"], "too_large").when(T.unicode_trim(F.col("text")) == "", "empty_text"))
 
 
-def changed_only(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose checksum is not that of the newest row of the document so far."""
+def passed_over(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """file, row of what changes nothing: a document's rows but its newest, by the time of the file, its name and the place in it, and
+    that one too if its checksum is what the document's newest entry so far has. Texts are read for their checksum, and never shuffled."""
+    newest = Window.partitionBy("document_id").orderBy(F.desc("changed"), F.desc("file"), F.desc("row"))
+    narrow = rows.select("document_id", "file", "row", "changed", "checksum").withColumn("n", F.row_number().over(newest))
     last = known.groupBy(F.col("document_id").alias("known_id")).agg(F.max_by("checksum", "batch").alias("known_sum"))
-    same = (F.col("document_id") == F.col("known_id")) & (F.col("checksum") == F.col("known_sum"))
-    return rows.join(last, same, "left_anti")
+    return narrow.join(last, F.col("document_id") == F.col("known_id"), "left").where((F.col("n") > 1) | (F.col("checksum") == F.col("known_sum"))).select("file", "row")
 
 
 def chunk_and_embed(docs: DataFrame, dimensions: int) -> DataFrame:
@@ -80,37 +78,43 @@ def chunk_and_embed(docs: DataFrame, dimensions: int) -> DataFrame:
 
 def _table(spark: SparkSession, path: str, schema: str, *parts: str) -> DataFrame:
     """A table below the output; without a row where no batch has written it yet."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     whole = ", ".join([schema, *parts])
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], whole)
-    return spark.read.schema(whole).parquet(path)
 
 
 def ingest_batch(batch: DataFrame, number: int, output: str, conf: dict) -> int:
-    """One batch of new rows, written under its number; nothing it reads is of this batch or a later one. Returns how many rows came."""
+    """One batch of new rows, written under its number; nothing it reads is of this batch or a later one. Returns how many rows came.
+
+    Few rows are passed over as a rule: joined by their place in a file, they are broadcast by their size and texts stay where they are.
+    """
     spark = batch.sparkSession
     known = _table(spark, f"{output}/documents", DOCUMENTS, "batch int").where(F.col("batch") < number)
-    rows = read_documents(batch, conf).persist()
+    rows = read_documents(batch.where("doc_id IS NOT NULL"), conf)
+    over = passed_over(rows, known).persist()
     try:
-        new = changed_only(rows.where("document_id IS NOT NULL"), known).persist()
-        good = new.where("error_code IS NULL")
-        chunk_and_embed(good, conf["dimensions"]).write.mode("overwrite").partitionBy("kb").parquet(f"{output}/chunks/batch={number}")
-        rows.where("document_id IS NULL").select("document_id", "file", "error_code").write.mode("overwrite").parquet(f"{output}/rejected/batch={number}")
+        new = rows.join(over, ["file", "row"], "left_anti")
+        chunks = chunk_and_embed(new.where("error_code IS NULL"), conf["dimensions"])
+        chunks.hint("rebalance", "kb").write.mode("overwrite").partitionBy("kb").parquet(f"{output}/chunks/batch={number}")
+        rejected = batch.where("doc_id IS NULL").select(F.col("doc_id").alias("document_id"), "file", F.lit("missing_id").alias("error_code"))
+        rejected.write.mode("overwrite").parquet(f"{output}/rejected/batch={number}")
         made = _table(spark, f"{output}/chunks", CHUNKS, "batch int", "kb string").where(F.col("batch") == number)
         counts = made.groupBy(F.col("document_id").alias("own")).agg(F.count(F.lit(1)).alias("n_chunks"))
-        entries = new.join(counts, F.col("document_id") == F.col("own"), "left").select(
-            "document_id", "kb", T.title_of(F.col("text")).alias("title"), "checksum", "n_chars", F.coalesce("n_chunks", F.lit(0)).cast("long").alias("n_chunks"),
+        entries = new.withColumn("title", T.title_of(F.col("text"))).drop("text").join(counts, F.col("document_id") == F.col("own"), "left").select(
+            "document_id", "kb", "title", "checksum", "n_chars", F.coalesce("n_chunks", F.lit(0)).cast("long").alias("n_chunks"),
             F.when(F.col("error_code").isNull(), "ready").otherwise("failed").alias("status"), "error_code")
         entries.write.mode("overwrite").parquet(f"{output}/documents/batch={number}")
-        wrote = _table(spark, f"{output}/documents", DOCUMENTS, "batch int").where(F.col("batch") == number)
-        n = wrote.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "failed").alias("failed"), F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("chunks")).first()
-        came = batch.count()
-        LOG.info("batch %d: read %d rows, wrote %d documents (%d failed) with %d chunks to %s", number, came, n["n"], n["failed"], n["chunks"], output)
-        new.unpersist()
-        return came
     finally:
-        rows.unpersist()
+        over.unpersist()
+    wrote = _table(spark, f"{output}/documents", DOCUMENTS, "batch int").where(F.col("batch") == number)
+    n = wrote.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "failed").alias("failed"), F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("chunks")).first()
+    came = batch.count()
+    LOG.info("batch %d: read %d rows, wrote %d documents (%d failed) with %d chunks to %s", number, came, n["n"], n["failed"], n["chunks"], output)
+    return came
 
 
 def documents_now(spark: SparkSession, output: str) -> DataFrame:
@@ -131,7 +135,8 @@ def run(spark: SparkSession, documents: str, output: str, checkpoint: str, confi
     """Takes the files below `documents` that no earlier run with this checkpoint has taken. Returns how many batches and rows were read."""
     conf = common.settings(config, DEFAULTS)
     source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", conf["files_per_batch"]).option("recursiveFileLookup", "true").parquet(documents)
-    source = source.select("doc_id", "text", "source", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("changed"))
+    source = source.select("doc_id", "text", "source", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+                           F.col("_metadata.file_modification_time").alias("changed"))
     came: list[int] = []
     stream = source.writeStream.foreachBatch(lambda batch, number: came.append(ingest_batch(batch, number, output, conf))) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -51,20 +51,20 @@ def test_ingestion_takes_only_what_is_new(spark, tmp_path, caplog):
     assert state(spark, base) == (docs, chunks)
 
     # A text unchanged, one shortened, one mended, one voided, one new and twice in a batch: the later file counts.
-    write(spark, [(1, "# One\nfirst text", "a"), (2, "w", "b"), (3, "now it reads", "a"), (6, "early", "a")], files)
+    write(spark, [(1, "# One\nfirst text", "a"), (2, "w", "b"), (3, "now it reads", "a"), (3, "now it reads", "a"), (6, "early", "a")], files)
     write(spark, [(6, "late", "a"), (4, " ", None)], files)
-    assert ingest_documents.run(spark, files, base, log, conf)["rows"] == 6
+    assert ingest_documents.run(spark, files, base, log, conf)["rows"] == 7
     docs, chunks = state(spark, base)
     assert docs == {1: ("ready", None, 1, 0), 2: ("ready", None, 1, 1), 3: ("ready", None, 1, 1), 4: ("failed", "empty_text", 0, 1), 5: ("failed", "empty_text", 0, 0), 6: ("ready", None, 1, 1)}
     assert chunks == [(1, "a", 0, "# One\nfirst text"), (2, "b", 0, "w"), (3, "a", 0, "now it reads"), (6, "a", 0, "late")]
     titles = {r["document_id"]: r["title"] for r in ingest_documents.documents_now(spark, base).collect()}
     assert titles[1] == "One"
-    assert "read 6 rows in 1 batches" in caplog.text and "batch 1: read 6 rows, wrote 4 documents (1 failed) with 3 chunks" in caplog.text
+    assert "read 7 rows in 1 batches" in caplog.text and "batch 1: read 7 rows, wrote 4 documents (1 failed) with 3 chunks" in caplog.text
 
 
 def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
     base = f"{tmp_path}/base"
-    batch = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"file": F.lit("f"), "changed": F.lit("2024-01-01").cast("timestamp")})
+    batch = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"file": F.lit("f"), "row": F.monotonically_increasing_id(), "changed": F.lit("2024-01-01").cast("timestamp")})
     conf = ingest_documents.DEFAULTS
     ingest_documents.ingest_batch(batch([(1, "one", "a"), (2, "two", "a")]), 0, base, conf)
     once = state(spark, base)
