@@ -56,10 +56,36 @@ def chunk_texts(text: Column, size: int, overlap: int) -> Column:
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, overlap: int = 200) -> DataFrame:
-    """id_col, chunk_index (after blanks are dropped), content, token_count, chunk_type, metadata; texts without any give none."""
+    """id_col, chunk_index (after blanks are dropped), content, token_count, chunk_type, metadata (empty); texts without any give none."""
     rows = docs.select(id_col, F.posexplode(chunk_texts(F.col(text_col), size, overlap)).alias("chunk_index", "content"))
-    index = F.col("chunk_index").cast("string")
-    return rows.withColumns({"token_count": token_estimate(F.col("content")), "chunk_type": F.lit("text"), "metadata": F.create_map(F.lit("chunk_index"), index)})
+    return rows.withColumns({"token_count": token_estimate(F.col("content")), "chunk_type": F.lit("text"), "metadata": F.create_map().cast("map<string,string>")})
+
+
+def _tokens(text_col: str) -> Column:
+    """The lower-cased words; a text without any is one itself."""
+    body = F.lower(F.col(text_col))
+    return F.when(F.size(words(body)) == 0, F.array(body)).otherwise(words(body))
+
+
+def _bucket(digest: Column, dimensions: int) -> Column:
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % dimensions).cast("int")
+
+
+def _is_odd(digest: Column) -> Column:
+    return F.substring(digest, 10, 1).isin(*"13579bdf")
+
+
+def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
+    """Sparse signed feature hashing: id_col (unique), bucket, weight (signed count), value (of the unit vector), a row for each bucket of a text.
+
+    A text's words are counted where they are read, as its rows follow one another; what moves is a row a text and bucket.
+    """
+    digest = F.substring(F.sha2(F.col("__w").cast("binary"), 256), 1, 10)
+    rows = docs.select(id_col, F.explode(_tokens(text_col)).alias("__w")).select(id_col, digest.alias("__h"))
+    sign = F.when(_is_odd(F.col("__h")), -1).otherwise(1).cast("long")
+    rows = rows.groupBy(id_col, _bucket(F.col("__h"), dimensions).alias("bucket")).agg(F.sum(sign).alias("weight")).where("weight <> 0")
+    squares = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col))
+    return rows.select(id_col, "bucket", "weight", (F.col("weight") / F.sqrt(squares)).alias("value"))
 
 
 def _folded(rows: DataFrame, text_col: str, dimensions: int) -> DataFrame:
@@ -67,12 +93,9 @@ def _folded(rows: DataFrame, text_col: str, dimensions: int) -> DataFrame:
 
     A text is folded in its own row: its buckets are sorted, and a run of one bucket is a weight. Nothing is shuffled.
     """
-    own, body = [F.col(c) for c in rows.columns], F.lower(F.col(text_col))
-    tokens = words(body)
-    tokens = F.when(F.size(tokens) == 0, F.array(body)).otherwise(tokens)
+    own = [F.col(c) for c in rows.columns]
     head = lambda w: F.substring(F.sha2(w.cast("binary"), 256), 1, 10)
-    odd = lambda h: F.substring(h, 10, 1).isin(*"13579bdf")
-    signed = F.transform(F.transform(tokens, head), lambda h: (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dimensions * 2 + odd(h).cast("long")).cast("int"))
+    signed = F.transform(F.transform(_tokens(text_col), head), lambda h: _bucket(h, dimensions) * 2 + _is_odd(h).cast("int"))
     rows = rows.select(*own, F.sort_array(signed).alias("__s")).withColumn("__n", F.size("__s"))
     # Where the place in the sorted row is the last of its bucket, the counts up to there, plus for one sign and minus for the other.
     ends = F.filter(F.sequence(F.lit(0), F.col("__n") - 1), lambda i: (i == F.col("__n") - 1) | (F.get("__s", i) != F.get("__s", i + 1)))
@@ -89,14 +112,6 @@ def _folded(rows: DataFrame, text_col: str, dimensions: int) -> DataFrame:
     return rows.withColumn("__norm", F.sqrt(F.aggregate("__v", F.lit(0).cast("long"), lambda a, x: a + x["weight"] * x["weight"])))
 
 
-def hash_embedding(docs: DataFrame, id_col: str, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    """Sparse signed feature hashing: id_col, bucket, weight (signed count), value (of the unit vector), a row for each bucket of a text."""
-    rows = _folded(docs.select(id_col, text_col), text_col, dimensions)
-    # Outer, since a plain explode has the optimizer push a filter on "__v" down, which copies the whole chain into its lambdas.
-    rows = rows.select(id_col, "__norm", F.explode_outer("__v").alias("x")).where("x IS NOT NULL")
-    return rows.select(id_col, "x.bucket", "x.weight", (F.col("x.weight") / F.col("__norm")).alias("value"))
-
-
 def hash_vectors(rows: DataFrame, text_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
     """rows with `buckets` (ascending) and `weights` (of the unit vector) of the text; a text whose counts all cancel out has none."""
     folded = _folded(rows, text_col, dimensions)

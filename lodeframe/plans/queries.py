@@ -299,9 +299,10 @@ w AS (SELECT doc_id, st, regexp_replace(body[st + 1:st + 1600], '^\\s+|\\s+$', '
 c AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY st) - 1 AS i, content FROM w WHERE content <> '')"""
 
 
-@query(CHUNKS + """ SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, sha256(content) AS content_sha256, CAST(greatest(1, length(content) // 4) AS INTEGER) AS token_count FROM c""")
+@query(CHUNKS + """ SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, sha256(content) AS content_sha256, CAST(greatest(1, length(content) // 4) AS INTEGER) AS token_count, 'text' AS chunk_type, '{}' AS metadata FROM c""")
 def chunk_fixed(t):
-    return K.chunks(t.documents, "doc_id", "text").select("doc_id", "chunk_index", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"), "token_count")
+    return K.chunks(t.documents, "doc_id", "text").select("doc_id", "chunk_index", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"), "token_count",
+                                                          "chunk_type", F.to_json("metadata").alias("metadata"))
 
 
 @query(CHUNKS + """ SELECT c.doc_id, source, CAST(i AS INTEGER) AS chunk_index FROM c JOIN documents USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""")
@@ -1098,6 +1099,23 @@ def lease_stream(t):
     return t.spark.read.parquet(out).select("job", "stale_at")
 
 
+@query("""SELECT CAST(floor((day(ts) - 1) / 8) AS BIGINT) AS batch, count(*) AS requests, count(*) FILTER (event_type = 'error') AS failures, max(event_id) AS last FROM events GROUP BY 1""")
+def batch_metrics(t):
+    """What a stream reports of each batch while it runs: the events arrive in four parts, and the stream starts again for each."""
+    folder, rows = usage_folder(t.spark), t.events.withColumn("part", F.floor((F.dayofmonth("ts") - 1) / 8))
+    seen = usage.BatchMetrics(f"seen_{uuid.uuid4().hex}", requests=F.count(F.lit(1)), failures=F.count_if(F.col("event_type") == "error"), last=F.max("event_id"))
+    t.spark.streams.addListener(seen)
+    try:
+        for part in range(PARTS):
+            rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+            source = t.spark.readStream.schema(t.events.schema).parquet(f"{folder}/in")
+            seen.observe(source).writeStream.option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start(f"{folder}/out", format="parquet").awaitTermination()
+        seen.wait()
+    finally:
+        t.spark.streams.removeListener(seen)
+    return seen.table(t.spark, "requests long, failures long, last long")
+
+
 # --- chunks of chat streams: ten shapes of payloads, four of which break the contract -----------------------------------------------------------------
 
 CHUNK_SHAPES = [

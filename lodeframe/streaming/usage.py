@@ -6,18 +6,12 @@ function of the batch number, so a batch that runs again replaces what it wrote.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-
-def hourly_usage_stream(events: DataFrame, lateness: str = "30 days") -> DataFrame:
-    """Usage by hour and operation. Late rows count up to `lateness`; a longer one keeps more state."""
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    return timed.groupBy(F.window("ts", "1 hour").alias("w"), F.col("event_type").alias("operation")).agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("event_type") == "error").alias("failures"), F.sum("value").alias("duration")) \
-        .select(F.col("w.start").cast("timestamp_ntz").alias("bucket_start"), "operation", "requests", "failures", "duration")
+from pyspark.sql.streaming import StreamingQueryListener
 
 
 def replace_batches(path: str) -> Callable[[DataFrame, int], None]:
@@ -53,30 +47,48 @@ def hourly_parts(events: DataFrame) -> DataFrame:
                          F.lit(1).cast("long").alias("requests"), (F.col("event_type") == "error").cast("long").alias("failures"), F.col("value").alias("duration"))
 
 
-def observed(df: DataFrame, name: str, **metrics) -> DataFrame:
-    """df that reports the metrics under `name` to whoever listens, batch by batch; see `progress_listener`."""
-    return df.observe(name, *[c.alias(k) for k, c in metrics.items()])
-
-
-def progress_listener(report: Callable[[str, dict], None]):
-    """A streaming listener that hands each batch's observed metrics to `report(name, values)`."""
-    from pyspark.sql.streaming import StreamingQueryListener
-
-    class Listener(StreamingQueryListener):
-        def onQueryStarted(self, event) -> None:
-            pass
-
-        def onQueryProgress(self, event) -> None:
-            for name, row in event.progress.observedMetrics.items():
-                report(name, row.asDict())
-
-        def onQueryIdle(self, event) -> None:
-            pass
-
-        def onQueryTerminated(self, event) -> None:
-            pass
-
-    return Listener()
+class BatchMetrics(StreamingQueryListener):
+    """Metrics of a stream's batches, one row a batch however often it is reported: `observe` the stream under the listener's name,
+    add the listener to the session, and ask for the `table` once the queries are over."""
+
+    def __init__(self, name: str, **metrics: Column) -> None:
+        self.name, self.metrics = name, metrics
+        self._rows: dict[tuple[str, int], dict] = {}
+        self._started, self._over = set(), set()
+        self._change = threading.Condition()
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.name, *[c.alias(k) for k, c in self.metrics.items()])
+
+    def onQueryStarted(self, event) -> None:
+        with self._change:
+            self._started.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None and event.progress.numInputRows:
+            with self._change:
+                self._rows[str(event.progress.id), event.progress.batchId] = found.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._over.add(str(event.runId))
+            self._change.notify_all()
+
+    def wait(self, seconds: float = 60) -> None:
+        """Until every query that this listener saw start has ended, and its reports are in: they arrive a little later."""
+        with self._change:
+            if not self._change.wait_for(lambda: self._started <= self._over, seconds):
+                raise TimeoutError("a query has not ended")
+
+    def table(self, spark: SparkSession, schema: str) -> DataFrame:
+        """batch and the metrics: a row a batch, which is what the driver holds."""
+        with self._change:
+            rows = [(batch, *[values[k] for k in self.metrics]) for (_, batch), values in sorted(self._rows.items())]
+        return spark.createDataFrame(rows, f"batch long, {schema}")
 
 
 def relay_lines(lines: DataFrame, run: str, seq: str, line: str) -> DataFrame:

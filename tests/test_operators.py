@@ -147,3 +147,10 @@ def test_long_cycle(spark):
     """A cycle of twenty, a tail that leads into it, and a chain that ends."""
     rows = [(f"n{i}", f"n{(i + 1) % 20}") for i in range(20)] + [("t0", "t1"), ("t1", "n3"), *((f"c{i}", f"c{i + 1}") for i in range(15)), ("c15", None)]
     assert sorted(r["node"] for r in Tr.cycles(spark.createDataFrame(rows, "node string, parent string")).collect()) == sorted(f"n{i}" for i in range(20))
+
+
+def test_nested_paragraphs():
+    """A text box stands in its paragraph, and is one itself."""
+    part = "<w xmlns='m'><p><t>A</t><p><t>B</t></p><t>C</t></p><p/><p><t> d </t><t>e</t></p></w>"
+    assert files.Package(_zip(x_dot_xml=part)).paragraphs("x.xml") == ["ABC", "B", "d e"]
+    assert files.Package(_zip(x_dot_xml="<w><t>no</t><t>paragraph</t></w>")).paragraphs("x.xml") == ["no paragraph"]
