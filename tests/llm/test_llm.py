@@ -548,9 +548,41 @@ def test_lm_survives_large_weights():
     assert all(np.isfinite(w).all() for w in model.w.values()) and np.isfinite(model.scores(ids, sizes)).all()
 
 
-def test_lm_beats_the_base_on_held_out_texts(spark):
-    got = QUERIES["op1_lm_scoring"](spark, SF.replace("0.001", "0.1")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert got[0] > got[1]
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_lm_beats_the_base_on_held_out_texts(spark, sf):
+    got = QUERIES["op1_lm_scoring"](spark, SF.replace("sf0.001", sf)).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.avg((F.col("score") > F.col("base_score")).cast("int"))).first()
+    assert got[0] > got[1] and got[2] > 0.5
+
+
+def test_lm_scores_are_the_words_mixed(spark, monkeypatch):
+    """Against a plain pass over whole texts, whether words are counted in place or joined; repeated rows and odd bytes too."""
+    rows = [(i, " ".join(f"w{(i * k * k) % (7 + i)}" for k in range(40)) + (" Łódź \x85x" if i % 4 else "")) for i in range(30)] + [(3, "twice over"), (3, "twice over"), (31, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.union(spark.sql("select 40L, cast(concat(cast('odd ' as binary), unhex('FFC3'), cast(' bytes' as binary)) as string)"))
+    kept, fit = {}, lm.train
+
+    def spy(*args):
+        kept["model"] = fit(*args)
+        return kept["model"]
+
+    monkeypatch.setattr(lm, "train", spy)
+    texts = [(r["doc_id"], bytes(r["t"] or b"")) for r in docs.selectExpr("doc_id", "cast(text as binary) as t").collect()]
+    tokens = [[*t.lower().split(), b""] for _, t in texts]
+    count = Counter(w for (i, _), ws in zip(texts, tokens) if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for w in ws)
+    base = sum(count.values()) + 0.5 * (len(count) + 1)
+    for hot in (lm.HOT, 0.02, 2.0):
+        monkeypatch.setattr(lm, "HOT", hot)
+        got = sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 4)) for r in lm.score_texts(docs).collect())
+        coder, want = lm.Coder(lm.load_ranks()), []
+        for (i, text), ws in zip(texts, tokens):
+            codes, sizes = coder.codes([text])
+            ids, many = coder.ids(codes, sizes)
+            inputs, targets, goes_on, _ = kept["model"].blocks(ids, many)
+            logs = iter(kept["model"].log_probabilities(kept["model"].table(), inputs, targets, goes_on).ravel().astype(np.float64)[:len(ids)])
+            p = [np.exp(sum(next(logs) for _ in range(coder.size[c]))) for c in codes]
+            want.append((str(i), len(ws), sum(log10(0.5 * (count[w] + 0.5) / base + 0.5 * x) for w, x in zip(ws, p))))
+        want.sort()
+        assert [g[:2] for g in got] == [w[:2] for w in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-3)
 
 
 def test_pipeline_stages(spark):
