@@ -124,7 +124,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     share = min(1.0, most / max(1, total))
     marks = marks.withColumn("__draw", F.pmod(F.xxhash64(F.lit(71), "__id"), F.lit(1 << 30)) / float(1 << 30)) \
         .where(F.col("__draw") < share).limit(2 * most)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    texts = docs.select(F.col(id_col).alias("__id"), F.make_valid_utf8(F.col(text_col).cast("string")).alias("__text"))
     return texts.join(F.broadcast(marks), "__id").withColumn("__draw", F.col("__draw") / share), min(most, total)
 
 
@@ -200,10 +200,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Defined results: a null text equals the empty text, whose score is the curve's value at margin 0; a
     null identifier counts as the empty text in crc32; rows with a null identifier teach nothing.
-    Repeated label rows each count. An empty table gives no rows. Other columns are never read.
+    Repeated label rows each count; bytes that are no UTF-8 are read as U+FFFD. An empty table gives no rows. Other columns are never read.
     """
     score = scorer(docs.sparkSession, fit(docs, labels, id_col, text_col, label_col, sample_docs))
-    rows = docs.select(F.col(id_col).alias("__id"), score(F.col(text_col)).alias("score"))
+    rows = docs.select(F.col(id_col).alias("__id"), score(F.make_valid_utf8(F.col(text_col).cast("string"))).alias("score"))
     return rows.select(F.col("__id").alias(id_col), (crc_mod5(F.col("__id")) == 0).alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -213,7 +213,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows, with all their columns, whose score reaches the threshold.
 
     Defined results: a null text is judged like an empty one; null identifiers and repeated rows are judged by their texts;
-    without labels of both kinds all rows have one score. An empty table gives no rows. No column's name matters.
+    without labels of both kinds all rows have one score; bytes that are no UTF-8 are read as U+FFFD and kept as they are. An empty
+    table gives no rows. No column's name matters.
     """
     score = scorer(docs.sparkSession, fit(docs, labels, id_col, text_col, label_col, sample_docs))
-    return docs.where(score(F.col(text_col)) >= threshold)
+    return docs.where(score(F.make_valid_utf8(F.col(text_col).cast("string"))) >= threshold)

@@ -169,7 +169,7 @@ def write_archives(planned: DataFrame, path: str, archives: int | None = None) -
 
         for batch in batches:
             for row in batch.to_pylist():
-                payload = (row["__html"] or "").encode()
+                payload = row["__html"] or b""
                 records.append(build_record(row["__page"], row["__url"], payload, row["__refers"], row["__revisit"]))
                 size += len(records[-1])
                 if size >= ARCHIVE_BYTES:
@@ -178,7 +178,7 @@ def write_archives(planned: DataFrame, path: str, archives: int | None = None) -
         if records:
             yield close()
 
-    texts = planned.select(F.col("__page").cast("string").alias("__page"), "__url", "__html",
+    texts = planned.select(F.col("__page").cast("string").alias("__page"), F.make_valid_utf8("__url").alias("__url"), F.col("__html").cast("binary").alias("__html"),
                            F.col("__refers").cast("string").alias("__refers"), "__revisit")
     dealt = texts.repartition(archives, F.xxhash64("__page")) if archives else texts
     out = dealt.mapInArrow(packed, "name string, content binary")

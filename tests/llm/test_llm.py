@@ -585,6 +585,20 @@ def test_lm_scores_are_the_words_mixed(spark, monkeypatch):
         assert [g[:2] for g in got] == [w[:2] for w in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-3)
 
 
+def test_bytes_that_are_no_utf8(spark):
+    """Texts are read with U+FFFD for odd bytes, payloads archived as they are."""
+    body = b"caf\xc3 \xff words " * 80
+    texts = spark.createDataFrame([(1, body), (2, body.decode("utf-8", "replace").encode()), (3, b"plain words")], "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) as text")
+    labels = spark.createDataFrame([(2, 1), (3, 0), (1, 1)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in quality.classify(texts, labels).collect()}
+    assert got[1] == pytest.approx(got[2]) and len(got) == 3
+    kept = quality.keep_good(texts, labels, threshold=0.0)
+    assert {bytes(r["b"]) for r in kept.selectExpr("cast(text as binary) as b").collect()} >= {body}
+    pages = texts.selectExpr("doc_id as page_id", "text as url", "text as html")
+    digests = {r["page_id"]: (r["payload_digest"], r["payload_bytes"]) for r in warc.archive_pages(pages).collect()}
+    assert digests[1] == (hashlib.sha1(body).hexdigest(), len(body)) and len(digests) == 3
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version of its rule, on what the stage before kept."""
     import corpus_pipeline as P
