@@ -22,6 +22,11 @@ def optional_equal(filters: dict[str, object]) -> Column:
     return reduce(lambda a, b: a & b, given, F.lit(True))
 
 
+def in_status(status: Column, wanted: str | None = None, hidden: str = "deleted") -> Column:
+    """The wanted status; where none is wanted, any but the hidden one."""
+    return status == wanted if wanted else status != hidden
+
+
 def keyword(c: Column, kw: str) -> Column:
     """Case-insensitive match; % and _ of the keyword are wildcards."""
     return c.ilike(f"%{kw}%") if kw else F.lit(True)

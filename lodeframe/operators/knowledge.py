@@ -162,9 +162,9 @@ def delete_attempt(points: DataFrame, document: str, attempt: str) -> DataFrame:
 
 
 def dot(a: Column, b: Column) -> Column:
-    """Over the shorter length, in double."""
+    """Over the shorter length: products of floats, added up in double."""
     n = F.least(F.size(a), F.size(b))
-    return F.aggregate(F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: x.cast("double") * y.cast("double")),
+    return F.aggregate(F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: (x.cast("float") * y.cast("float")).cast("double")),
                        F.lit(0.0), lambda acc, x: acc + x)
 
 
@@ -323,9 +323,10 @@ def retrieve(points: DataFrame, chunk_rows: DataFrame, documents: DataFrame, que
         raise ValueError(f"top_k must be from 1 to {TOP_K_MOST}")
     if readable is None:
         ids = list(dict.fromkeys(k.strip() for k in kb_ids or [] if k.strip()))
-        scoped = points.where(F.col("kb_id").isin(ids)) if ids else points
+        scoped = points.where(unicode_trim(F.col("kb_id")).isin(ids)) if ids else points
     else:
-        scoped = points.join(scope_of(kb_ids, readable), "kb_id", "left_semi")
+        scope = scope_of(kb_ids, readable).select(F.col("kb_id").alias("__kb"))
+        scoped = points.join(scope, unicode_trim(F.col("kb_id")) == F.col("__kb"), "left_semi")
     hits = search(scoped, query_vector, candidate_limit(top_k), threshold).select("chunk_id", "score")
     rows = hydrate(hits, chunk_rows, documents, top_k, threshold, tags, metadata)
     return rows if reranker is None else rerank_merge(rows, reranker(rows), min(rerank_n or top_k, top_k))

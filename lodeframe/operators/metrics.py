@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import rounded_long, share_percent
+from ..functions.text import intent_label, rounded_long, share_percent
 
 
 def days(spark, last_day: str, count: int) -> DataFrame:
@@ -94,6 +94,12 @@ def share_of_total(rows: DataFrame, key: Column, name: str) -> DataFrame:
     return counts.withColumn("share", share_percent(F.col("n"), F.sum("n").over(Window.partitionBy())))
 
 
+def intents(messages: DataFrame, as_of: str, window_days: int = 7) -> DataFrame:
+    """intent, label, n, share of the users' messages (role, created_at, intent) in the days before as_of, most frequent first."""
+    asked = messages.where((F.col("role") == "user") & since(F.col("created_at"), F.lit(as_of).cast("timestamp_ntz"), window_days))
+    return share_of_total(asked, F.col("intent"), "intent").withColumn("label", intent_label(F.col("intent"))).select("intent", "label", "n", "share").orderBy(F.desc("n"), "intent")
+
+
 def daily_statistics(tagged: list[tuple[str, DataFrame]], day: str = "day", kind: str = "kind") -> DataFrame:
     """Counts of several event tables by day and kind, one column an event."""
     rows = None

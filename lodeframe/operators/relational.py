@@ -43,6 +43,19 @@ def with_first_block(messages: DataFrame, blocks: DataFrame) -> DataFrame:
     return messages.join(first, F.col("id") == F.col("__m"), "left").drop("__m")
 
 
+def with_previews(conversations: DataFrame, messages: DataFrame, blocks: DataFrame, size: int = 200) -> DataFrame:
+    """conversations (id) with message_count and last_message_preview: the start of the newest message that has a block 0, '' where none has.
+
+    messages: id, conversation_id, sequence_no; blocks: message_id, block_order, content. Both are folded a conversation before the join.
+    """
+    first = blocks.where("block_order = 0").select(F.col("message_id").alias("__m"), F.coalesce(F.substring("content", 1, size), F.lit("")).alias("__t"))
+    rows = messages.join(first, F.col("id") == F.col("__m"), "left")
+    there = F.when(F.col("__m").isNotNull(), F.struct("sequence_no", "id"))
+    per = rows.groupBy(F.col("conversation_id").alias("__c")).agg(F.count_distinct("id").alias("__n"), F.max_by("__t", there).alias("__last"))
+    return conversations.join(per, F.col("id") == F.col("__c"), "left").select(
+        *conversations.columns, F.coalesce("__n", F.lit(0)).cast("long").alias("message_count"), F.coalesce("__last", F.lit("")).alias("last_message_preview"))
+
+
 def insert_looked_up(rows: DataFrame, lookup: DataFrame, on: str, code: str, wanted: list[str]) -> DataFrame:
     """The rows to insert: `rows` with the columns of the lookup rows that they name; rows that name none insert nothing."""
     found = lookup.select(F.col(code).alias("__c"), *wanted)
@@ -79,3 +92,29 @@ def append_numbered(old: DataFrame, new: DataFrame, group: str, order: list[str]
     w = Window.partitionBy(group).orderBy(*order)
     return new.withColumn("__rn", F.row_number().over(w)).join(top, F.col(group) == F.col("__g"), "left") \
         .withColumn(number, (F.coalesce("__top", F.lit(0)) + F.col("__rn")).cast("long")).drop("__g", "__top", "__rn")
+
+
+#: Rules that are matched against every row by broadcast: a table that people write by hand.
+RULES_MOST = 10_000
+
+
+def ranked_match(rows: DataFrame, kind: str, rules: DataFrame, name: str, *first: Column) -> DataFrame:
+    """rows with the id of the best enabled rule (id, enabled, supported_content_types) for their content type, under `name`; null where none fits.
+
+    A rule that names the type itself comes before one that names `major/*`, and that before one that names no type at all; a row
+    without a type takes any rule. Among equals `first` decides, then the id. A rule is met by equal keys, never by comparing it with every row.
+    """
+    used = rules.where("enabled")
+    small = used.limit(RULES_MOST + 1).count() <= RULES_MOST
+    kinds, any_ = F.col("supported_content_types"), F.lit("\0")
+    names = F.when(F.coalesce(F.size(kinds), F.lit(0)) > 0, F.array_distinct(kinds)).otherwise(F.array(F.lit("")))
+    keyed = used.select(F.explode(F.concat(names, F.array(any_))).alias("__k"), F.col("id").alias("__id"), *[c.alias(f"__o{i}") for i, c in enumerate(first)])
+    own = F.coalesce(F.col(kind), F.lit(""))
+    types = rows.select(own.alias("__own")).distinct()
+    wild = F.concat(F.split_part("__own", F.lit("/"), F.lit(1)), F.lit("/*"))
+    asked = types.withColumn("__key", F.explode(F.when(F.col("__own") == "", F.array(any_)).otherwise(F.array_distinct(F.array(F.col("__own"), wild, F.lit(""))))))
+    met = asked.join(F.broadcast(keyed) if small else keyed, F.col("__key") == F.col("__k"))
+    rank = F.when(F.col("__own") == "", 0).when(F.col("__k") == "", 2).when(F.col("__k") == F.col("__own"), 0).otherwise(1)
+    best = met.withColumn("__r", F.struct(rank.alias("r"), *[f"__o{i}" for i in range(len(first))], "__id")).groupBy("__own").agg(F.min("__r").alias("__b"))
+    best = best.select(F.col("__own").alias("__t"), F.col("__b.__id").alias(name))
+    return rows.join(best, own == F.col("__t"), "left").drop("__t")

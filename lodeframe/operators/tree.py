@@ -1,7 +1,8 @@
-"""Hierarchies as adjacency rows (node, parent, position). Depth, not size, sets the number of joins."""
+"""Hierarchies as adjacency rows (node, parent, position). The logarithm of the depth sets the number of joins: pointers double."""
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,31 +12,57 @@ from ..functions.text import unicode_trim
 from ..shared import checkpointed
 
 
-def _levels(start: DataFrame, step) -> DataFrame:
-    """`start`, and what `step` makes of each level until a level is empty; levels are checkpointed, so plans stay short."""
-    out = level = checkpointed(start)
-    while True:
-        level = checkpointed(step(level))
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
+def _ahead(state: DataFrame, by: list[str], *carried: str) -> tuple[DataFrame, Column]:
+    """The rows that a pointer `up` leads to, under other names, and the condition that it does."""
+    far = state.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("node").alias("__at"), *[F.col(c).alias(f"__{c}") for c in carried])
+    on = F.col("up") == F.col("__at")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return far, on
 
 
-def renumber(nodes: DataFrame, group: str | None = None) -> DataFrame:
-    """node, level, numbering (dotted, by position among siblings); with `group`, a tree in each. Any depth."""
+def ancestry(nodes: DataFrame, group: str | None = None) -> DataFrame:
+    """[group,] node, level (1 without a parent), reason of every node; with `group`, parents are looked up in the node's own group.
+
+    reason is null, or why the node has no level: 'missing' where it or an ancestor names a parent that is no node, 'cycle' where its
+    ancestors never end. A round doubles the distance that every pointer covers, so 1,000 levels take ten.
+    """
     by = [group] if group else []
-    place = F.row_number().over(Window.partitionBy(*by, "parent").orderBy("position", "node")).cast("string")
-    placed = checkpointed(nodes.select(*by, "node", "parent", place.alias("own")))
-    top = placed.where("parent IS NULL").select(*by, "node", F.lit(1).alias("level"), F.col("own").alias("numbering"))
+    state = checkpointed(nodes.select(*by, "node", F.col("parent").alias("up"), F.lit(1).alias("level"), F.lit(False).alias("lost")))
+    for _ in range(math.ceil(math.log2(state.count() + 1)) + 1):
+        moving = state.where("up IS NOT NULL AND NOT lost")
+        if moving.isEmpty():
+            break
+        far, on = _ahead(state, by, "up", "level", "lost")
+        moved = moving.join(far, on, "left").select(*by, "node", F.col("__up").alias("up"), (F.col("level") + F.coalesce("__level", F.lit(0))).alias("level"),
+                                                    F.coalesce("__lost", F.lit(True)).alias("lost"))
+        state = checkpointed(state.where("up IS NULL OR lost").unionByName(moved))
+    reason = F.when(F.col("lost"), "missing").when(F.col("up").isNotNull(), "cycle")
+    return state.select(*by, "node", F.when(reason.isNull(), F.col("level")).alias("level"), reason.alias("reason"))
 
-    def below(level: DataFrame) -> DataFrame:
-        up = level.select(*[F.col(c).alias(f"{c}_up") for c in by], F.col("node").alias("node_up"), "level", "numbering")
-        on = F.col("parent") == F.col("node_up")
-        for c in by:
-            on = on & F.col(c).eqNullSafe(F.col(f"{c}_up"))
-        return placed.join(up, on).select(*by, "node", (F.col("level") + 1).alias("level"), F.concat_ws(".", "numbering", "own").alias("numbering"))
 
-    return _levels(top, below)
+def renumber(nodes: DataFrame, group: str | None = None) -> DataFrame:
+    """[group,] node, level, numbering (dotted, by position among siblings); with `group`, a tree in each. Any depth.
+
+    Nodes that hang on a cycle or on a parent that is no node are there too, without level and numbering (`ancestry` says why).
+    """
+    by = [group] if group else []
+    levels = checkpointed(ancestry(nodes, group).drop("reason"))
+    place = F.row_number().over(Window.partitionBy(*by, "parent").orderBy("position", "node")).cast("string")
+    names = [F.col(c).alias(f"__{c}") for c in by]
+    same = F.col("node") == F.col("__node")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    own = levels.where("level IS NOT NULL").select(*names, F.col("node").alias("__node"), "level")
+    # Only what hangs on a root is numbered: a path on a cycle would double without an end.
+    state = checkpointed(nodes.select(*by, "node", F.col("parent").alias("up"), place.alias("path")).join(own, same).select(*by, "node", "up", "path", "level"))
+    deepest = state.agg(F.max("level")).first()[0] or 1
+    for _ in range(math.ceil(math.log2(deepest))):
+        far, on = _ahead(state, by, "up", "path")
+        moved = state.where("up IS NOT NULL").join(far, on).select(*by, "node", F.col("__up").alias("up"), F.concat_ws(".", "__path", "path").alias("path"), "level")
+        state = checkpointed(state.where("up IS NULL").unionByName(moved))
+    hanging = levels.where("level IS NULL").select(*by, "node", "level", F.lit(None).cast("string").alias("numbering"))
+    return state.select(*by, "node", "level", F.col("path").alias("numbering")).unionByName(hanging)
 
 
 def without_subtree(nodes: DataFrame, root: str) -> DataFrame:
@@ -50,8 +77,9 @@ def without_subtree(nodes: DataFrame, root: str) -> DataFrame:
 
 
 def cycles(nodes: DataFrame) -> DataFrame:
-    """Nodes that are their own ancestor, at any distance: the distance covered doubles until no new ancestor appears."""
-    up = checkpointed(nodes.where("parent IS NOT NULL").selectExpr("node", "parent AS ancestor").distinct())
+    """Nodes that are their own ancestor, at any distance. Only nodes whose ancestors never end are followed, until no new ancestor appears."""
+    endless = ancestry(nodes).where("reason = 'cycle'").select("node")
+    up = checkpointed(nodes.where("parent IS NOT NULL").join(endless, "node", "left_semi").selectExpr("node", "parent AS ancestor").distinct())
     size, seen = up.count(), -1
     while size != seen:
         seen = size
@@ -67,21 +95,10 @@ def parent_problems(nodes: DataFrame, group: str) -> DataFrame:
     A blank parent is none. A node below a cycle is refused too: its ancestors never end.
     """
     parent = F.nullif(unicode_trim(F.col("parent")), F.lit(""))
-    rows = checkpointed(nodes.select(F.col(group).alias("g"), "node", parent.alias("parent")))
-    own = rows.where("parent IS NOT NULL")
-    known = rows.select(F.col("g").alias("kg"), F.col("node").alias("known"))
-    odd = own.where("parent = node").select("g", "node", F.lit("self").alias("reason"))
-    lost = own.join(known, (F.col("g") == F.col("kg")) & (F.col("parent") == F.col("known")), "left_anti").select("g", "node", F.lit("missing").alias("reason"))
-    # Ancestors end at a node without parent or at a refused one; who never gets there is on a cycle or below one.
-    ended = checkpointed(rows.where("parent IS NULL").select("g", "node", F.lit(None).cast("string").alias("reason")).unionByName(lost))
-
-    def below(level: DataFrame) -> DataFrame:
-        up = level.select(F.col("g").alias("ug"), F.col("node").alias("up"), F.when(F.col("reason").isNotNull(), "missing").alias("reason"))
-        return own.where("parent <> node").join(up, (F.col("g") == F.col("ug")) & (F.col("parent") == F.col("up"))).select("g", "node", "reason")
-
-    reached = _levels(ended, below)
-    loops = own.where("parent <> node").join(reached, ["g", "node"], "left_anti").select("g", "node", F.lit("cycle").alias("reason"))
-    return reached.where("reason IS NOT NULL").unionByName(odd).unionByName(loops).select(F.col("g").alias(group), "node", "reason")
+    rows = nodes.select(F.col(group).alias("g"), "node", parent.alias("parent"))
+    own = rows.where("parent = node").select(F.col("g").alias("__g"), F.col("node").alias("__own"))
+    found = ancestry(rows, "g").where("reason IS NOT NULL").join(own, F.col("g").eqNullSafe(F.col("__g")) & (F.col("node") == F.col("__own")), "left")
+    return found.select(F.col("g").alias(group), "node", F.when(F.col("__own").isNotNull(), "self").otherwise(F.col("reason")).alias("reason"))
 
 
 def node_count(nodes: DataFrame, group: str) -> DataFrame:

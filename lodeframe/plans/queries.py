@@ -82,6 +82,15 @@ def top_queries(t):
     return M.top_groups(users, "query", F.length("query"), F.col("turn"), 20)
 
 
+@query("""WITH c AS (SELECT coalesce(CASE event_type WHEN 'click' THEN 'knowledge_qa' WHEN 'view' THEN 'general_chat' WHEN 'error' THEN 'report_generation' WHEN 'signup' THEN 'odd' END, 'unknown') AS intent, count(*) AS n
+FROM events WHERE user_id % 3 > 0 AND ts >= TIMESTAMP '2024-01-24' GROUP BY 1)
+SELECT intent, CASE intent WHEN 'knowledge_qa' THEN '知识问答' WHEN 'general_chat' THEN '一般对话' WHEN 'report_generation' THEN '报告生成' ELSE '未知' END AS label, n, round(n::DOUBLE * 1000 / sum(n) OVER ()) / 10 AS share FROM c""")
+def intent_window(t):
+    kind = F.create_map(*[F.lit(x) for x in ("click", "knowledge_qa", "view", "general_chat", "error", "report_generation", "signup", "odd")])
+    rows = t.events.select(F.when(F.col("user_id") % 3 > 0, "user").otherwise("assistant").alias("role"), F.col("ts").alias("created_at"), F.try_element_at(kind, F.col("event_type")).alias("intent"))
+    return M.intents(rows, NOW, 7)
+
+
 @query("""SELECT intent, n, CASE WHEN sum(n) OVER () > 0 THEN round(n::DOUBLE * 1000 / sum(n) OVER ()) / 10 ELSE 0 END AS share FROM (
 SELECT coalesce(nullif(event_type, 'view'), 'unknown') AS intent, count(*) AS n FROM events GROUP BY 1)""")
 def intent_share(t):
@@ -166,7 +175,7 @@ def chained_joins(t):
 
 @query("""SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P' AND o_custkey = 7""")
 def scope_filter(t):
-    return t.orders.where((F.col("o_orderstatus") != "P") & P.visible_to(F.col("o_custkey"), 7, False)).select("o_orderkey", "o_custkey")
+    return t.orders.where(P.in_status(F.col("o_orderstatus"), hidden="P") & P.visible_to(F.col("o_custkey"), 7, False)).select("o_orderkey", "o_custkey")
 
 
 @query("""SELECT c_custkey, c_name FROM customer WHERE c_name ILIKE '%CUST%0_1%' AND c_name ILIKE '%1%' ORDER BY c_custkey""")
@@ -212,22 +221,30 @@ def latest_per_key(t):
     return R.latest_per(t.orders, ["o_custkey"], F.desc("o_orderdate"), F.desc("o_orderkey")).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
-CONFIGS = [(1, False, "text/html"), (2, False, "text/*"), (3, True, ""), (4, False, "application/pdf")]
+@query("""WITH m AS (SELECT conv_id, turn, CASE WHEN turn % 3 < 2 AND conv_id % 5 > 0 THEN text[1:200] END AS t FROM conversations)
+SELECT conv_id AS id, count(*) AS message_count, coalesce(arg_max(t, turn) FILTER (t IS NOT NULL), '') AS last_message_preview FROM m GROUP BY 1""")
+def last_previews(t):
+    """Some messages have no block 0, some conversations none at all."""
+    name = F.concat_ws("-", "conv_id", "turn")
+    messages = t.conversations.select(name.alias("id"), F.col("conv_id").alias("conversation_id"), F.col("turn").alias("sequence_no"))
+    blocks = t.conversations.where("conv_id % 5 > 0").select(name.alias("message_id"), F.when(F.col("turn") % 3 < 2, 0).otherwise(1).alias("block_order"), F.col("text").alias("content"))
+    return R.with_previews(t.conversations.select(F.col("conv_id").alias("id")).distinct(), messages, blocks)
+
 
+#: Parsers of a knowledge base: id, enabled, is_default, supported types, place in the order of creation.
+CONFIGS = [(1, True, False, ["text/html"], 5), (2, True, False, ["text/*"], 1), (3, True, True, None, 2), (4, True, False, ["application/pdf", " Image/PNG "], 3), (5, False, True, ["text/html"], 0),
+           (6, True, True, ["text/html", "image/*"], 9), (7, True, False, [], 0), (8, True, False, ["image/png"], 1)]
 
-@query("""WITH configs(id, is_default, accepts) AS (VALUES (1, false, 'text/html'), (2, false, 'text/*'), (3, true, ''), (4, false, 'application/pdf')),
-typed AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'text/html' WHEN 1 THEN 'text/plain' ELSE 'image/png' END AS content_type FROM pages)
-SELECT page_id, content_type, id AS config FROM typed JOIN configs ON accepts IN (content_type, split_part(content_type, '/', 1) || '/*', '')
-QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY CASE accepts WHEN content_type THEN 0 WHEN '' THEN 2 ELSE 1 END, is_default DESC, id) = 1""")
+
+@query("""WITH configs(id, is_default, accepts, created) AS (VALUES (1, false, 'text/html', 5), (2, false, 'text/*', 1), (3, true, '', 2), (4, false, 'application/pdf', 3),
+(6, true, 'text/html', 9), (6, true, 'image/*', 9), (7, false, '', 0), (8, false, 'image/png', 1)),
+typed AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'text/html' WHEN 1 THEN 'text/plain' WHEN 2 THEN 'image/png' WHEN 3 THEN 'image/gif' END AS content_type FROM pages)
+SELECT page_id, content_type, id AS config FROM typed JOIN configs ON content_type IS NULL OR accepts IN (content_type, split_part(content_type, '/', 1) || '/*', '')
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY CASE WHEN content_type IS NULL THEN 0 END, CASE WHEN content_type IS NULL THEN 0 ELSE CASE accepts WHEN '' THEN 2 WHEN content_type THEN 0 ELSE 1 END END, is_default DESC, created, id) = 1""")
 def ranked_match(t):
-    configs = F.broadcast(t.spark.createDataFrame(CONFIGS, "id int, is_default boolean, accepts string"))
-    kind = F.element_at(F.array(F.lit("text/html"), F.lit("text/plain"), F.lit("image/png")), (F.col("page_id") % 3 + 1).cast("int"))
-    typed = t.pages.select("page_id", kind.alias("content_type"))
-    wild = F.concat(F.split_part("content_type", F.lit("/"), F.lit(1)), F.lit("/*"))
-    keys = typed.withColumn("key", F.explode(F.array("content_type", wild, F.lit(""))))
-    rank = F.when(F.col("accepts") == F.col("content_type"), 0).when(F.col("accepts") == "", 2).otherwise(1)
-    rows = keys.join(configs, F.col("key") == F.col("accepts"))
-    return R.latest_per(rows, ["page_id"], rank.asc(), F.desc("is_default"), F.asc("id")).select("page_id", "content_type", F.col("id").alias("config"))
+    configs = t.spark.createDataFrame(CONFIGS, "id int, enabled boolean, is_default boolean, supported_content_types array<string>, created int")
+    kind = F.get(F.array(*[F.lit(x) for x in ("text/html", "text/plain", "image/png", "image/gif", None)]), (F.col("page_id") % 5).cast("int"))
+    return R.ranked_match(t.pages.select("page_id", kind.alias("content_type")), "content_type", configs, "config", ~F.col("is_default"), F.col("created"))
 
 
 @query("""WITH new AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY role) AS rn FROM (SELECT DISTINCT conv_id, role FROM conversations))
@@ -334,7 +351,7 @@ def point_ids(t):
 
 
 PROBE = [round(((i * 37) % 19 - 9) / 40, 3) for i in range(64)]
-DOT = "CAST(list_sum(list_transform(range(1, 65), lambda i: CAST({a}[i] AS DOUBLE) * CAST({b}[i] AS DOUBLE))) AS DOUBLE)"
+DOT = "CAST(list_sum(list_transform(range(1, 65), lambda i: CAST(CAST({a}[i] AS FLOAT) * CAST({b}[i] AS FLOAT) AS DOUBLE))) AS DOUBLE)"
 
 
 @query(f"""SELECT vec_id, round(score, 6) AS score FROM (SELECT vec_id, {DOT.format(a='embedding', b=PROBE)} AS score FROM embeddings) ORDER BY score DESC, vec_id LIMIT 10""")
@@ -524,6 +541,33 @@ def docx_round_trip(t):
     return parsed.select(F.col("name").cast("long").alias("doc_id"), F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"))
 
 
+@query("""WITH s AS (SELECT l_orderkey, 8 - l_linenumber AS o, l_linenumber || ' Line ' || l_partkey || chr(10) || l_returnflag || ' flag' || chr(10) || l_linestatus || ' status' || chr(10)
+|| 'flag: ' || l_returnflag || '; line: ' || l_linenumber || '; status: ' || l_linestatus AS t FROM lineitem)
+SELECT l_orderkey AS report_id, 'Report ' || l_orderkey AS title, sha256('Report ' || l_orderkey || chr(10) || CASE WHEN l_orderkey % 2 = 0 THEN 'Even orders' || chr(10) ELSE '' END
+|| string_agg(t, chr(10) ORDER BY o, t)) AS content_sha256 FROM s GROUP BY 1""")
+def report_files(t):
+    """Reports with a topic, sections out of order, and a table in each, written as DOCX and parsed back."""
+    text = lambda c: F.col(c).cast("string")
+    table = F.create_map(F.lit("status"), F.col("l_linestatus"), F.lit("line"), text("l_linenumber"), F.lit("flag"), F.col("l_returnflag"))
+    sections = t.lineitem.select(F.col("l_orderkey").alias("report_id"), F.concat(F.lit("Report "), text("l_orderkey")).alias("report_name"),
+                                 F.when(F.col("l_orderkey") % 2 == 0, " Even orders ").alias("report_topic"), (8 - F.col("l_linenumber")).alias("sort_order"), F.lit(NOW).alias("created_at"),
+                                 text("l_linenumber").alias("numbering"), F.concat(F.lit(" Line "), text("l_partkey")).alias("title"),
+                                 F.concat("l_returnflag", F.lit(" flag\n\n  "), "l_linestatus", F.lit("   status")).alias("content"), F.array(table).alias("tables"))
+    packed = files.write_docx(sections).select(text("report_id").alias("name"), F.lit("").alias("content_type"), F.col("docx").alias("content"))
+    parsed = files.parse_files(packed)
+    return parsed.select(F.col("name").cast("long").alias("report_id"), "title", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 < 2 AND strlen(text) <= 8388608 THEN sha256(text) END AS payload_sha256 FROM documents""")
+def payload_decode(t):
+    """Payloads with their size, without one, with a wrong one, with junk behind the padding, and none."""
+    data, size = F.base64(F.col("text").cast("binary")), F.octet_length("text")
+    m = F.col("doc_id") % 5
+    given = F.when(m == 3, F.concat(data, F.lit("=*"))).when(m == 4, F.lit(None)).otherwise(data)
+    said = F.when(m == 1, F.lit(None)).when(m == 2, size + 1).otherwise(size)
+    return t.documents.select("doc_id", F.sha2(files.decode_payload(given, said), 256).alias("payload_sha256"))
+
+
 @query("""SELECT date_trunc('hour', ts) AS bucket_start, event_type AS operation, count(*) AS requests, count(*) FILTER (event_type = 'error') AS failures,
 round(sum(value), 4) AS duration FROM events GROUP BY 1, 2""")
 def usage_hourly_stream(t):

@@ -154,3 +154,20 @@ def test_nested_paragraphs():
     part = "<w xmlns='m'><p><t>A</t><p><t>B</t></p><t>C</t></p><p/><p><t> d </t><t>e</t></p></w>"
     assert files.Package(_zip(x_dot_xml=part)).paragraphs("x.xml") == ["ABC", "B", "d e"]
     assert files.Package(_zip(x_dot_xml="<w><t>no</t><t>paragraph</t></w>")).paragraphs("x.xml") == ["no paragraph"]
+
+
+def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
+    """A thousand levels, and what hangs on a cycle or on nothing: all nodes are there."""
+    rounds, keep = [], Tr.checkpointed
+    monkeypatch.setattr(Tr, "checkpointed", lambda df: rounds.append(1) or keep(df))
+    rows = [("n0", None, 1)] + [(f"n{i}", f"n{i - 1}", 1) for i in range(1, 1000)] + [("x", "n1", 2), ("a", "b", 1), ("b", "c", 1), ("c", "b", 1), ("s", "s", 1), ("l", "lost", 1), ("m", "l", 1)]
+    nodes = spark.createDataFrame(rows, "node string, parent string, position int")
+    got = {r["node"]: (r["level"], r["numbering"]) for r in Tr.renumber(nodes).collect()}
+    assert len(got) == len(rows) and len(rounds) < 30
+    assert got["n999"] == (1000, ".".join(["1"] * 1000)) and got["x"] == (3, "1.1.2")
+    assert all(got[n] == (None, None) for n in "abcslm")
+    assert {r["node"]: r["reason"] for r in Tr.ancestry(nodes).where("reason IS NOT NULL").collect()} == {"a": "cycle", "b": "cycle", "c": "cycle", "s": "cycle", "l": "missing", "m": "missing"}
+    assert sorted(r["node"] for r in Tr.cycles(nodes).collect()) == ["b", "c", "s"]
+    assert {r["node"]: r["reason"] for r in Tr.parent_problems(nodes.selectExpr("1 as g", "*"), "g").collect()} == {"a": "cycle", "b": "cycle", "c": "cycle", "s": "self", "l": "missing", "m": "missing"}
+    grouped = spark.createDataFrame([(1, "a", None, 1), (2, "b", "a", 1), (2, "a", None, 1), (None, "a", None, 1), (None, "b", "a", 1), (1, "z", "b", 1)], "g int, node string, parent string, position int")
+    assert sorted((str(r["g"]), r["node"], r["numbering"]) for r in Tr.renumber(grouped, "g").collect()) == [("1", "a", "1"), ("1", "z", None), ("2", "a", "1"), ("2", "b", "1.1"), ("None", "a", "1"), ("None", "b", "1.1")]
