@@ -541,18 +541,18 @@ def docx_round_trip(t):
     return parsed.select(F.col("name").cast("long").alias("doc_id"), F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"))
 
 
-@query("""WITH s AS (SELECT l_orderkey, 8 - l_linenumber AS o, l_linenumber || ' Line ' || l_partkey || chr(10) || l_returnflag || ' flag' || chr(10) || l_linestatus || ' status' || chr(10)
-|| 'flag: ' || l_returnflag || '; line: ' || l_linenumber || '; status: ' || l_linestatus AS t FROM lineitem)
-SELECT l_orderkey AS report_id, 'Report ' || l_orderkey AS title, sha256('Report ' || l_orderkey || chr(10) || CASE WHEN l_orderkey % 2 = 0 THEN 'Even orders' || chr(10) ELSE '' END
-|| string_agg(t, chr(10) ORDER BY o, t)) AS content_sha256 FROM s GROUP BY 1""")
+@query("""WITH s AS (SELECT o_custkey, -o_orderkey AS o, o_orderkey || ' Order ' || o_orderpriority || chr(10) || o_orderstatus || ' status' || chr(10) || 'customer ' || o_custkey || chr(10)
+|| 'key: ' || o_orderkey || '; priority: ' || o_orderpriority || '; status: ' || o_orderstatus AS t FROM orders)
+SELECT o_custkey AS report_id, 'Report ' || o_custkey AS title, sha256('Report ' || o_custkey || chr(10) || CASE WHEN o_custkey % 2 = 0 THEN 'Even orders' || chr(10) ELSE '' END
+|| string_agg(t, chr(10) ORDER BY o)) AS content_sha256 FROM s GROUP BY 1""")
 def report_files(t):
-    """Reports with a topic, sections out of order, and a table in each, written as DOCX and parsed back."""
+    """A report a customer: with a topic or none, sections out of order, and a table in each, written as DOCX and parsed back."""
     text = lambda c: F.col(c).cast("string")
-    table = F.create_map(F.lit("status"), F.col("l_linestatus"), F.lit("line"), text("l_linenumber"), F.lit("flag"), F.col("l_returnflag"))
-    sections = t.lineitem.select(F.col("l_orderkey").alias("report_id"), F.concat(F.lit("Report "), text("l_orderkey")).alias("report_name"),
-                                 F.when(F.col("l_orderkey") % 2 == 0, " Even orders ").alias("report_topic"), (8 - F.col("l_linenumber")).alias("sort_order"), F.lit(NOW).alias("created_at"),
-                                 text("l_linenumber").alias("numbering"), F.concat(F.lit(" Line "), text("l_partkey")).alias("title"),
-                                 F.concat("l_returnflag", F.lit(" flag\n\n  "), "l_linestatus", F.lit("   status")).alias("content"), F.array(table).alias("tables"))
+    table = F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("key"), text("o_orderkey"), F.lit("priority"), F.col("o_orderpriority"))
+    sections = t.orders.select(F.col("o_custkey").alias("report_id"), F.concat(F.lit("Report "), text("o_custkey")).alias("report_name"),
+                               F.when(F.col("o_custkey") % 2 == 0, " Even orders ").alias("report_topic"), (-F.col("o_orderkey")).alias("sort_order"), F.lit(NOW).alias("created_at"),
+                               text("o_orderkey").alias("numbering"), F.concat(F.lit(" Order "), "o_orderpriority").alias("title"),
+                               F.concat("o_orderstatus", F.lit(" status\n\n  customer   "), text("o_custkey")).alias("content"), F.array(table).alias("tables"))
     packed = files.write_docx(sections).select(text("report_id").alias("name"), F.lit("").alias("content_type"), F.col("docx").alias("content"))
     parsed = files.parse_files(packed)
     return parsed.select(F.col("name").cast("long").alias("report_id"), "title", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"))

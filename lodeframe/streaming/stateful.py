@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import StructType
 
+from ..functions.text import rounded_long
 from ..operators.state import CALL_KINDS, LEASE_SECONDS
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -59,8 +60,7 @@ class CallFold(StatefulProcessor):
                 end = (r.seq, r.at)
         self.call.update((*first, *last, *end))
         late = end[0] is not None and end[0] > first[0]
-        yield Row(run=key[0], call=key[1], iteration_no=first[1], tool_name=first[2], status=last[1], started=first[3], finished=end[1],
-                  latency_ms=round((end[1] - first[3]) / 1000) if late else None)
+        yield Row(run=key[0], call=key[1], iteration_no=first[1], tool_name=first[2], status=last[1], started=first[3], finished=end[1], late=late)
 
     def close(self) -> None:
         pass
@@ -74,9 +74,10 @@ def call_rows(events: DataFrame, run: str, call: str, seq: str, kind: str, ts: s
     rows = events.where(counted).select(F.col(run).alias("run"), F.col(call).alias("call"), F.col(seq).cast("long").alias("seq"), F.col(kind).alias("kind"),
                                         _micros(F.col(ts)).alias("at"), F.col(name).cast("string").alias("tool_name"), iteration_no.alias("iteration_no"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    out = f"run {kinds['run']}, call {kinds['call']}, iteration_no int, tool_name string, status string, started long, finished long, latency_ms long"
+    out = f"run {kinds['run']}, call {kinds['call']}, iteration_no int, tool_name string, status string, started long, finished long, late boolean"
     folded = rows.groupBy("run", "call").transformWithState(CallFold(), out, "Update", "None")
-    return folded.select("run", "call", "iteration_no", "tool_name", "status", _time("started").alias("started_at"), _time("finished").alias("finished_at"), "latency_ms")
+    latency = F.when(F.col("late"), rounded_long((F.col("finished") - F.col("started")) / 1000)).alias("latency_ms")
+    return folded.select("run", "call", "iteration_no", "tool_name", "status", _time("started").alias("started_at"), _time("finished").alias("finished_at"), latency)
 
 
 def newest(rows: DataFrame, *keys: str, number: str = "batch") -> DataFrame:
