@@ -93,7 +93,7 @@ def run(spark: SparkSession, events: str, conversations: str, output: str, confi
     """Writes the report of the window and returns how many rows each table of it got."""
     conf = common.settings(config, DEFAULTS)
     log = in_window(spark.read.parquet(events), conf)
-    LOG.info("reading %s, days %s to %s", events, conf["from"] or "first", conf["to"] or "last")
+    LOG.info("read %d events of %s, days %s to %s", log.count(), events, conf["from"] or "first", conf["to"] or "last")
 
     def write(rows: DataFrame, name: str, schema: str) -> DataFrame:
         """Replaces the days that rows has; what was written is read back, not computed again."""
