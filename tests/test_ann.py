@@ -1,6 +1,7 @@
 """Approximate search against the exact one."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodeframe.operators import ann
@@ -63,3 +64,29 @@ def test_odd_points(spark, tmp_path):
     assert ann.search(spark, f"{tmp_path}/none", [1.0], 3).count() == 0
     with pytest.raises(ValueError):
         ann.build(points.withColumn("cell", F.lit(1)), f"{tmp_path}/clash")
+
+
+def test_blocks_and_odd_vectors(spark, monkeypatch):
+    """Blocks that are smaller than the tables, copies, nulls, infinite and huge numbers and other lengths, against `dot` of every pair."""
+    monkeypatch.setattr(K, "POINT_BLOCK", 7)
+    monkeypatch.setattr(K, "QUERY_BLOCK", 3)
+    odd = [None, [], [None, 1.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 0.0], [3e38, 3e38], [1e-30, 1e-30], [0.0, 0.0], [-0.0, 2.0], [5.0], [1.0, 2.0, 3.0]]
+    rows = [(i, [((i * 37) % 19 - 9) / 7, ((i * 11) % 5) / 3]) for i in range(60)] + [(100 + i, v) for i, v in enumerate(odd)] + [(200 + i, [1.0, 1.0]) for i in range(20)]
+    points = spark.createDataFrame(rows, "p long, v array<float>")
+    queries = points.select(F.col("p").alias("q"), F.col("v").alias("w"))
+    order = Window.partitionBy("q").orderBy(F.desc("score"), F.asc("p"))
+    every = points.crossJoin(queries).select("q", "p", K.dot(F.col("v"), F.col("w")).alias("score")).withColumn("rank", F.row_number().over(order))
+    for k in (1, 9, 200):
+        found = K.batch_search(points, queries, k, "p", "v", "q", "w")
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, every.where(F.col("rank") <= k).collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "lambdafunction" not in plan  # no expression over each pair of vectors
+    assert K.batch_search(points.limit(0), queries, 3, "p", "v", "q", "w").isEmpty()
+
+
+def test_cells_are_packed_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(K, "POINT_BLOCK", 10)
+    cells = spark.createDataFrame([(c,) for c, n in ((-1, 2), (0, 3), (1, 25), (2, 6), (3, 9)) for _ in range(n)], "cell int")
+    dealt = ann._blocks(cells)
+    assert sorted(c for _, parts, first, own in dealt for c in own) == [-1, 0, 1, 1, 1, 2, 3] and [b for b, *_ in dealt] == list(range(len(dealt)))
+    assert all(first <= block < first + parts for block, parts, first, _ in dealt)
