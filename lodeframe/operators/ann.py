@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import knowledge as K
@@ -146,29 +146,50 @@ def search(spark: SparkSession, path: str, query: Sequence[float], k: int, probe
     return found if found.count() >= k else best(rows)
 
 
+def _blocks(rows: DataFrame) -> list[tuple[int, int, int, list[int]]]:
+    """(block, parts, first, cells): neighbouring cells share a block of points, a larger cell is dealt over `parts` blocks from `first` on. At most CELLS_MOST cells."""
+    sizes, out, open_, n = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect(), [], [], 0
+    close = lambda cells: out.append((len(out), 1, len(out), cells)) if cells else None
+    for r in sizes:
+        parts = -(-r["n"] // K.POINT_BLOCK)
+        if parts > 1:
+            first = len(out)
+            out += [(first + i, parts, first, [r["cell"]]) for i in range(parts)]
+        elif n + r["n"] > K.POINT_BLOCK:
+            close(open_)
+            open_, n = [r["cell"]], r["n"]
+        else:
+            open_, n = [*open_, r["cell"]], n + r["n"]
+    close(open_)
+    return out
+
+
 def batch_search(spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int | None = None, where: Column | None = None, id_col: str = "point_id", vector_col: str = "vector",
                  query_id: str = "query_id", query_vector: str = "query_vector") -> DataFrame:
-    """Top k points of every query (one row each): query_id, id_col, score, rank. Cells that no query probes are not read."""
+    """Top k points of every query (one row each): query_id, id_col, score, rank. Cells are packed in blocks of points; a query meets those blocks that hold a cell it probes."""
     centres, rows = _centres(spark, path), _points(spark, path, where).select(F.col(id_col).alias("__p"), F.col(vector_col).alias("__v"), "cell")
     asked, probes = queries.select(F.col(query_id).alias("__q"), F.col(query_vector).alias("__w")), _probes(spark, path, probes)
     fits, every = _fits(F.col("__w"), centres.shape[1]), F.sequence(F.lit(REST), F.lit(len(centres) - 1))
 
+    if probes >= len(centres):
+        return K.batch_search(rows, asked, k, "__p", "__v", "__q", "__w").withColumnsRenamed({"__q": query_id, "__p": id_col})
+    blocks = spark.createDataFrame(_blocks(rows), "block int, parts int, first int, cells array<int>")
+    places = blocks.select(F.explode("cells").alias("__cell"), "first", "parts").distinct()
+    dealt = rows.join(F.broadcast(places), F.col("cell") == F.col("__cell")).select(
+        (F.col("first") + F.pmod(F.xxhash64("__p"), F.col("parts")).cast("int")).alias("__b"), "__p", "__v", "__cell")
+
     def best(probing: DataFrame) -> DataFrame:
-        met = rows.join(probing.select("__q", "__w", F.explode("cells").alias("__c")), F.col("cell") == F.col("__c"))
-        scored = met.select(F.col("__q").alias(query_id), F.col("__p").alias(id_col), dot(F.col("__v"), F.col("__w")).alias("score"))
-        order = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(id_col))
-        return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        met = probing.crossJoin(F.broadcast(blocks)).select(F.col("block").alias("__b"), "__q", "__w", F.array_intersect("__probed", "cells").alias("__cells"))
+        return K.best_of_blocks(dealt, met.where(F.size("__cells") > 0), k, id_col, query_id)
 
-    if probes >= len(centres):
-        return best(asked.withColumn("cells", every))
-    near = asked.where(fits).withColumn("cells", F.concat(F.array(F.lit(REST)), _cells_of(centres, probes)(_unit(F.col("__w")))))
-    found = best(near.unionByName(asked.where(~fits).withColumn("cells", every))).persist()
+    near = asked.where(fits).withColumn("__probed", F.concat(F.array(F.lit(REST)), _cells_of(centres, probes)(_unit(F.col("__w")))))
+    found = best(near.unionByName(asked.where(~fits).withColumn("__probed", every))).persist()
     short = asked.join(found.groupBy(F.col(query_id).alias("__own")).agg(F.count(F.lit(1)).alias("n")), F.col("__q").eqNullSafe(F.col("__own")), "left").where("n IS NULL OR n < " + str(k))
     short = short.select("__q", "__w").persist()
     if short.isEmpty():
         return found
     ids = short.select(F.col("__q").alias("__short"))
-    return found.join(ids, F.col(query_id).eqNullSafe(F.col("__short")), "left_anti").unionByName(best(short.withColumn("cells", every)))
+    return found.join(ids, F.col(query_id).eqNullSafe(F.col("__short")), "left_anti").unionByName(best(short.withColumn("__probed", every)))
 
 
 def recall(found: DataFrame, exact: DataFrame, query_id: str, id_col: str) -> float:
