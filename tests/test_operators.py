@@ -171,3 +171,21 @@ def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
     assert {r["node"]: r["reason"] for r in Tr.parent_problems(nodes.selectExpr("1 as g", "*"), "g").collect()} == {"a": "cycle", "b": "cycle", "c": "cycle", "s": "self", "l": "missing", "m": "missing"}
     grouped = spark.createDataFrame([(1, "a", None, 1), (2, "b", "a", 1), (2, "a", None, 1), (None, "a", None, 1), (None, "b", "a", 1), (1, "z", "b", 1)], "g int, node string, parent string, position int")
     assert sorted((str(r["g"]), r["node"], r["numbering"]) for r in Tr.renumber(grouped, "g").collect()) == [("1", "a", "1"), ("1", "z", None), ("2", "a", "1"), ("2", "b", "1.1"), ("None", "a", "1"), ("None", "b", "1.1")]
+
+
+def test_docx_in_pieces(spark, monkeypatch):
+    """A batch is taken in pieces of bounded rows and bytes, and each step of a file runs in Python once."""
+    import pyarrow as pa
+
+    sizes = [1, 1, 5 << 20, 1, 0, None] + [1] * 600
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array(sizes, pa.int64())], ["id", "bytes"])
+    pieces = list(files._pieces([batch], "bytes"))
+    assert [x for p in pieces for x in p.column("id").to_pylist()] == list(range(len(sizes)))
+    assert [p.num_rows for p in pieces] == [2, 1, 256, 256, 91] and not list(files._pieces([batch.slice(0, 0)], "bytes"))
+    rows = spark.range(700).select(F.col("id").alias("report_id"), F.lit("Name").alias("report_name"), F.lit(1).alias("sort_order"), F.lit("t").alias("created_at"),
+                                   F.lit("").alias("numbering"), F.lit(None).cast("string").alias("title"), F.when(F.col("id") > 0, F.concat(F.lit("text "), "id")).alias("content"))
+    packed = files.write_docx(rows).select(F.col("report_id").cast("string").alias("name"), F.lit("").alias("content_type"), F.col("docx").alias("content"))
+    parsed = files.parse_files(packed)
+    assert {r["name"]: r["content"] for r in parsed.collect()} == {str(i): f"Name\ntext {i}" if i else "Name" for i in range(700)}
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 2 and "ArrowEvalPython" not in plan
