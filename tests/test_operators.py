@@ -189,3 +189,15 @@ def test_docx_in_pieces(spark, monkeypatch):
     assert {r["name"]: r["content"] for r in parsed.collect()} == {str(i): f"Name\ntext {i}" if i else "Name" for i in range(700)}
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 2 and "ArrowEvalPython" not in plan
+
+
+def test_embedding_is_folded_in_rows(spark):
+    """Texts of unique identifiers are not shuffled, and the norm is worked out once a text; repeated identifiers are added up."""
+    docs = spark.createDataFrame([(1, "a b b c"), (2, " "), (3, ""), (4, None), (5, "B b x")], "id long, text string")
+    rows = K.hash_embedding(docs, "id", "text")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan
+    vectors = K.hash_vectors(docs, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in vectors.split("AS weights")[0].rpartition("lambda x_")[2] and "transform(array(" in vectors.split("AS weights")[0]
+    again = {(r["id"], r["bucket"]): (r["weight"], round(r["value"], 9)) for r in K.hash_embedding(docs.unionByName(docs), "id", "text").collect()}
+    assert again == {(r["id"], r["bucket"]): (2 * r["weight"], round(r["value"], 9)) for r in rows.collect()} and again
