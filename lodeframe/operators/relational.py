@@ -80,10 +80,13 @@ def in_given_order(rows: DataFrame, key: str, ids: list) -> DataFrame:
 
 
 def set_difference(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
-    """What either side lacks: key, side ('missing' or 'unexpected')."""
-    a, b = expected.select(key).distinct(), actual.select(key).distinct()
-    return a.join(b, key, "left_anti").withColumn("side", F.lit("missing")) \
-        .unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("unexpected")))
+    """What either side lacks: key, side ('missing' or 'unexpected'); nulls are equal.
+
+    Keys are dealt before they are grouped: a task holds those of its part, not all that it reads, and both sides are grouped once.
+    """
+    both = expected.select(key, F.lit(True).alias("__left")).unionByName(actual.select(key, F.lit(False).alias("__left")))
+    rows = both.repartition(key).groupBy(key).agg(F.bool_or("__left").alias("__a"), F.bool_or(~F.col("__left")).alias("__b")).where("__a <> __b")
+    return rows.select(key, F.when(F.col("__a"), "missing").otherwise("unexpected").alias("side"))
 
 
 def append_numbered(old: DataFrame, new: DataFrame, group: str, order: list[str], number: str) -> DataFrame:

@@ -201,3 +201,10 @@ def test_embedding_is_folded_in_rows(spark):
     assert "aggregate(" not in vectors.split("AS weights")[0].rpartition("lambda x_")[2] and "transform(array(" in vectors.split("AS weights")[0]
     again = {(r["id"], r["bucket"]): (r["weight"], round(r["value"], 9)) for r in K.hash_embedding(docs.unionByName(docs), "id", "text").collect()}
     assert again == {(r["id"], r["bucket"]): (2 * r["weight"], round(r["value"], 9)) for r in rows.collect()} and again
+
+
+def test_set_difference_nulls_and_plan(spark):
+    a, b = (spark.createDataFrame([(x,) for x in xs], "k long") for xs in ([1, 1, 2, None], [2, 3, 3, None]))
+    rows = R.set_difference(a, b, "k")
+    assert sorted(map(tuple, rows.collect())) == [(1, "missing"), (3, "unexpected")]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
