@@ -113,3 +113,37 @@ def test_the_store_is_only_set_inside(spark):
     with pytest.raises(KeyError), stateful.state_on_disk(spark):
         raise KeyError
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_replay_reads_state_once():
+    """A batch reads a run's events once and keeps one timer, however many events and requests it has."""
+    from collections import namedtuple
+
+    class Handle:
+        def __init__(self):
+            self.map, self.value, self.timers, self.reads = {}, [], set(), 0
+            self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+        def getMapState(self, *_):
+            self.updateValue, self.removeKey = self.map.__setitem__, lambda k: self.map.pop(k)
+            return self
+
+        def getValueState(self, *_):
+            state = type("Value", (), {})()
+            state.exists, state.get = lambda: bool(self.value), lambda: self.value[-1]
+            state.update, state.clear = self.value.append, self.value.clear
+            return state
+
+        def iterator(self):
+            self.reads += 1
+            return iter(list(self.map.items()))
+
+    row, times = namedtuple("R", "seq id at after"), type("T", (), {"getCurrentWatermarkInMs": lambda self: 7})()
+    handle, replay = Handle(), stateful.Replay(2000)
+    replay.init(handle)
+    rows = [row(i, str(i), 1000 * i, i - 3 if i % 3 == 2 else None) for i in range(30)]
+    found = [(r.request, r.seq) for r in replay.handleInputRows(("a",), rows[::-1], None)]
+    assert found == [(str(q.seq), e.seq) for q in rows if q.after is not None for e in rows if e.after is None and q.after < e.seq < q.seq and e.at + 2000 > q.at]
+    assert handle.reads == 1 and handle.timers == {3}
+    list(replay.handleExpiredTimer(("a",), times, None))
+    assert {k[0] for k in handle.map} == {r.seq for r in rows if r.after is None and r.at + 2000 >= 7000} and handle.value[-1] == (9,)
