@@ -96,7 +96,7 @@ def _fitting(jobs: DataFrame, ends: DataFrame, *more: str) -> DataFrame:
     there = jobs.select(F.col("id").alias("__id"), F.col("document_id").alias("__doc"), "attempts", "status")
     fits = (F.col("__id") == F.col("__j")) & (F.col("__doc") == F.col("__d")) \
         & (F.col("__x").isNull() | ((F.col("attempts") == F.col("__x")) & (F.col("status") == "running")))
-    rows = rows.join(there, fits, "left_semi")
+    rows = rows.join(there.hint("shuffle_hash"), fits, "left_semi")
     free, body = F.col("__x").isNull(), F.struct(*rows.columns)
     ties = F.struct("__at", *[f"__{c}" for c in more])
     one = rows.groupBy("__j").agg(F.max_by(F.when(free, body), F.when(free, ties)).alias("f"), F.min_by(body, F.when(~free, ties)).alias("e"))
@@ -118,7 +118,8 @@ def complete(jobs: DataFrame, documents: DataFrame, chunks: DataFrame, ends: Dat
     ready = documents.join(per, F.col("id") == F.col("__d"), "left")
     ready = _set(ready, F.col("__d").isNotNull(), status=F.lit("ready"), error_code=None, error_message=None, updated_at=F.col("__at"),
                  parser_backend=F.coalesce("__parser_backend", "parser_backend") if "parser_backend" in documents.columns else None).select(*documents.columns)
-    names = per.select(F.col("__d").alias("document_id"))
+    # Chunks, the larger side, flow past a table of their part's documents: no task sorts them.
+    names = per.select(F.col("__d").alias("document_id")).hint("shuffle_hash")
     kept = chunks.join(names, "document_id", "left_anti").select(*chunks.columns)
     return done, ready, kept.unionByName(new_chunks.join(names, "document_id", "left_semi").select(*chunks.columns))
 
