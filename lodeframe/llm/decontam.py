@@ -133,12 +133,11 @@ class Index:
                 continue
             k = allowed(n, ratio)
             q, number = run_length(n, k), len(self.items)
-            samples = [(walk, where, embed(ids, np.zeros(1, np.int64), np.array([n]), n, walk)[:, 0][where])
-                       for walk, where in sampled_positions(n)]
-            self.items.append((item_id, ids, k, samples))
+            self.items.append((item_id, ids, k, []))
             self.hits.append(least_hits(n, k, q))
             for at, g in enumerate(grams(ids, q).tolist()):
                 keys.setdefault(q, []).append((g, number, at))
+        self._sample()
         self.tables = {}
         for q, rows in keys.items():
             rows.sort()
@@ -147,6 +146,18 @@ class Index:
             seen[gram >> np.uint64(42)] = True
             self.tables[q] = (gram, number, at, seen)
 
+    def _sample(self) -> None:
+        """Each item's samples; items of equal length are embedded together."""
+        same: dict[int, list[int]] = {}
+        for number, (_, ids, _, _) in enumerate(self.items):
+            same.setdefault(len(ids), []).append(number)
+        for n, numbers in same.items():
+            text, starts = np.concatenate([self.items[i][1] for i in numbers]), np.arange(len(numbers)) * n
+            for walk, where in sampled_positions(n):
+                want = embed(text, starts, starts + n, n, walk)[where]
+                for j, number in enumerate(numbers):
+                    self.items[number][3].append((walk, where, want[:, :, j]))
+
     def _windows(self, ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item number, start) of the windows to embed; first, last: the bounds of each word's document."""
         numbers, starts = [], []
