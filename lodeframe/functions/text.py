@@ -21,6 +21,16 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, UNICODE_SPACE), lambda w: w != "")
 
 
+def plain_words(c: Column) -> Column:
+    """Maximal runs without tab, line feed, form feed, return and space, the white space of the queries' SQL."""
+    return F.filter(F.split(c, r"[\t\n\f\r ]+"), lambda w: w != "")
+
+
+def lower_each(c: Column) -> Column:
+    """Lower case, each code point by itself: no final sigma, no dot above beside an i."""
+    return F.lower(F.translate(c, "\u0130\u03A3", "i\u03C3"))
+
+
 def normal_lines(c: Column) -> Column:
     lines = F.transform(F.split(c, LINE_BREAK), lambda x: F.trim(F.regexp_replace(x, PARSER_SPACE, " ")))
     return F.filter(lines, lambda x: x != "")

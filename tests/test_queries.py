@@ -40,3 +40,28 @@ def test_query(spark, tables, name):
     want = tables.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     assert table(got.columns, rows) == table(want.columns, want.fetchall())
+
+
+ODD = [(0, ""), (1, " \n\t "), (2, None), (3, "a\vb c\fd"), (4, "x y\u0085z　 w"), (5, "İSTANBUL ΣΑΣ x"), (6, "same same"), (7, "\f\r\n"), (8, "\v")]
+
+
+def odd_tables(spark, folder, rows):
+    """The rows as a documents table, and what the query and its SQL make of it."""
+    path = f"{folder}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+
+    def both(name):
+        got = QUERIES[name](spark, str(folder))
+        want = con.sql(ORACLES[name])
+        return table(got.columns, [tuple(r) for r in got.collect()]), table(want.columns, want.fetchall())
+
+    return both
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_hash_embed_sparse_odd_texts(spark, tmp_path, repeated):
+    """Texts without words have no rows, words end at the white space of the SQL, and each letter is lowered by itself."""
+    got, want = odd_tables(spark, tmp_path, ODD + [(6, "again")] * repeated)("hash_embed_sparse")
+    assert got == want and len({r[1] for r in got}) == 5
