@@ -65,3 +65,15 @@ def test_hash_embed_sparse_odd_texts(spark, tmp_path, repeated):
     """Texts without words have no rows, words end at the white space of the SQL, and each letter is lowered by itself."""
     got, want = odd_tables(spark, tmp_path, ODD + [(6, "again")] * repeated)("hash_embed_sparse")
     assert got == want and len({r[1] for r in got}) == 5
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_hash_embed_norm_odd_texts(spark, tmp_path, repeated):
+    """As above; and the weights of a text whose norm is 640 are rounded as the SQL rounds them."""
+    sides, rest = [41], 640 * 640 - 41 * 41
+    while rest:
+        sides.append(math.isqrt(rest))
+        rest -= sides[-1] ** 2
+    half = " ".join(f"t{i}x" for i, n in enumerate(sides) for _ in range(n))
+    got, want = odd_tables(spark, tmp_path, ODD + [(9, half)] + [(6, "again")] * repeated)("hash_embed_norm")
+    assert got == want and len({r[1] for r in got}) == 6 and "-0.064062" in {r[2] for r in got}
