@@ -26,6 +26,12 @@ def plain_words(c: Column) -> Column:
     return F.filter(F.split(c, r"[\t\n\f\r ]+"), lambda w: w != "")
 
 
+def plain_lines(c: Column) -> Column:
+    """Lines between the line breaks of ASCII, without spaces of any width at their ends; blank ones stay, as empty."""
+    trimmed = lambda x: F.regexp_replace(F.regexp_replace(x, r"\A[\s\p{Zs}]++", ""), r"(?<![\s\p{Zs}])[\s\p{Zs}]++\z", "")
+    return F.transform(F.split(c, r"\r\n|[\n\r\x0B\x0C]"), trimmed)
+
+
 def lower_each(c: Column) -> Column:
     """Lower case, each code point by itself: no final sigma, no dot above beside an i."""
     return F.lower(F.translate(c, "\u0130\u03A3", "i\u03C3"))

@@ -42,7 +42,7 @@ def test_query(spark, tables, name):
     assert table(got.columns, rows) == table(want.columns, want.fetchall())
 
 
-ODD = [(0, ""), (1, " \n\t "), (2, None), (3, "a\vb c\fd"), (4, "x y\u0085z　 w"), (5, "İSTANBUL ΣΑΣ x"), (6, "same same"), (7, "\f\r\n"), (8, "\v")]
+ODD = [(0, ""), (1, " \n\t "), (2, None), (3, "a\vb c\fd"), (4, "x\u00A0y\u0085z\u3000\u2028w"), (5, "\u0130STANBUL \u03A3\u0391\u03A3 x"), (6, "same same"), (7, "\f\r\n"), (8, "\v")]
 
 
 def odd_tables(spark, folder, rows):
@@ -77,3 +77,11 @@ def test_hash_embed_norm_odd_texts(spark, tmp_path, repeated):
     half = " ".join(f"t{i}x" for i, n in enumerate(sides) for _ in range(n))
     got, want = odd_tables(spark, tmp_path, ODD + [(9, half)] + [(6, "again")] * repeated)("hash_embed_norm")
     assert got == want and len({r[1] for r in got}) == 6 and "-0.064062" in {r[2] for r in got}
+
+
+def test_docx_round_trip_odd_texts(spark, tmp_path):
+    """A report a row, whatever its identifier: texts without lines, with what XML can't hold or a reader folds, escapes and sizes above the reader's limits."""
+    odd = ["a\rb\r\n\rc  d", "a\0b \x01\x1f c\x1c d", "\uFFFE\uFFFF _x000B_ _x005F_ <a>&amp;]]>", "_x0041\u00A0x _\u00A0x0041_", "\u00A0q \u00A0 r\u2003 \n \u00A0\n\u2028x \u2028\t \n\u3000\ty\u0085 "]
+    rows = ODD + [(20 + i, x) for i, x in enumerate(odd)] + [(6, "again"), (6, ""), (None, "no identifier"), (None, None), (-5, "below zero"), (40, "long text, many lines\n" * 400_000)]
+    got, want = odd_tables(spark, tmp_path, rows)("docx_round_trip")
+    assert got == want and len(got) == len(rows)
